@@ -105,9 +105,10 @@ def attach_id(
             F.when(F.col("__hot_id").isNull(), F.lit(0)).otherwise(F.pmod(spread, F.lit(n)) + F.lit(1)),
         )
     )
-    # ``id * 0`` is zero for every row, but not a literal: a literal would be
-    # folded away and the salt would drop out of the shuffle keys.
-    d = d.withColumn("__dsalt", F.col(id_col) * F.lit(0))
+    # Zero for every dimension row (ids are never negative), but computed from
+    # the data: a literal zero (or ``id * 0``) is folded by the optimizer into
+    # a filter, and the salt would drop out of the shuffle keys.
+    d = d.withColumn("__dsalt", (F.col(id_col) < F.lit(0)).cast("long"))
     joined = f.join(d, on & (F.col("__salt") == F.col("__dsalt")), "left")
     return joined.withColumn(id_col, F.coalesce(F.col("__hot_id"), F.col(id_col))).drop(
         *tmp, "__hot_id", "__salt", "__dsalt"
