@@ -6,7 +6,9 @@ One driver program instead of a chain of tasks that pass JSON text:
 2. per dimension, compute the key index (typed keys, id, row count) once and
    checkpoint it to the reliable checkpoint folder, which cuts the lineage so a
    lost executor re-reads the checkpoint instead of re-scanning trips;
-3. write the public dimension from that checkpoint (full refresh);
+3. write the public dimension from that checkpoint (full refresh). The ten
+   dimensions do not depend on each other, so their jobs are submitted
+   concurrently (``parallel_jobs`` driver threads) and share the cluster;
 4. join the fact to the same checkpoints, so fact ids and dimension ids cannot
    diverge; a dimension is broadcast only when its counted size is under
    ``broadcast_max_rows``, otherwise it takes the skew-safe shuffled join;
@@ -15,6 +17,8 @@ One driver program instead of a chain of tasks that pass JSON text:
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from trip_star.operators.keys import DEFAULT_BUCKET_ROWS
@@ -40,6 +44,7 @@ def build_star(
     strict: bool = True,
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    parallel_jobs: int = 4,
 ) -> DataFrame:
     """Write all eleven tables (full refresh) and return the load report."""
     ensure_checkpoint_dir(spark)
@@ -48,14 +53,15 @@ def build_star(
         assert_unique_lookup(zones_raw)
     zones = zones_raw.dropDuplicates()
 
-    indexes: dict[str, DataFrame] = {}
-    small: set[str] = set()
-    for spec in DIMENSIONS:
+    def build_dimension(spec):
         index = key_index(trips, spec, bucket_rows).checkpoint(eager=True)
-        if index.count() <= broadcast_max_rows:
-            small.add(spec.table)
         write_table(public_columns(spec, index, zones if spec.needs_zones else None), spec.table, database)
-        indexes[spec.table] = index
+        return spec.table, index, index.count()
+
+    with ThreadPoolExecutor(max_workers=max(parallel_jobs, 1)) as pool:
+        built = list(pool.map(build_dimension, DIMENSIONS))
+    indexes = {table: index for table, index, _ in built}
+    small = {table for table, _, rows in built if rows <= broadcast_max_rows}
 
     write_table(fact_trips(trips, indexes, broadcast=frozenset(small)), FACT_TABLE, database)
     return load_report(spark, TABLES, database)
