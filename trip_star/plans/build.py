@@ -22,19 +22,16 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from trip_star.operators.keys import DEFAULT_BUCKET_ROWS
-from trip_star.plans.dims import DIMENSIONS, key_index, public_columns
-from trip_star.plans.fact import fact_trips
+from trip_star.plans.dims import DIMENSIONS, public_columns
+from trip_star.plans.fact import BROADCAST_MAX_ROWS, checked_indexes, fact_trips
 from trip_star.plans.quality import assert_unique_lookup
 from trip_star.session import ensure_checkpoint_dir
+from trip_star.sources.parquet import head_slice
 from trip_star.sinks.tables import ensure_database, load_report, write_table
 
 FACT_TABLE = "trips"
 TABLES = tuple(spec.table for spec in DIMENSIONS) + (FACT_TABLE,)
 
-# Key-index rows that may be broadcast (a key row is under ~100 bytes, so
-# this keeps a broadcast side under ~20 MB).
-BROADCAST_MAX_ROWS = 200_000
-
 
 def build_star(
     spark: SparkSession,
@@ -45,23 +42,30 @@ def build_star(
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     parallel_jobs: int = 4,
+    head_rows: int | None = None,
 ) -> DataFrame:
-    """Write all eleven tables (full refresh) and return the load report."""
+    """Write all eleven tables (full refresh) and return the load report.
+
+    ``head_rows`` keeps only the first rows in input order (the reference's
+    pipeline keeps 100,000); by default the whole input is modelled.
+    """
     ensure_checkpoint_dir(spark)
     ensure_database(spark, database)
     if strict:
         assert_unique_lookup(zones_raw)
     zones = zones_raw.dropDuplicates()
+    if head_rows is not None:
+        trips = head_slice(trips, head_rows)
+
+    indexes, small = checked_indexes(
+        trips, DIMENSIONS, bucket_rows, broadcast_max_rows, materialise_large=True, parallel_jobs=parallel_jobs
+    )
 
-    def build_dimension(spec):
-        index = key_index(trips, spec, bucket_rows).checkpoint(eager=True)
-        write_table(public_columns(spec, index, zones if spec.needs_zones else None), spec.table, database)
-        return spec.table, index, index.count()
+    def write_dimension(spec):
+        write_table(public_columns(spec, indexes[spec.table], zones if spec.needs_zones else None), spec.table, database)
 
     with ThreadPoolExecutor(max_workers=max(parallel_jobs, 1)) as pool:
-        built = list(pool.map(build_dimension, DIMENSIONS))
-    indexes = {table: index for table, index, _ in built}
-    small = {table for table, _, rows in built if rows <= broadcast_max_rows}
+        list(pool.map(write_dimension, DIMENSIONS))
 
-    write_table(fact_trips(trips, indexes, broadcast=frozenset(small)), FACT_TABLE, database)
+    write_table(fact_trips(trips, indexes, broadcast=small), FACT_TABLE, database)
     return load_report(spark, TABLES, database)

@@ -19,6 +19,7 @@ the columns they consume are gone before the shuffles.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,11 @@ from trip_star.plans.dims import (
     key_index,
 )
 from trip_star.schemas import FARE_COLUMNS, ROW_POS
+from trip_star.session import ensure_checkpoint_dir
+
+# Key-index rows that may be broadcast (a key row is under ~100 bytes, so
+# this keeps a broadcast side under ~20 MB).
+BROADCAST_MAX_ROWS = 200_000
 
 FACT_COLUMNS = (
     "event_id",
@@ -89,6 +95,39 @@ WIDE_FACT_COLUMNS = (
 assert set(FARE_COLUMNS) <= set(WIDE_FACT_COLUMNS)
 
 
+def checked_indexes(
+    trips: DataFrame,
+    specs: tuple[DimSpec, ...],
+    bucket_rows: int = DEFAULT_BUCKET_ROWS,
+    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    materialise_large: bool = False,
+    parallel_jobs: int = 4,
+) -> tuple[dict[str, DataFrame], frozenset[str]]:
+    """Key indexes with a counted size, and the names that may be broadcast.
+
+    Each index that is checked is computed once and checkpointed to the
+    reliable checkpoint folder (lineage cut), then counted; only those with at
+    most ``broadcast_max_rows`` rows are broadcast. ``large`` dimensions are
+    checked only with ``materialise_large`` (the build does, since it writes
+    them anyway); otherwise they stay lazy and take the skew-safe shuffled
+    join. The independent checks run as concurrent jobs.
+    """
+    ensure_checkpoint_dir(trips.sparkSession)
+
+    def prepare(spec: DimSpec):
+        index = key_index(trips, spec, bucket_rows)
+        if spec.large and not materialise_large:
+            return spec.table, index, None
+        index = index.checkpoint(eager=True)
+        return spec.table, index, index.count()
+
+    with ThreadPoolExecutor(max_workers=max(parallel_jobs, 1)) as pool:
+        done = list(pool.map(prepare, specs))
+    indexes = {table: index for table, index, _ in done}
+    small = frozenset(t for t, _, n in done if n is not None and n <= broadcast_max_rows)
+    return indexes, small
+
+
 def attach_dimensions(
     trips: DataFrame,
     specs: tuple[DimSpec, ...],
@@ -125,30 +164,41 @@ def attach_dimensions(
 def fact_trips(
     trips: DataFrame,
     indexes: Mapping[str, DataFrame] | None = None,
-    broadcast: frozenset[str] = frozenset(),
+    broadcast: frozenset[str] | None = None,
     **kw,
 ) -> DataFrame:
-    """Fact table version 2: ``event_id`` and the ten dimension ids."""
-    joined = attach_dimensions(trips, DIMENSIONS, indexes, broadcast, **kw)
+    """Fact table version 2: ``event_id`` and the ten dimension ids.
+
+    Without ``indexes``/``broadcast`` the small dimensions are size-checked
+    first (``checked_indexes``), so the join strategy does not hang on the
+    planner's estimate of an aggregate over a large scan.
+    """
+    if indexes is None and broadcast is None:
+        indexes, broadcast = checked_indexes(trips, DIMENSIONS, kw.get("bucket_rows", DEFAULT_BUCKET_ROWS))
+    joined = attach_dimensions(trips, DIMENSIONS, indexes, broadcast or frozenset(), **kw)
     return joined.withColumn("event_id", F.col(ROW_POS).cast("long")).select(*FACT_COLUMNS)
 
 
 def fact_trips_wide(
     trips: DataFrame,
     indexes: Mapping[str, DataFrame] | None = None,
-    broadcast: frozenset[str] = frozenset(),
+    broadcast: frozenset[str] | None = None,
     **kw,
 ) -> DataFrame:
     """Fact table version 1: eight ids, the flag and the nine amounts."""
-    joined = attach_dimensions(trips, WIDE_DIMENSIONS, indexes, broadcast, **kw)
+    if indexes is None and broadcast is None:
+        indexes, broadcast = checked_indexes(trips, WIDE_DIMENSIONS, kw.get("bucket_rows", DEFAULT_BUCKET_ROWS))
+    joined = attach_dimensions(trips, WIDE_DIMENSIONS, indexes, broadcast or frozenset(), **kw)
     return joined.withColumn("event_id", F.col(ROW_POS).cast("long")).select(*WIDE_FACT_COLUMNS)
 
 
 __all__ = [
+    "BROADCAST_MAX_ROWS",
     "FACT_COLUMNS",
     "WIDE_DIMENSIONS",
     "WIDE_FACT_COLUMNS",
     "attach_dimensions",
+    "checked_indexes",
     "fact_trips",
     "fact_trips_wide",
 ]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 # Settings the builders assume. Time zone UTC keeps date parts and text forms of
@@ -66,8 +64,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if not target:
         warehouse = spark.conf.get("spark.sql.warehouse.dir")
         target = warehouse.rstrip("/") + "/_trip_star_checkpoints"
-    if "://" not in target:
-        os.makedirs(target, exist_ok=True)
+    # setCheckpointDir creates the folder through the Hadoop file system.
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
 
