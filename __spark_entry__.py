@@ -26,9 +26,8 @@ from trip_star.operators import (  # noqa: E402
     first_seen_ids,
 )
 from trip_star.plans import (  # noqa: E402
-    BY_TABLE,
     DIMENSIONS,
-    attach_dimensions,
+    Star,
     avg_fare_by_hour,
     build_star,
     dimension,
@@ -39,6 +38,7 @@ from trip_star.plans import (  # noqa: E402
     flag_value_counts,
     lookup_key_report,
     row_reconciliation,
+    star_from_trips,
     top_pickup_zones,
     trips_by_passenger_count,
     trips_profile,
@@ -64,13 +64,10 @@ def _inputs(spark: SparkSession, sf_dir: str):
     return fixture_trips(spark, sf_dir), fixture_zones_raw(spark, sf_dir)
 
 
-def _fact_with(trips: DataFrame, tables: list[str]) -> DataFrame:
-    """The fact restricted to the ids a report reads (same ids as the full fact)."""
-    specs = tuple(BY_TABLE[t] for t in tables)
-    joined = attach_dimensions(trips, specs)
-    return joined.withColumn("event_id", F.col(ROW_POS).cast("long")).select(
-        "event_id", *[s.id_col for s in specs]
-    )
+def _star(spark: SparkSession, sf_dir: str, tables: list[str]) -> Star:
+    """The fact ids and public dimensions a report reads (same ids as the full star)."""
+    trips, zones = _inputs(spark, sf_dir)
+    return star_from_trips(trips, zones, tables)
 
 
 def q_head_slice(spark, sf_dir):
@@ -145,10 +142,8 @@ def q_fact_trips_wide(spark, sf_dir):
 
 
 def q_enriched_trips(spark, sf_dir):
-    trips, zones = _inputs(spark, sf_dir)
     attach = ["pickup_locations", "passenger_counts", "datetimes", "fares"]
-    fact = _fact_with(trips, attach)
-    dims = {t: dimension(trips, t, zones) for t in attach}
+    star = _star(spark, sf_dir, attach)
     cols = [
         "event_id",
         "PULocationID",
@@ -158,25 +153,22 @@ def q_enriched_trips(spark, sf_dir):
         "tpep_pickup_datetime",
         "fare_amount",
     ]
-    return enriched_trips(fact, dims, attach, cols)
+    return enriched_trips(star.fact, star.dims, attach, cols, broadcast=star.small)
 
 
 def q_top_pickup_zones(spark, sf_dir):
-    trips, zones = _inputs(spark, sf_dir)
-    return top_pickup_zones(_fact_with(trips, ["pickup_locations"]), dimension(trips, "pickup_locations", zones))
+    star = _star(spark, sf_dir, ["pickup_locations"])
+    return top_pickup_zones(star.fact, star.dims["pickup_locations"])
 
 
 def q_trips_by_passenger_count(spark, sf_dir):
-    trips, _ = _inputs(spark, sf_dir)
-    return trips_by_passenger_count(
-        _fact_with(trips, ["passenger_counts"]), dimension(trips, "passenger_counts")
-    )
+    star = _star(spark, sf_dir, ["passenger_counts"])
+    return trips_by_passenger_count(star.fact, star.dims["passenger_counts"])
 
 
 def q_avg_fare_by_hour(spark, sf_dir):
-    trips, _ = _inputs(spark, sf_dir)
-    fact = _fact_with(trips, ["datetimes", "fares"])
-    return avg_fare_by_hour(fact, dimension(trips, "datetimes"), dimension(trips, "fares"))
+    star = _star(spark, sf_dir, ["datetimes", "fares"])
+    return avg_fare_by_hour(star.fact, star.dims["datetimes"], star.dims["fares"], broadcast=star.small)
 
 
 def q_flag_value_counts(spark, sf_dir):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trip_star.operators import attach_id, duplicate_rows, first_seen_ids, hot_keys
+from trip_star.operators import attach_id, duplicate_rows, first_seen_ids, hot_keys, lookup_columns
 
 
 def test_missing_key_matches_missing_key(spark):
@@ -64,3 +64,16 @@ def test_duplicate_rows_with_a_hot_value(spark):
     got = {r["doc_id"]: r["first"] for r in out.collect()}
     expected = {i: 1 for i in range(300) if i % 3 and i != 1}
     assert got == expected
+
+
+def test_skew_safe_lookup_carries_columns(spark):
+    fact = _skewed(spark).select("row_pos", F.coalesce("k", F.lit(0)).cast("long").alias("k_id"))
+    dim = spark.range(0, 200).select(
+        F.col("id").alias("k_id"), (F.col("id") * 10).alias("v"), F.concat(F.lit("n"), F.col("id")).alias("name")
+    )
+    want = {r["row_pos"]: (r["v"], r["name"]) for r in fact.join(dim, "k_id", "left").collect()}
+    got = lookup_columns(fact, dim, "k_id", ["v", "name"], hot_min_rows=500, salts=8, spread_col="row_pos")
+    assert {r["row_pos"]: (r["v"], r["name"]) for r in got.collect()} == want
+    assert set(got.columns) == {"row_pos", "k_id", "v", "name"}
+    broadcast = lookup_columns(fact, dim, "k_id", ["v"], broadcast=True)
+    assert {r["row_pos"]: r["v"] for r in broadcast.collect()} == {k: v[0] for k, v in want.items()}

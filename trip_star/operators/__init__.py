@@ -7,8 +7,8 @@ from trip_star.operators.aggregates import (
     top_k,
     value_counts,
 )
-from trip_star.operators.dedupe import distinct_rows, duplicate_count, duplicate_rows
-from trip_star.operators.joins import attach_id, hot_keys, null_safe_equal
+from trip_star.operators.dedupe import distinct_rows, duplicate_count, duplicate_rows, fingerprint
+from trip_star.operators.joins import attach_id, hot_keys, lookup_columns, null_safe_equal
 from trip_star.operators.keys import (
     DEFAULT_BUCKET_ROWS,
     FIRST,
@@ -29,10 +29,12 @@ __all__ = [
     "distinct_rows",
     "duplicate_count",
     "duplicate_rows",
+    "fingerprint",
     "first_seen_ids",
     "first_seen_ids_single_partition",
     "first_seen_index",
     "hot_keys",
+    "lookup_columns",
     "non_null_counts",
     "null_safe_equal",
     "number_first_seen",

@@ -4,14 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trip_star.operators.joins import HOT_MAX_KEYS, HOT_MIN_ROWS, attach_id, hot_keys
 from trip_star.operators.keys import FIRST, ROWS, first_seen_index
 from trip_star.schemas import ROW_POS
 
 
+_FP = "__fingerprint"
+
+
+def fingerprint(columns: Sequence[str]) -> Column:
+    """SHA-256 of the whole value(s) of ``columns``: a fixed 32-byte key.
+
+    One column: the digest of its text (null stays null, so missing values
+    still form one group). Several: the digest of their JSON struct, which
+    names every field and so cannot confuse two different tuples.
+    """
+    if len(columns) == 1:
+        c = F.col(columns[0])
+        return F.unhex(F.sha2(c.cast("string"), 256))
+    return F.unhex(F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns])), 256))
+
+
+def _wide(df: DataFrame, columns: Sequence[str]) -> bool:
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return any(isinstance(types[c], (T.StringType, T.BinaryType)) for c in columns)
+
+
 def distinct_rows(df: DataFrame, order_col: str | None = ROW_POS) -> DataFrame:
     """Full-row ``drop_duplicates``.
 
@@ -31,26 +53,44 @@ def duplicate_rows(
     first_col: str = "first_pos",
     hot_min_rows: int = HOT_MIN_ROWS,
     hot_max_keys: int = HOT_MAX_KEYS,
+    use_fingerprint: bool | None = None,
 ) -> DataFrame:
     """Rows whose ``columns`` repeat an earlier row (``df[df.duplicated(columns)]``).
 
     Each row gets the first position of its value (``first_col``) and is kept
     when it is not that first row. The join back is skew-safe: a value that
     covers a large share of the rows is broadcast and its rows spread out.
+    Text keys (the default for string columns) are grouped and joined on their
+    SHA-256 fingerprint, so whole documents are hashed once and never shuffled,
+    and the broadcast hot set is at most ``hot_max_keys`` x 32 bytes.
     """
-    index = first_seen_index(df, columns, order_col, counts=True)
-    hot = hot_keys(index, columns, FIRST, hot_min_rows, hot_max_keys)
-    tagged = attach_id(df, index, columns, FIRST, hot=hot, spread_col=order_col)
-    return tagged.filter(F.col(order_col) != F.col(FIRST)).withColumnRenamed(FIRST, first_col)
+    if use_fingerprint is None:
+        use_fingerprint = _wide(df, columns)
+    keys = list(columns)
+    src = df
+    if use_fingerprint:
+        src = df.withColumn(_FP, fingerprint(columns))
+        keys = [_FP]
+    index = first_seen_index(src.select(order_col, *keys), keys, order_col, counts=True)
+    hot = hot_keys(index, keys, FIRST, hot_min_rows, hot_max_keys)
+    tagged = attach_id(src, index, keys, FIRST, hot=hot, spread_col=order_col)
+    out = tagged.filter(F.col(order_col) != F.col(FIRST)).withColumnRenamed(FIRST, first_col)
+    return out.drop(_FP) if use_fingerprint else out
 
 
-def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def duplicate_count(
+    df: DataFrame, columns: Sequence[str] | None = None, use_fingerprint: bool | None = None
+) -> DataFrame:
     """One row: ``n_rows``, ``n_distinct`` and ``n_duplicates`` (rows after the first copy).
 
-    Two aggregates, both with map-side combine; no join, no window.
+    Two aggregates, both with map-side combine; no join, no window. Text keys
+    are grouped on their fingerprint (see ``duplicate_rows``).
     """
     cols = list(columns or df.columns)
-    per_value = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+    if use_fingerprint is None:
+        use_fingerprint = _wide(df, cols)
+    keyed = df.select(fingerprint(cols).alias(_FP)) if use_fingerprint else df.select(*cols)
+    per_value = keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("__n"))
     return per_value.agg(
         F.sum("__n").cast("long").alias("n_rows"),
         F.count(F.lit(1)).cast("long").alias("n_distinct"),
@@ -62,4 +102,4 @@ def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     )
 
 
-__all__ = ["ROWS", "distinct_rows", "duplicate_count", "duplicate_rows"]
+__all__ = ["ROWS", "distinct_rows", "duplicate_count", "duplicate_rows", "fingerprint"]

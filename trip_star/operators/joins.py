@@ -34,6 +34,7 @@ def hot_keys(
     min_rows: int = HOT_MIN_ROWS,
     max_keys: int = HOT_MAX_KEYS,
     rows_col: str = ROWS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """The heaviest keys of a dimension that carries per-key row counts.
 
@@ -44,7 +45,7 @@ def hot_keys(
         dim.filter(F.col(rows_col) >= F.lit(min_rows))
         .orderBy(F.col(rows_col).desc(), F.col(id_col).asc())
         .limit(max_keys)
-        .select(*keys, id_col)
+        .select(*keys, id_col, *carry)
     )
 
 
@@ -67,11 +68,12 @@ def attach_id(
     ``carry`` lists further dimension columns to bring along. ``broadcast_dim``
     must only be set by a caller that has checked the dimension's size.
 
-    With ``hot`` (a bounded frame of the heaviest keys and their ids) the join
-    is skew-safe: hot rows take their id from a broadcast of ``hot`` and are
-    given a salt that spreads them over ``salts`` shuffle partitions (and
-    matches nothing); every other row is shuffled with salt 0 and joined to the
-    dimension on ``keys + salt``. ``carry`` is not supported on that path.
+    With ``hot`` (a bounded frame of the heaviest keys with their ids and
+    ``carry`` columns) the join is skew-safe: hot rows take their values from a
+    broadcast of ``hot`` and are given a salt that spreads them over ``salts``
+    shuffle partitions (and matches nothing); every other row is shuffled with
+    salt 0 and joined to the dimension on ``keys + salt``. The id must be a
+    non-negative number on that path.
     """
     dim_keys = list(dim_keys or keys)
     tmp = [f"__dk{i}" for i in range(len(keys))]
@@ -85,14 +87,13 @@ def attach_id(
         if broadcast_dim:
             d = F.broadcast(d)
         return fact.join(d, on, "left").drop(*tmp)
-    if carry:
-        raise ValueError("carry is not supported on the skew-safe path")
-
     htmp = [f"__hk{i}" for i in range(len(keys))]
+    hcarry = [f"__hc{i}" for i in range(len(carry))]
     h = F.broadcast(
         hot.select(
             *[F.col(c).alias(t) for c, t in zip(dim_keys, htmp, strict=True)],
             F.col(id_col).alias("__hot_id"),
+            *[F.col(c).alias(t) for c, t in zip(carry, hcarry, strict=True)],
         )
     )
     n = salts or max(shuffle_partitions(fact.sparkSession), 2)
@@ -110,6 +111,44 @@ def attach_id(
     # a filter, and the salt would drop out of the shuffle keys.
     d = d.withColumn("__dsalt", (F.col(id_col) < F.lit(0)).cast("long"))
     joined = f.join(d, on & (F.col("__salt") == F.col("__dsalt")), "left")
-    return joined.withColumn(id_col, F.coalesce(F.col("__hot_id"), F.col(id_col))).drop(
-        *tmp, "__hot_id", "__salt", "__dsalt"
+    is_hot = F.col("__hot_id").isNotNull()
+    joined = joined.withColumns(
+        {
+            id_col: F.coalesce(F.col("__hot_id"), F.col(id_col)),
+            **{c: F.when(is_hot, F.col(t)).otherwise(F.col(c)) for c, t in zip(carry, hcarry, strict=True)},
+        }
+    )
+    return joined.drop(*tmp, *hcarry, "__hot_id", "__salt", "__dsalt")
+
+
+def lookup_columns(
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    columns: Sequence[str],
+    *,
+    broadcast: bool = False,
+    hot_min_rows: int = HOT_MIN_ROWS,
+    hot_max_keys: int = HOT_MAX_KEYS,
+    spread_col: str | None = None,
+    salts: int | None = None,
+) -> DataFrame:
+    """Left-join ``columns`` of ``dim`` onto ``fact`` by a non-negative id ``key``
+    that is unique in ``dim`` (a star lookup such as fact -> dimension by id).
+
+    ``broadcast`` is for a caller that has checked the dimension's size.
+    Otherwise the join is skew-safe: the hot ids are the fact's most frequent
+    ones (a partial-aggregated count, at most ``hot_max_keys`` kept), looked up
+    in the dimension through a broadcast of that bounded set, and their rows
+    are salted across the shuffle.
+    """
+    d = dim.select(key, F.col(key).alias("__lookup_id"), *columns)
+    if broadcast:
+        return fact.join(F.broadcast(d.drop("__lookup_id")), key, "left")
+    freq = fact.groupBy(key).agg(F.count(F.lit(1)).alias(ROWS))
+    hot_ids = hot_keys(freq, [key], key, hot_min_rows, hot_max_keys)
+    hot = d.join(F.broadcast(hot_ids), key, "left_semi")
+    out = attach_id(
+        fact, d, [key], "__lookup_id", carry=columns, hot=hot, spread_col=spread_col, salts=salts
     )
+    return out.drop("__lookup_id")

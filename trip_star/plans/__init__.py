@@ -29,10 +29,12 @@ from trip_star.plans.quality import (
     row_reconciliation,
     trips_profile,
 )
+from trip_star.plans.star import Star, star_from_trips, star_from_warehouse
 from trip_star.plans.reports import (
     avg_fare_by_hour,
     enriched_trips,
     flag_value_counts,
+    small_dimensions,
     top_pickup_zones,
     trips_by_passenger_count,
 )
@@ -44,6 +46,7 @@ __all__ = [
     "TABLES",
     "WIDE_FACT_COLUMNS",
     "DimSpec",
+    "Star",
     "assert_unique_lookup",
     "attach_dimensions",
     "avg_fare_by_hour",
@@ -70,6 +73,9 @@ __all__ = [
     "lookup_key_violations",
     "public_columns",
     "row_reconciliation",
+    "small_dimensions",
+    "star_from_trips",
+    "star_from_warehouse",
     "top_pickup_zones",
     "trips_by_passenger_count",
     "trips_profile",

@@ -22,10 +22,9 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from trip_star.operators.joins import HOT_MAX_KEYS, HOT_MIN_ROWS, attach_id, hot_keys
-from trip_star.operators.keys import DEFAULT_BUCKET_ROWS
+from trip_star.operators.keys import DEFAULT_BUCKET_ROWS, row_id
 from trip_star.plans.dims import (
     DATETIMES,
     DIMENSIONS,
@@ -176,7 +175,7 @@ def fact_trips(
     if indexes is None and broadcast is None:
         indexes, broadcast = checked_indexes(trips, DIMENSIONS, kw.get("bucket_rows", DEFAULT_BUCKET_ROWS))
     joined = attach_dimensions(trips, DIMENSIONS, indexes, broadcast or frozenset(), **kw)
-    return joined.withColumn("event_id", F.col(ROW_POS).cast("long")).select(*FACT_COLUMNS)
+    return row_id(joined, "event_id", ROW_POS).select(*FACT_COLUMNS)
 
 
 def fact_trips_wide(
@@ -189,7 +188,7 @@ def fact_trips_wide(
     if indexes is None and broadcast is None:
         indexes, broadcast = checked_indexes(trips, WIDE_DIMENSIONS, kw.get("bucket_rows", DEFAULT_BUCKET_ROWS))
     joined = attach_dimensions(trips, WIDE_DIMENSIONS, indexes, broadcast or frozenset(), **kw)
-    return joined.withColumn("event_id", F.col(ROW_POS).cast("long")).select(*WIDE_FACT_COLUMNS)
+    return row_id(joined, "event_id", ROW_POS).select(*WIDE_FACT_COLUMNS)
 
 
 __all__ = [

@@ -3,18 +3,37 @@
 Each report joins only the dimensions it reads. Where the answer is a count
 per dimension member, the fact is aggregated on the id first (partial
 aggregation, a tiny shuffle) and only the aggregate meets the dimension.
+Where every fact row needs a dimension value (the enriched view, the fare by
+hour), the lookup is a broadcast when the dimension's counted size allows it,
+and otherwise the skew-safe lookup: the most frequent ids are broadcast and
+their rows salted, so one hot id cannot land a third of the fact in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trip_star.functions.dates import hour
 from trip_star.operators.aggregates import top_k, value_counts
+from trip_star.operators.joins import lookup_columns
 from trip_star.plans.dims import BY_TABLE, PICKUP_TS
+from trip_star.plans.fact import BROADCAST_MAX_ROWS
+
+
+def small_dimensions(
+    dims: Mapping[str, DataFrame], max_rows: int = BROADCAST_MAX_ROWS, parallel_jobs: int = 4
+) -> frozenset[str]:
+    """Names of the dimensions with at most ``max_rows`` rows (counted, concurrently).
+
+    On warehouse tables the count comes from file metadata.
+    """
+    with ThreadPoolExecutor(max_workers=max(parallel_jobs, 1)) as pool:
+        counts = dict(zip(dims, pool.map(lambda d: d.count(), dims.values()), strict=True))
+    return frozenset(name for name, n in counts.items() if n <= max_rows)
 
 
 def enriched_trips(
@@ -22,13 +41,22 @@ def enriched_trips(
     dims: Mapping[str, DataFrame],
     attach: Sequence[str],
     columns: Sequence[str] | None = None,
+    broadcast: frozenset[str] | None = None,
 ) -> DataFrame:
-    """The fact joined by id to the named public dimensions (left joins)."""
+    """The fact joined by id to the named public dimensions (left joins).
+
+    ``broadcast`` names dimensions whose size was checked; by default they
+    are counted here (``small_dimensions``).
+    """
+    if broadcast is None:
+        broadcast = small_dimensions({t: dims[t] for t in attach})
     out = fact
     for table in attach:
         spec = BY_TABLE[table]
         dim = dims[table]
-        out = out.join(dim, spec.id_col, "left")
+        wanted = [c for c in dim.columns if c != spec.id_col and (columns is None or c in columns)]
+        spread = "event_id" if "event_id" in out.columns else None
+        out = lookup_columns(out, dim, spec.id_col, wanted, broadcast=table in broadcast, spread_col=spread)
     return out.select(*columns) if columns else out
 
 
@@ -51,20 +79,31 @@ def trips_by_passenger_count(fact: DataFrame, passenger_counts: DataFrame) -> Da
     )
 
 
-def avg_fare_by_hour(fact: DataFrame, datetimes: DataFrame, fares: DataFrame) -> DataFrame:
-    """Average fare amount per pick-up hour of day (rounded to 4 places)."""
+def avg_fare_by_hour(
+    fact: DataFrame,
+    datetimes: DataFrame,
+    fares: DataFrame,
+    broadcast: frozenset[str] | None = None,
+) -> DataFrame:
+    """Average fare amount per pick-up hour of day (rounded to 4 places).
+
+    Identical (datetime, fare) id pairs are counted first (map-side combine),
+    so each lookup sees distinct pairs with a weight, not every trip.
+    """
     hours = datetimes.select("datetime_id", hour(F.to_timestamp_ntz(F.col(PICKUP_TS))).alias("pickup_hour"))
     amounts = fares.select("fare_id", "fare_amount")
-    rows = (
-        fact.select("datetime_id", "fare_id")
-        .join(hours, "datetime_id", "left")
-        .join(amounts, "fare_id", "left")
-    )
+    if broadcast is None:
+        broadcast = small_dimensions({"datetimes": hours, "fares": amounts})
+    pairs = fact.groupBy("datetime_id", "fare_id").agg(F.count(F.lit(1)).alias("__n"))
+    rows = lookup_columns(pairs, hours, "datetime_id", ["pickup_hour"], broadcast="datetimes" in broadcast)
+    rows = lookup_columns(rows, amounts, "fare_id", ["fare_amount"], broadcast="fares" in broadcast)
+    weighted = F.sum(F.col("fare_amount") * F.col("__n"))
+    counted = F.sum(F.when(F.col("fare_amount").isNotNull(), F.col("__n")))
     return (
         rows.groupBy("pickup_hour")
         .agg(
-            F.round(F.avg("fare_amount"), 4).alias("avg_fare_amount"),
-            F.count(F.lit(1)).cast("long").alias("trip_count"),
+            F.round(weighted / counted, 4).alias("avg_fare_amount"),
+            F.sum("__n").cast("long").alias("trip_count"),
         )
         .orderBy(F.col("pickup_hour").asc_nulls_first())
     )
