@@ -62,3 +62,8 @@ def test_zone_csv_is_read_by_header_name(spark, scratch):
 def test_preview_is_first_rows_in_order(spark, sf_dir):
     events = with_row_pos(spark.read.parquet(f"{sf_dir}/events.parquet"))
     assert [r[ROW_POS] for r in preview(events).collect()] == [0, 1, 2, 3, 4]
+
+
+def test_conform_maps_nan_counts_to_null(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "passenger_count double")
+    assert [r[0] for r in conform(df).collect()] == [1, None, None]

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from trip_star.functions.casts import cast_timestamps_if_present, normalise_float_keys
+from trip_star.functions.casts import cast_timestamps_if_present, nan_to_null, normalise_float_keys
 from trip_star.schemas import FLOAT_COLUMNS, ROW_POS, TIMESTAMP_COLUMNS, TRIPS
 
 # The per-file offset table has one row per input file. It is broadcast only
@@ -46,11 +47,18 @@ def with_row_pos(df: DataFrame, col: str = ROW_POS) -> DataFrame:
     )
 
 
+def _cast(name: str, source: T.DataType, target: T.DataType) -> Column:
+    col = F.col(name)
+    if isinstance(source, (T.FloatType, T.DoubleType)) and isinstance(target, T.IntegralType):
+        col = nan_to_null(col)  # some months store counts as doubles with NaN
+    return col.cast(target).alias(name)
+
+
 def conform(df: DataFrame, schema=TRIPS, keep: tuple[str, ...] = (ROW_POS,)) -> DataFrame:
     """Select the declared columns that are present, by name, cast to their types."""
-    present = set(df.columns)
-    cols = [F.col(k) for k in keep if k in present]
-    cols += [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name in present]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cols = [F.col(k) for k in keep if k in types]
+    cols += [_cast(f.name, types[f.name], f.dataType) for f in schema.fields if f.name in types]
     return df.select(*cols)
 
 
