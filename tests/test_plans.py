@@ -87,3 +87,19 @@ def test_build_with_shuffled_large_dimensions(spark, inputs):
     build_star(spark, trips, zones, "trip_star_c", broadcast_max_rows=0, bucket_rows=64)
     a, b = spark.table("trip_star_a.trips"), spark.table("trip_star_c.trips")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_fact_through_salted_shuffle_joins_matches(spark, inputs):
+    """No broadcast at all and a hot threshold of 2 rows: every large-dimension
+    join goes through the salted sort-merge path; the ids must not change."""
+    trips, _ = inputs
+    expected = fact_trips(trips)
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        salted = fact_trips(trips, broadcast=frozenset(), hot_min_rows=2, bucket_rows=100)
+        plan = salted._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") >= 2
+        assert salted.exceptAll(expected).count() == 0 and expected.exceptAll(salted).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
