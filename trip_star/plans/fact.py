@@ -2,18 +2,16 @@
 
 Physical plan, per dimension:
 
-* a dimension whose size the caller has checked (``broadcast``) is broadcast:
-  no shuffle of the fact;
-* ``large`` dimensions (datetimes, fares: about one row per trip) go through
-  the skew-safe shuffled join: the bounded set of hot keys is broadcast and
-  their rows are salted over many partitions;
-* any other dimension is a plain null-safe left join; the planner broadcasts
-  it when its estimated size is under the threshold and AQE re-plans (or
-  splits skewed partitions) from runtime sizes.
-
-The two large joins each shuffle the fact once, on different keys; that is the
-minimum for two unrelated near-fact-size dimensions. Small joins run first, so
-the columns they consume are gone before the shuffles.
+* a dimension whose counted size is under the bound (``broadcast``) is
+  broadcast: no shuffle of the fact;
+* every other dimension goes through the skew-safe shuffled join: the bounded
+  set of hot keys is broadcast and their rows are salted over all shuffle
+  partitions. Normally these are the two ``large`` ones (datetimes, fares:
+  about one row per trip), which are not even counted in the lazy plan.
+
+Each shuffled join moves the fact once, on its own keys; two is the minimum for
+two unrelated near-fact-size dimensions. Broadcast joins run first, so the
+columns they consume are gone before the shuffles.
 """
 
 from __future__ import annotations
@@ -143,7 +141,7 @@ def attach_dimensions(
     the caller has checked.
     """
     indexes = dict(indexes or {})
-    ordered = sorted(specs, key=lambda s: s.large)  # small joins first
+    ordered = sorted(specs, key=lambda s: s.table not in broadcast)  # broadcast joins first
     fact = trips
     for spec in ordered:
         index = indexes.get(spec.table)
@@ -152,11 +150,9 @@ def attach_dimensions(
         keys = list(spec.keys)
         if spec.table in broadcast:
             fact = attach_id(fact, index, keys, spec.id_col, broadcast_dim=True)
-        elif spec.large:
+        else:
             hot = hot_keys(index, keys, spec.id_col, hot_min_rows, hot_max_keys)
             fact = attach_id(fact, index, keys, spec.id_col, hot=hot, spread_col=ROW_POS)
-        else:
-            fact = attach_id(fact, index, keys, spec.id_col)
     return fact
 
 
