@@ -103,3 +103,15 @@ def test_fact_through_salted_shuffle_joins_matches(spark, inputs):
         assert salted.exceptAll(expected).count() == 0 and expected.exceptAll(salted).count() == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+
+
+def test_write_table_replaces_stale_files_and_reruns(spark):
+    from trip_star.sinks import ensure_database, write_table
+
+    ensure_database(spark, "trip_star_sink")
+    root = spark.catalog.getDatabase("trip_star_sink").locationUri.rstrip("/")
+    spark.range(7).write.mode("overwrite").parquet(f"{root}/stale")  # left by an earlier session
+    write_table(spark.range(3), "stale", "trip_star_sink")
+    assert spark.table("trip_star_sink.stale").count() == 3
+    write_table(spark.range(5), "stale", "trip_star_sink")
+    assert spark.table("trip_star_sink.stale").count() == 5

@@ -26,9 +26,15 @@ def write_table(
     """Create if missing, else truncate and replace (``WRITE_TRUNCATE``).
 
     The write action blocks until the load is committed, so no separate wait.
+    Tables live at ``<database folder>/<name>`` with that path given
+    explicitly, so the overwrite replaces whatever is there, including files an
+    earlier session with a non-persistent catalog left behind.
     """
+    spark = df.sparkSession
     target = qualified(name, database)
-    writer = df.write.mode("overwrite").format(fmt)
+    db = database or spark.catalog.currentDatabase()
+    root = spark.catalog.getDatabase(db).locationUri.rstrip("/")
+    writer = df.write.mode("overwrite").format(fmt).option("path", f"{root}/{name.lower()}")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(target)
