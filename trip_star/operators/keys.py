@@ -7,10 +7,13 @@ order, so the position is a column (``row_pos``) and the id becomes
 1. one hash aggregate: ``min(position)`` (and a row count) per key, with
    map-side partial aggregation, so a hot key costs nothing extra;
 2. a dense number of that first position without a global sort: keys are cut
-   into buckets of ``bucket_rows`` consecutive positions, numbered inside each
-   bucket, and shifted by the running total of the bucket sizes. A bucket holds
-   at most ``bucket_rows`` keys when positions are unique, and the offset table
-   has one row per bucket, so its size is bounded by ``max position / bucket_rows``.
+   into buckets of ``width`` consecutive positions, numbered inside each
+   bucket, and shifted by the running total of the bucket sizes. ``width`` is
+   the span of first positions / ``target_buckets`` (a scalar subquery over the
+   index), capped at ``bucket_rows``: small inputs still number in parallel,
+   and a bucket never holds more than ``bucket_rows`` keys when positions are
+   unique. The offset table has one row per bucket: at most
+   ``max(target_buckets, span / bucket_rows)`` rows.
 
 The ids do not depend on partitioning, file splits or task order.
 """
@@ -28,9 +31,11 @@ FIRST = "__first"
 ROWS = "__rows"
 _BUCKET = "__bucket"
 
-# Keys per numbering bucket (4,194,304). At 10^12 input rows that is under
+# Most keys per numbering bucket (4,194,304). At 10^12 input rows that is under
 # 250,000 buckets, so the broadcast offset table stays a few MB.
 DEFAULT_BUCKET_ROWS = 1 << 22
+# Buckets aimed for when the input is small enough (parallel numbering).
+DEFAULT_TARGET_BUCKETS = 1024
 
 
 def key_order(keys: Sequence[str]) -> list[Column]:
@@ -53,11 +58,15 @@ def number_first_seen(
     keys: Sequence[str],
     id_col: str,
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
+    target_buckets: int = DEFAULT_TARGET_BUCKETS,
 ) -> DataFrame:
     """Dense 0-based id in ``(first position, key)`` order, computed bucket-wise."""
-    if bucket_rows < 1:
-        raise ValueError("bucket_rows must be positive")
-    idx = index.withColumn(_BUCKET, F.floor(F.col(FIRST) / F.lit(bucket_rows)).cast("long"))
+    if bucket_rows < 1 or target_buckets < 1:
+        raise ValueError("bucket_rows and target_buckets must be positive")
+    low = index.select(F.min(FIRST)).scalar()
+    span = index.select(F.max(FIRST)).scalar() - low + F.lit(1)
+    width = F.least(F.lit(bucket_rows), F.greatest(F.lit(1), F.ceil(span / F.lit(target_buckets))))
+    idx = index.withColumn(_BUCKET, F.floor((F.col(FIRST) - low) / width).cast("long"))
     in_bucket = Window.partitionBy(_BUCKET).orderBy(F.col(FIRST).asc(), *key_order(keys))
     numbered = idx.withColumn("__rn", F.row_number().over(in_bucket))
 
@@ -67,7 +76,7 @@ def number_first_seen(
         .agg(F.count(F.lit(1)).alias("__size"))
         .select(_BUCKET, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
     )
-    # One row per bucket: bounded by max position / bucket_rows (module docstring).
+    # One row per bucket: bounded as in the module docstring.
     return (
         numbered.join(F.broadcast(offsets), _BUCKET)
         .withColumn(id_col, (F.col("__offset") + F.col("__rn") - F.lit(1)).cast("long"))
