@@ -63,8 +63,9 @@ def number_first_seen(
     """Dense 0-based id in ``(first position, key)`` order, computed bucket-wise."""
     if bucket_rows < 1 or target_buckets < 1:
         raise ValueError("bucket_rows and target_buckets must be positive")
-    low = index.select(F.min(FIRST)).scalar()
-    span = index.select(F.max(FIRST)).scalar() - low + F.lit(1)
+    bounds = index.select(F.struct(F.min(FIRST).alias("lo"), F.max(FIRST).alias("hi"))).scalar()
+    low = bounds.getField("lo")
+    span = bounds.getField("hi") - low + F.lit(1)
     width = F.least(F.lit(bucket_rows), F.greatest(F.lit(1), F.ceil(span / F.lit(target_buckets))))
     idx = index.withColumn(_BUCKET, F.floor((F.col(FIRST) - low) / width).cast("long"))
     in_bucket = Window.partitionBy(_BUCKET).orderBy(F.col(FIRST).asc(), *key_order(keys))
