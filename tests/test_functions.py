@@ -28,12 +28,13 @@ def test_code_maps(spark):
     got = df.select(
         payment_type_name("code").alias("p"),
         vendor_name("code").alias("v"),
+        rate_code_name("code").alias("r"),
         store_and_fwd_bool("flag").alias("b"),
     ).collect()
     assert [tuple(r) for r in got] == [
-        ("Credit Card", "Creative Mobile Technologies", True),
-        ("Cash", "VeriFone Inc", False),
-        ("Voided trip", None, None),
+        ("Credit Card", "Creative Mobile Technologies", "Standard rate", True),
+        ("Cash", "VeriFone Inc", "JFK", False),
+        ("Voided trip", None, "Group ride", None),
     ]
 
 
