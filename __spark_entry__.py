@@ -50,6 +50,7 @@ from trip_star.sources import (  # noqa: E402
     fixture_zones_raw,
     head_slice,
     preview,
+    read_zones_csv,
     table,
     with_row_pos,
 )
@@ -91,6 +92,17 @@ def q_zone_lookup_distinct(spark, sf_dir):
     return distinct_rows(zones, order_col=None).select("LocationID", "borough", "zone")
 
 
+def q_zone_lookup_csv(spark, sf_dir):
+    """The lookup written as a header CSV (with a column the reader must skip,
+    placed first) to a staging folder under the warehouse, read back by name."""
+    _, zones = _inputs(spark, sf_dir)
+    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_trip_star_staging/zones_csv"
+    zones.select(F.lit("Yellow Zone").alias("service_zone"), "zone", "LocationID", "borough").write.mode(
+        "overwrite"
+    ).option("header", True).csv(folder)
+    return distinct_rows(read_zones_csv(spark, folder), order_col=None)
+
+
 def q_distinct_trips(spark, sf_dir):
     trips, _ = _inputs(spark, sf_dir)
     cols = [ROW_POS, *TRIP_COLUMNS]
@@ -212,6 +224,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "preview_rows": q_preview_rows,
         "cast_if_present": q_cast_if_present,
         "zone_lookup_distinct": q_zone_lookup_distinct,
+        "zone_lookup_csv": q_zone_lookup_csv,
         "distinct_trips": q_distinct_trips,
         "duplicate_rows": q_duplicate_rows,
         "duplicate_count": q_duplicate_count,

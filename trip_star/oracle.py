@@ -117,6 +117,7 @@ def queries() -> dict[str, str]:
         "cast(tpep_dropoff_datetime as varchar) as tpep_dropoff_datetime from trips"
     )
     q["zone_lookup_distinct"] = _with() + " select LocationID, borough, zone from zones"
+    q["zone_lookup_csv"] = q["zone_lookup_distinct"]
     doubled = (
         "doubled as (select row_pos * 2 as row_pos, " + ", ".join(trip_cols) + " from trips "
         "union all select row_pos * 2 + 1 as row_pos, " + ", ".join(trip_cols) + " from trips)"
