@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from trip_star.operators.keys import ROWS
 from trip_star.session import shuffle_partitions
 
-# A key is "hot" when it alone covers at least this many fact rows; at most
-# HOT_MAX_KEYS of the heaviest such keys are broadcast (the bound on that side).
+# A key is "hot" when it alone covers at least HOT_MIN_ROWS rows and at least
+# 1 / HOT_MAX_KEYS of all rows. The per-key counts sum to the row total, so at
+# most HOT_MAX_KEYS keys can qualify: that is the bound on the broadcast side.
 HOT_MIN_ROWS = 100_000
 HOT_MAX_KEYS = 10_000
 
@@ -36,17 +37,17 @@ def hot_keys(
     rows_col: str = ROWS,
     carry: Sequence[str] = (),
 ) -> DataFrame:
-    """The heaviest keys of a dimension that carries per-key row counts.
+    """The heavy keys of a frame that carries per-key row counts (``rows_col``).
 
-    At most ``max_keys`` rows, so the result may be broadcast. Keys beyond the
-    cap are still joined exactly, through the shuffled path.
+    A key qualifies with at least ``min_rows`` rows and at least
+    ``1 / max_keys`` of the total (a scalar subquery over the same counts);
+    since the counts sum to the total, at most ``max_keys`` keys qualify and
+    the result may be broadcast. No cap is applied: every other key is joined
+    exactly through the shuffled path.
     """
-    return (
-        dim.filter(F.col(rows_col) >= F.lit(min_rows))
-        .orderBy(F.col(rows_col).desc(), F.col(id_col).asc())
-        .limit(max_keys)
-        .select(*keys, id_col, *carry)
-    )
+    total = dim.select(F.sum(rows_col)).scalar()
+    threshold = F.greatest(F.lit(min_rows), F.ceil(total / F.lit(max_keys)))
+    return dim.filter(F.col(rows_col) >= threshold).select(*keys, id_col, *carry)
 
 
 def attach_id(
@@ -68,7 +69,7 @@ def attach_id(
     ``carry`` lists further dimension columns to bring along. ``broadcast_dim``
     must only be set by a caller that has checked the dimension's size.
 
-    With ``hot`` (a bounded frame of the heaviest keys with their ids and
+    With ``hot`` (a bounded frame of the hot keys with their ids and
     ``carry`` columns) the join is skew-safe: hot rows take their values from a
     broadcast of ``hot`` and are given a salt that spreads them over ``salts``
     shuffle partitions (and matches nothing); every other row is shuffled with
@@ -137,8 +138,8 @@ def lookup_columns(
     that is unique in ``dim`` (a star lookup such as fact -> dimension by id).
 
     ``broadcast`` is for a caller that has checked the dimension's size.
-    Otherwise the join is skew-safe: the hot ids are the fact's most frequent
-    ones (a partial-aggregated count, at most ``hot_max_keys`` kept), looked up
+    Otherwise the join is skew-safe: the hot ids are the fact's heavy ones (a
+    partial-aggregated count; at most ``hot_max_keys`` can qualify), looked up
     in the dimension through a broadcast of that bounded set, and their rows
     are salted across the shuffle.
     """
