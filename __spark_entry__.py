@@ -124,6 +124,12 @@ def q_duplicate_count(spark, sf_dir):
     return duplicate_count(docs, ["text"])
 
 
+def q_trip_duplicate_count(spark, sf_dir):
+    """The notebook's raw-data check: full-row duplicates among the trips."""
+    trips, _ = _inputs(spark, sf_dir)
+    return duplicate_count(trips, list(TRIP_COLUMNS))
+
+
 def q_first_seen_ids_small(spark, sf_dir):
     trips, _ = _inputs(spark, sf_dir)
     return first_seen_ids(trips, ["payment_type"], "payment_type_id")
@@ -228,6 +234,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "distinct_trips": q_distinct_trips,
         "duplicate_rows": q_duplicate_rows,
         "duplicate_count": q_duplicate_count,
+        "trip_duplicate_count": q_trip_duplicate_count,
         "first_seen_ids_small": q_first_seen_ids_small,
         "first_seen_ids_large": q_first_seen_ids_large,
     }

@@ -77,3 +77,13 @@ def test_skew_safe_lookup_carries_columns(spark):
     assert set(got.columns) == {"row_pos", "k_id", "v", "name"}
     broadcast = lookup_columns(fact, dim, "k_id", ["v"], broadcast=True)
     assert {r["row_pos"]: r["v"] for r in broadcast.collect()} == {k: v[0] for k, v in want.items()}
+
+
+def test_fingerprint_folds_float_zero_and_nan(spark):
+    from trip_star.operators import duplicate_count
+
+    df = spark.createDataFrame(
+        [("a", 0.0), ("a", -0.0), ("a", float("nan")), ("a", None), ("b", 1.0)], "s string, x double"
+    )
+    row = duplicate_count(df, ["s", "x"]).first()
+    assert (row["n_rows"], row["n_distinct"], row["n_duplicates"]) == (5, 3, 2)

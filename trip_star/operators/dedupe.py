@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trip_star.functions.casts import nan_to_null
 from trip_star.operators.joins import HOT_MAX_KEYS, HOT_MIN_ROWS, attach_id, hot_keys
 from trip_star.operators.keys import FIRST, ROWS, first_seen_index
 from trip_star.schemas import ROW_POS
@@ -16,17 +17,26 @@ from trip_star.schemas import ROW_POS
 _FP = "__fingerprint"
 
 
-def fingerprint(columns: Sequence[str]) -> Column:
+def fingerprint(columns: Sequence[str], types: dict[str, T.DataType] | None = None) -> Column:
     """SHA-256 of the whole value(s) of ``columns``: a fixed 32-byte key.
 
     One column: the digest of its text (null stays null, so missing values
     still form one group). Several: the digest of their JSON struct, which
-    names every field and so cannot confuse two different tuples.
+    names every field and so cannot confuse two different tuples. Float
+    columns (``types``) are folded first as grouping would: NaN -> null,
+    -0.0 -> 0.0.
     """
+    types = types or {}
+
+    def norm(c: str) -> Column:
+        if isinstance(types.get(c), (T.FloatType, T.DoubleType)):
+            v = nan_to_null(c)
+            return F.when(v == F.lit(0.0), F.lit(0.0)).otherwise(v).alias(c)
+        return F.col(c)
+
     if len(columns) == 1:
-        c = F.col(columns[0])
-        return F.unhex(F.sha2(c.cast("string"), 256))
-    return F.unhex(F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns])), 256))
+        return F.unhex(F.sha2(norm(columns[0]).cast("string"), 256))
+    return F.unhex(F.sha2(F.to_json(F.struct(*[norm(c) for c in columns])), 256))
 
 
 def _wide(df: DataFrame, columns: Sequence[str]) -> bool:
@@ -69,7 +79,7 @@ def duplicate_rows(
     keys = list(columns)
     src = df
     if use_fingerprint:
-        src = df.withColumn(_FP, fingerprint(columns))
+        src = df.withColumn(_FP, fingerprint(columns, dict((f.name, f.dataType) for f in df.schema.fields)))
         keys = [_FP]
     index = first_seen_index(src.select(order_col, *keys), keys, order_col, counts=True)
     hot = hot_keys(index, keys, FIRST, hot_min_rows, hot_max_keys)
@@ -89,7 +99,8 @@ def duplicate_count(
     cols = list(columns or df.columns)
     if use_fingerprint is None:
         use_fingerprint = _wide(df, cols)
-    keyed = df.select(fingerprint(cols).alias(_FP)) if use_fingerprint else df.select(*cols)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    keyed = df.select(fingerprint(cols, types).alias(_FP)) if use_fingerprint else df.select(*cols)
     per_value = keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("__n"))
     return per_value.agg(
         F.sum("__n").cast("long").alias("n_rows"),

@@ -135,6 +135,11 @@ def queries() -> dict[str, str]:
         "cast(count(*) - (select count(*) from (select distinct text from documents)) as bigint) as n_duplicates "
         "from documents"
     )
+    distinct_trips = "(select count(*) from (select distinct " + ", ".join(trip_cols) + " from trips))"
+    q["trip_duplicate_count"] = _with() + (
+        f" select cast(count(*) as bigint) as n_rows, cast({distinct_trips} as bigint) as n_distinct, "
+        f"cast(count(*) - {distinct_trips} as bigint) as n_duplicates from trips"
+    )
     q["first_seen_ids_small"] = _with(_key_cte("ids", ["payment_type"], "payment_type_id")) + (
         " select payment_type, payment_type_id from ids"
     )
