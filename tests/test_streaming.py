@@ -39,3 +39,13 @@ def test_rebuild_on_new_files(spark, sf_dir, scratch):
     assert fact.exceptAll(batch).count() == 0 and batch.exceptAll(fact).count() == 0
     # positions run on across the two files
     assert sorted(r[0] for r in fact.select("event_id").collect()) == list(range(len(trips)))
+
+
+def test_empty_landing_folder_builds_nothing(spark, sf_dir, scratch):
+    folder = os.path.join(scratch, "empty_landing")
+    os.makedirs(folder, exist_ok=True)
+    zones = fixture_zones_raw(spark, sf_dir)
+    query = rebuild_on_new_files(spark, folder, zones, "trip_star_empty", os.path.join(scratch, "empty-ckpt"))
+    query.awaitTermination(120)
+    assert query.exception() is None
+    assert not spark.catalog.tableExists("trip_star_empty.trips")

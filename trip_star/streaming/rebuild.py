@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from trip_star.plans.build import build_star
+
+# The binary-file source's fixed columns (a streaming source needs them declared).
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 from trip_star.sources.parquet import read_trips
 
 
@@ -34,11 +37,18 @@ def rebuild_on_new_files(
     ``available_now`` processes the files present now and stops (a scheduled
     run); otherwise the query polls every ``processing_time``.
     """
-    schema = spark.read.parquet(trips_dir).schema
-    reader = spark.readStream.schema(schema)
+    # Only the arrival of files matters here, so the stream lists them as
+    # binary files and reads their paths alone (no content, no schema: an
+    # empty landing folder is fine).
+    reader = (
+        spark.readStream.format("binaryFile")
+        .schema(BINARY_FILE_SCHEMA)
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
+    )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    arrivals = reader.parquet(trips_dir)
+    arrivals = reader.load(trips_dir).select("path")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
