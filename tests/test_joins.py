@@ -87,3 +87,10 @@ def test_fingerprint_folds_float_zero_and_nan(spark):
     )
     row = duplicate_count(df, ["s", "x"]).first()
     assert (row["n_rows"], row["n_distinct"], row["n_duplicates"]) == (5, 3, 2)
+
+
+def test_duplicate_rows_with_negative_positions(spark):
+    df = spark.createDataFrame([(-5, "x"), (-3, "y"), (-1, "x"), (2, "y"), (4, "z")], "doc_id long, text string")
+    for hot_min in (1, 100):
+        out = duplicate_rows(df, ["text"], order_col="doc_id", first_col="first", hot_min_rows=hot_min)
+        assert {r["doc_id"]: r["first"] for r in out.collect()} == {-1: -5, 2: -3}

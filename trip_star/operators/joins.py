@@ -73,8 +73,7 @@ def attach_id(
     ``carry`` columns) the join is skew-safe: hot rows take their values from a
     broadcast of ``hot`` and are given a salt that spreads them over ``salts``
     shuffle partitions (and matches nothing); every other row is shuffled with
-    salt 0 and joined to the dimension on ``keys + salt``. The id must be a
-    non-negative number on that path.
+    salt 0 and joined to the dimension on ``keys + salt``.
     """
     dim_keys = list(dim_keys or keys)
     tmp = [f"__dk{i}" for i in range(len(keys))]
@@ -107,10 +106,16 @@ def attach_id(
             F.when(F.col("__hot_id").isNull(), F.lit(0)).otherwise(F.pmod(spread, F.lit(n)) + F.lit(1)),
         )
     )
-    # Zero for every dimension row (ids are never negative), but computed from
-    # the data: a literal zero (or ``id * 0``) is folded by the optimizer into
-    # a filter, and the salt would drop out of the shuffle keys.
-    d = d.withColumn("__dsalt", (F.col(id_col) < F.lit(0)).cast("long"))
+    # Dimension side: salt 0 for ordinary keys and -1 for hot ones (served by
+    # the broadcast; no fact row carries -1). The salt comes from a lookup of
+    # the hot set, i.e. from the data: a literal 0 would be folded by the
+    # optimizer into a filter and the salt would drop out of the shuffle keys.
+    marks = h.select(*[F.col(t).alias(f"__m{i}") for i, t in enumerate(htmp)], F.lit(-1).alias("__mark"))
+    d = (
+        d.join(marks, null_safe_equal(tmp, [f"__m{i}" for i in range(len(keys))]), "left")
+        .withColumn("__dsalt", F.coalesce(F.col("__mark"), F.lit(0)).cast("long"))
+        .drop(*[f"__m{i}" for i in range(len(keys))], "__mark")
+    )
     joined = f.join(d, on & (F.col("__salt") == F.col("__dsalt")), "left")
     is_hot = F.col("__hot_id").isNotNull()
     joined = joined.withColumns(
