@@ -42,7 +42,10 @@ def get_session(
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        pass
     if checkpoint_dir:
         ensure_checkpoint_dir(spark, checkpoint_dir)
     return spark
@@ -55,7 +58,10 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     ``fallback``, then a folder inside the warehouse (shared storage on a
     cluster, like every managed table).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect client: the server owns the folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
