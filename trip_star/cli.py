@@ -1,6 +1,6 @@
 """Command line: build the star from trip parquet and a zone CSV.
 
-    spark-submit -m trip_star --trips s3://bucket/trips/ --zones s3://bucket/zones.csv --database taxi
+    spark-submit --py-files trip_star.zip trip_star/__main__.py --trips s3://bucket/trips/ --zones s3://bucket/zones.csv
     python -m trip_star --trips ... --zones ... [--head-rows 100000] [--watch CHECKPOINT]
 
 Prints the load report. With ``--watch`` the build re-runs when new trip files
