@@ -67,3 +67,20 @@ def test_preview_is_first_rows_in_order(spark, sf_dir):
 def test_conform_maps_nan_counts_to_null(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "passenger_count double")
     assert [r[0] for r in conform(df).collect()] == [1, None, None]
+
+
+def test_positions_exact_when_files_are_split(spark, sf_dir, scratch):
+    table = pq.read_table(f"{sf_dir}/events.parquet")
+    folder = os.path.join(scratch, "split_files")
+    os.makedirs(folder, exist_ok=True)
+    for i, (lo, hi) in enumerate([(0, 300), (300, 700), (700, table.num_rows)]):
+        pq.write_table(table.slice(lo, hi - lo), os.path.join(folder, f"part-{i}.parquet"), row_group_size=50)
+    saved = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")  # several splits per file
+    try:
+        events = with_row_pos(spark.read.parquet(folder))
+        assert events.rdd.getNumPartitions() > 3
+        got = {r["event_id"]: r[ROW_POS] for r in events.select("event_id", ROW_POS).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", saved)
+    assert got == {i: i for i in range(table.num_rows)}
