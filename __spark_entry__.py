@@ -127,7 +127,7 @@ def q_duplicate_count(spark, sf_dir):
 def q_trip_duplicate_count(spark, sf_dir):
     """The notebook's raw-data check: full-row duplicates among the trips."""
     trips, _ = _inputs(spark, sf_dir)
-    return duplicate_count(trips, list(TRIP_COLUMNS))
+    return duplicate_count(trips, list(TRIP_COLUMNS), use_fingerprint=False)  # narrow rows
 
 
 def q_first_seen_ids_small(spark, sf_dir):

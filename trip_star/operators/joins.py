@@ -62,6 +62,7 @@ def attach_id(
     spread_col: str | None = None,
     salts: int | None = None,
     broadcast_dim: bool = False,
+    nonnegative_ids: bool = False,
 ) -> DataFrame:
     """Left-join ``fact`` to ``dim`` on ``keys`` (null-safe), adding ``id_col``.
 
@@ -73,7 +74,9 @@ def attach_id(
     ``carry`` columns) the join is skew-safe: hot rows take their values from a
     broadcast of ``hot`` and are given a salt that spreads them over ``salts``
     shuffle partitions (and matches nothing); every other row is shuffled with
-    salt 0 and joined to the dimension on ``keys + salt``.
+    salt 0 and joined to the dimension on ``keys + salt``. ``nonnegative_ids``
+    (ids from the first-seen numbering) lets the dimension side derive its
+    salt 0 from the id itself instead of from a lookup of the hot set.
     """
     dim_keys = list(dim_keys or keys)
     tmp = [f"__dk{i}" for i in range(len(keys))]
@@ -110,12 +113,15 @@ def attach_id(
     # the broadcast; no fact row carries -1). The salt comes from a lookup of
     # the hot set, i.e. from the data: a literal 0 would be folded by the
     # optimizer into a filter and the salt would drop out of the shuffle keys.
-    marks = h.select(*[F.col(t).alias(f"__m{i}") for i, t in enumerate(htmp)], F.lit(-1).alias("__mark"))
-    d = (
-        d.join(marks, null_safe_equal(tmp, [f"__m{i}" for i in range(len(keys))]), "left")
-        .withColumn("__dsalt", F.coalesce(F.col("__mark"), F.lit(0)).cast("long"))
-        .drop(*[f"__m{i}" for i in range(len(keys))], "__mark")
-    )
+    if nonnegative_ids:
+        d = d.withColumn("__dsalt", (F.col(id_col) < F.lit(0)).cast("long"))  # 0, from the data
+    else:
+        marks = h.select(*[F.col(t).alias(f"__m{i}") for i, t in enumerate(htmp)], F.lit(-1).alias("__mark"))
+        d = (
+            d.join(marks, null_safe_equal(tmp, [f"__m{i}" for i in range(len(keys))]), "left")
+            .withColumn("__dsalt", F.coalesce(F.col("__mark"), F.lit(0)).cast("long"))
+            .drop(*[f"__m{i}" for i in range(len(keys))], "__mark")
+        )
     joined = f.join(d, on & (F.col("__salt") == F.col("__dsalt")), "left")
     is_hot = F.col("__hot_id").isNotNull()
     joined = joined.withColumns(
@@ -155,6 +161,7 @@ def lookup_columns(
     hot_ids = hot_keys(freq, [key], key, hot_min_rows, hot_max_keys)
     hot = d.join(F.broadcast(hot_ids), key, "left_semi")
     out = attach_id(
-        fact, d, [key], "__lookup_id", carry=columns, hot=hot, spread_col=spread_col, salts=salts
+        fact, d, [key], "__lookup_id", carry=columns, hot=hot, spread_col=spread_col, salts=salts,
+        nonnegative_ids=True,
     )
     return out.drop("__lookup_id")

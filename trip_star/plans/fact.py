@@ -152,7 +152,7 @@ def attach_dimensions(
             fact = attach_id(fact, index, keys, spec.id_col, broadcast_dim=True)
         else:
             hot = hot_keys(index, keys, spec.id_col, hot_min_rows, hot_max_keys)
-            fact = attach_id(fact, index, keys, spec.id_col, hot=hot, spread_col=ROW_POS)
+            fact = attach_id(fact, index, keys, spec.id_col, hot=hot, spread_col=ROW_POS, nonnegative_ids=True)
     return fact
 
 
