@@ -84,3 +84,20 @@ def test_positions_exact_when_files_are_split(spark, sf_dir, scratch):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", saved)
     assert got == {i: i for i in range(table.num_rows)}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_position_filters_reach_the_parquet_scan(spark, sf_dir):
+    from trip_star.sources import fixture_trips
+
+    events = with_row_pos(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    assert "LessThan(_tmp_metadata_row_index,100)" in _plan(head_slice(events, 100))
+    trips = fixture_trips(spark, sf_dir)
+    plan = _plan(preview(trips))
+    assert "LessThan(event_id,5)" in plan
+    # only the columns the projection needs are read
+    narrow = _plan(trips.select("row_pos", "VendorID"))
+    assert "ReadSchema: struct<event_id:bigint>" in narrow
