@@ -21,7 +21,9 @@ KEY_SETS = [
 
 @pytest.fixture(scope="module")
 def trips(spark, sf_dir):
-    return fixture_trips(spark, sf_dir).cache()
+    cached = fixture_trips(spark, sf_dir).cache()
+    yield cached
+    cached.unpersist()  # the cache would stand in for later scans of the same plan
 
 
 def as_map(df, keys, id_col):

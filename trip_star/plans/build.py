@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trip_star.operators.keys import DEFAULT_BUCKET_ROWS
 from trip_star.plans.dims import DIMENSIONS, public_columns
-from trip_star.plans.fact import BROADCAST_MAX_ROWS, checked_indexes, fact_trips
+from trip_star.plans.fact import checked_indexes, fact_trips
 from trip_star.plans.quality import assert_unique_lookup
 from trip_star.session import ensure_checkpoint_dir
 from trip_star.sources.parquet import head_slice
@@ -40,7 +40,7 @@ def build_star(
     database: str | None = "trip_star",
     strict: bool = True,
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    broadcast_max_rows: int | None = None,
     parallel_jobs: int = 4,
     head_rows: int | None = None,
 ) -> DataFrame:
@@ -58,7 +58,7 @@ def build_star(
         trips = head_slice(trips, head_rows)
 
     indexes, small = checked_indexes(
-        trips, DIMENSIONS, bucket_rows, broadcast_max_rows, materialise_large=True, parallel_jobs=parallel_jobs
+        trips, DIMENSIONS, bucket_rows, broadcast_max_rows, parallel_jobs=parallel_jobs
     )
 
     def write_dimension(spec):

@@ -7,7 +7,11 @@ Physical plan, per dimension:
 * every other dimension goes through the skew-safe shuffled join: the bounded
   set of hot keys is broadcast and their rows are salted over all shuffle
   partitions. Normally these are the two ``large`` ones (datetimes, fares:
-  about one row per trip), which are not even counted in the lazy plan.
+  about one row per trip).
+
+Every key index is computed once and checkpointed before the joins: the large
+ones are read three times (hot set, its threshold, the join), and recomputing
+their numbering window would sort a fact-size frame again each time.
 
 Each shuffled join moves the fact once, on its own keys; two is the minimum for
 two unrelated near-fact-size dimensions. Broadcast joins run first, so the
@@ -96,20 +100,20 @@ def checked_indexes(
     trips: DataFrame,
     specs: tuple[DimSpec, ...],
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-    materialise_large: bool = False,
+    broadcast_max_rows: int | None = None,
+    materialise_large: bool = True,
     parallel_jobs: int = 4,
 ) -> tuple[dict[str, DataFrame], frozenset[str]]:
     """Key indexes with a counted size, and the names that may be broadcast.
 
     Each index that is checked is computed once and checkpointed to the
     reliable checkpoint folder (lineage cut), then counted; only those with at
-    most ``broadcast_max_rows`` rows are broadcast. ``large`` dimensions are
-    checked only with ``materialise_large`` (the build does, since it writes
-    them anyway); otherwise they stay lazy and take the skew-safe shuffled
-    join. The independent checks run as concurrent jobs.
+    most ``broadcast_max_rows`` rows are broadcast. With ``materialise_large``
+    off, ``large`` dimensions stay lazy (not counted) and take the skew-safe
+    shuffled join. The independent checks run as concurrent jobs.
     """
     ensure_checkpoint_dir(trips.sparkSession)
+    bound = BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
 
     def prepare(spec: DimSpec):
         index = key_index(trips, spec, bucket_rows)
@@ -121,7 +125,7 @@ def checked_indexes(
     with ThreadPoolExecutor(max_workers=max(parallel_jobs, 1)) as pool:
         done = list(pool.map(prepare, specs))
     indexes = {table: index for table, index, _ in done}
-    small = frozenset(t for t, _, n in done if n is not None and n <= broadcast_max_rows)
+    small = frozenset(t for t, _, n in done if n is not None and n <= bound)
     return indexes, small
 
 
@@ -164,9 +168,9 @@ def fact_trips(
 ) -> DataFrame:
     """Fact table version 2: ``event_id`` and the ten dimension ids.
 
-    Without ``indexes``/``broadcast`` the small dimensions are size-checked
-    first (``checked_indexes``), so the join strategy does not hang on the
-    planner's estimate of an aggregate over a large scan.
+    Without ``indexes``/``broadcast`` every key index is checkpointed and
+    counted first (``checked_indexes``), so the join strategy does not hang on
+    the planner's estimate of an aggregate over a large scan.
     """
     if indexes is None and broadcast is None:
         indexes, broadcast = checked_indexes(trips, DIMENSIONS, kw.get("bucket_rows", DEFAULT_BUCKET_ROWS))

@@ -21,19 +21,20 @@ from trip_star.functions.dates import hour
 from trip_star.operators.aggregates import top_k, value_counts
 from trip_star.operators.joins import lookup_columns
 from trip_star.plans.dims import BY_TABLE, PICKUP_TS
-from trip_star.plans.fact import BROADCAST_MAX_ROWS
+from trip_star.plans import fact as fact_module
 
 
 def small_dimensions(
-    dims: Mapping[str, DataFrame], max_rows: int = BROADCAST_MAX_ROWS, parallel_jobs: int = 4
+    dims: Mapping[str, DataFrame], max_rows: int | None = None, parallel_jobs: int = 4
 ) -> frozenset[str]:
     """Names of the dimensions with at most ``max_rows`` rows (counted, concurrently).
 
     On warehouse tables the count comes from file metadata.
     """
+    bound = fact_module.BROADCAST_MAX_ROWS if max_rows is None else max_rows
     with ThreadPoolExecutor(max_workers=max(parallel_jobs, 1)) as pool:
         counts = dict(zip(dims, pool.map(lambda d: d.count(), dims.values()), strict=True))
-    return frozenset(name for name, n in counts.items() if n <= max_rows)
+    return frozenset(name for name, n in counts.items() if n <= bound)
 
 
 def enriched_trips(

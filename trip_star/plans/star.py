@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from trip_star.operators.keys import DEFAULT_BUCKET_ROWS
 from trip_star.plans.dims import BY_TABLE, DIMENSIONS, public_columns
-from trip_star.plans.fact import BROADCAST_MAX_ROWS, attach_dimensions, checked_indexes
+from trip_star.plans.fact import attach_dimensions, checked_indexes
 from trip_star.plans.reports import small_dimensions
 from trip_star.schemas import ROW_POS
 from trip_star.sources.tables import qualified
@@ -37,11 +37,11 @@ def star_from_trips(
     zones_raw: DataFrame | None,
     tables: Sequence[str] | None = None,
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    broadcast_max_rows: int | None = None,
 ) -> Star:
     """The fact (``event_id`` + the ids of ``tables``) and those public dimensions."""
     specs = tuple(BY_TABLE[t] for t in tables) if tables else DIMENSIONS
-    indexes, small = checked_indexes(trips, specs, bucket_rows, broadcast_max_rows, materialise_large=True)
+    indexes, small = checked_indexes(trips, specs, bucket_rows, broadcast_max_rows)
     joined = attach_dimensions(trips, specs, indexes, small)
     fact = joined.withColumn("event_id", F.col(ROW_POS).cast("long")).select(
         "event_id", *[s.id_col for s in specs]
@@ -56,7 +56,7 @@ def star_from_warehouse(
     database: str | None,
     tables: Sequence[str] | None = None,
     fact_table: str = "trips",
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    broadcast_max_rows: int | None = None,
 ) -> Star:
     names = list(tables) if tables else [s.table for s in DIMENSIONS]
     dims = {t: spark.table(qualified(t, database)) for t in names}
