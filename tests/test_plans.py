@@ -115,3 +115,41 @@ def test_write_table_replaces_stale_files_and_reruns(spark):
     assert spark.table("trip_star_sink.stale").count() == 3
     write_table(spark.range(5), "stale", "trip_star_sink")
     assert spark.table("trip_star_sink.stale").count() == 5
+
+
+def test_reports_on_the_warehouse_equal_the_in_session_star(spark, inputs):
+    from trip_star.plans import (
+        avg_fare_by_hour,
+        enriched_trips,
+        star_from_trips,
+        star_from_warehouse,
+        top_pickup_zones,
+        trips_by_passenger_count,
+    )
+
+    trips, zones = inputs
+    build_star(spark, trips, zones, "trip_star_wh")
+    wh = star_from_warehouse(spark, "trip_star_wh")
+    mem = star_from_trips(trips, zones)
+
+    def same(a, b):
+        return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+    assert same(
+        top_pickup_zones(wh.fact, wh.dims["pickup_locations"]),
+        top_pickup_zones(mem.fact, mem.dims["pickup_locations"]),
+    )
+    assert same(
+        trips_by_passenger_count(wh.fact, wh.dims["passenger_counts"]),
+        trips_by_passenger_count(mem.fact, mem.dims["passenger_counts"]),
+    )
+    assert same(
+        avg_fare_by_hour(wh.fact, wh.dims["datetimes"], wh.dims["fares"], broadcast=wh.small),
+        avg_fare_by_hour(mem.fact, mem.dims["datetimes"], mem.dims["fares"], broadcast=mem.small),
+    )
+    cols = ["event_id", "PULocationID", "passenger_count", "fare_amount"]
+    attach = ["pickup_locations", "passenger_counts", "fares"]
+    assert same(
+        enriched_trips(wh.fact, wh.dims, attach, cols, broadcast=frozenset()),  # skew-safe lookups
+        enriched_trips(mem.fact, mem.dims, attach, cols, broadcast=mem.small),
+    )
