@@ -37,6 +37,7 @@ from trip_star.plans import (  # noqa: E402
     fk_completeness,
     flag_value_counts,
     lookup_key_report,
+    lookup_key_violations,
     row_reconciliation,
     star_from_trips,
     top_pickup_zones,
@@ -209,6 +210,12 @@ def q_lookup_key_report(spark, sf_dir):
     return lookup_key_report(zones)
 
 
+def q_lookup_key_violations(spark, sf_dir):
+    """Keys the de-duplicated lookup still repeats (empty when the build may run)."""
+    _, zones = _inputs(spark, sf_dir)
+    return lookup_key_violations(zones)
+
+
 def q_fk_completeness(spark, sf_dir):
     trips, _ = _inputs(spark, sf_dir)
     return fk_completeness(fact_trips(trips))
@@ -252,6 +259,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "column_profile": q_column_profile,
             "row_reconciliation": q_row_reconciliation,
             "lookup_key_report": q_lookup_key_report,
+            "lookup_key_violations": q_lookup_key_violations,
             "fk_completeness": q_fk_completeness,
             "load_report": q_load_report,
         }

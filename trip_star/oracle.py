@@ -195,6 +195,9 @@ def queries() -> dict[str, str]:
         "cast((select count(*) from (select LocationID from zones group by LocationID having count(*) > 1)) "
         "as bigint) as n_violating_keys"
     )
+    q["lookup_key_violations"] = _with() + (
+        " select LocationID, cast(count(*) as bigint) as n_rows from zones group by LocationID having count(*) > 1"
+    )
     nulls = ", ".join(
         f"cast(sum(case when {c} is null then 1 else 0 end) as bigint) as null_{c}"
         for c in FACT_COLUMNS
