@@ -56,6 +56,14 @@ from trip_star.sources import (  # noqa: E402
     with_row_pos,
 )
 
+try:
+    from trip_star.llm import registry as llm_registry
+except ModuleNotFoundError as missing:
+    # the subpackage and corpus_pipeline.py may be left out; anything else that is missing is an error
+    if missing.name not in ("trip_star.llm", "trip_star.llm.registry", "corpus_pipeline"):
+        raise
+    llm_registry = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 # Row count of the reference's positional slice (``iloc[:100000]``).
 HEAD_ROWS = 100_000
@@ -264,8 +272,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "load_report": q_load_report,
         }
     )
+    if llm_registry:
+        q.update(llm_registry.queries())
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.queries()
+    sql = oracle.queries()
+    if llm_registry:
+        sql.update(llm_registry.oracle_sql())
+    return sql
