@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from trip_star.llm import decontaminate, line_dedup, simhash
+from trip_star.llm import decontaminate, line_dedup, packing, simhash
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op1_simhash_near_dedup": simhash.query,
         "op6_line_dedup": line_dedup.query,
         "op7_benchmark_decontamination": decontaminate.query,
+        "op8_best_fit_packing": packing.query,
         "pipeline": corpus_pipeline.run,
     }
 
