@@ -7,10 +7,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trip_star.llm import decontaminate, line_dedup, simhash
+from trip_star.llm import decontaminate, langid, line_dedup, packing, simhash
 from trip_star.llm.common import materialise
 
 
+# A text in which no language reaches this mean probability is rejected, as is one without letters.
+MIN_LANGUAGE_SCORE = 0.3
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a determinable language go; the model is fitted on labelled rows of ``docs``."""
+    judged = langid.predict(docs, langid.train_on_folds(docs))
+    return judged.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+
+
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated long lines go; ``n_chars`` follows the text that is left."""
     return line_dedup.dedup_lines(docs).withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
@@ -27,10 +37,17 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return decontaminate.find_contamination(docs, items).filter(~F.col("contaminated")).select(*docs.columns)
 
 
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document that is left, with its place in a sequence."""
+    return packing.pack(docs)
+
+
 STAGES = [
+    ("language_id", language_stage),
     ("line_dedup", line_stage),
     ("near_dedup", near_dedup_stage),
     ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
 ]
 
 

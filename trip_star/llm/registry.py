@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from trip_star.llm import decontaminate, line_dedup, packing, simhash
+from trip_star.llm import decontaminate, langid, line_dedup, packing, simhash
 
 
 def queries() -> dict:
     return {
         "op1_simhash_near_dedup": simhash.query,
+        "op5_language_id": langid.query,
         "op6_line_dedup": line_dedup.query,
         "op7_benchmark_decontamination": decontaminate.query,
         "op8_best_fit_packing": packing.query,
@@ -18,6 +19,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_language_id": langid.query,
         "op6_line_dedup": line_dedup.SQL,
         "op7_benchmark_decontamination": decontaminate.SQL,
     }
