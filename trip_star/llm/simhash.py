@@ -54,6 +54,8 @@ MAX_BITS = 4
 BITS = 64
 CHUNK = 1 << 16  # shingles hashed at once
 HOT_HOMES = 50_000
+HOT_COPIES = 1_000  # a fingerprint of more documents, and of over 1 / HOT_COPIES_MOST of all, is hot
+HOT_COPIES_MOST = 10_000
 COMPARES_PER_COPY = 200  # comparisons that cost as much as moving one copy
 
 
@@ -282,7 +284,9 @@ def near_duplicates(
     prints = materialise(
         with_fingerprint(docs.select(id_col, text_col), text_col, shingle, drop_text=True), "simhash"
     )
-    reps = materialise(prints.groupBy("fp").agg(F.min(id_col).alias("first_id")), "simhash-distinct")
+    reps = materialise(
+        prints.groupBy("fp").agg(F.min(id_col).alias("first_id"), F.count(F.lit(1)).alias("copies")), "simhash-distinct"
+    )
     roots = connected_components(linked_fingerprints(reps.select("fp"), reps.count(), max_bits, hot_homes))
     linked = reps.join(roots, F.col("fp") == F.col("node")).select("fp", "root", "first_id")
     low = linked.groupBy("root").agg(F.min("first_id").alias("low"))
@@ -290,8 +294,15 @@ def near_duplicates(
     labels = reps.join(named, F.col("fp") == F.col("linked_fp"), "left").select(
         F.col("fp").alias("label_fp"),
         F.when(F.col("linked_fp").isNull(), F.col("first_id")).otherwise(F.col("low")).alias("component_id"),
+        "copies",
     )
-    return prints.join(labels, F.col("fp") == F.col("label_fp")).select(
+    labels = materialise(labels, "simhash-labels")
+    # the fingerprints of many copies, at most HOT_COPIES_MOST of them, meet their documents by broadcast
+    limit = max(HOT_COPIES, prints.count() // HOT_COPIES_MOST)
+    hot = F.broadcast(labels.filter(F.col("copies") > limit).select("label_fp", "component_id"))
+    rest = labels.filter(F.col("copies") <= limit).select("label_fp", "component_id")
+    on = F.col("fp") == F.col("label_fp")
+    return prints.join(hot, on).unionByName(prints.join(hot, on, "left_anti").join(rest, on)).select(
         id_col, "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
