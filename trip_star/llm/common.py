@@ -135,3 +135,19 @@ def winnow(grams: np.ndarray, w: int) -> np.ndarray:
 def text_key(text_col: str):
     """Tells rows with the same id but other texts apart (0 for null)."""
     return F.coalesce(F.xxhash64(F.col(text_col)), F.lit(0))
+
+
+HOT_ROWS = 1_000
+HOT_KEYS = 10_000
+
+
+def lookup(rows: DataFrame, table: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``table`` (one row per value of ``key``, which
+    no null is) without a hot partition. ``weight`` counts the rows of a key and
+    ``total`` all rows: keys of over ``HOT_ROWS`` rows and over 1 / HOT_KEYS of
+    all - at most HOT_KEYS keys - meet their rows by broadcast, the others in a
+    shuffle. Both frames are read twice, so they should be materialised."""
+    limit = max(HOT_ROWS, total // HOT_KEYS)
+    hot = F.broadcast(table.filter(F.col(weight) > limit).drop(weight))
+    rest = table.filter(F.col(weight) <= limit).drop(weight)
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(rest, key))
