@@ -28,12 +28,16 @@ buckets. Only the histogram and the plan pass through the driver.
 
 from __future__ import annotations
 
+import json
 import zlib
+from array import array
 from bisect import bisect_left, insort
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
@@ -48,7 +52,6 @@ COLUMNS = 32
 RATE, STEP = 3.0, 0.05
 FULL = 0.996  # how full a rounded configuration must be
 BUCKET_ROWS = 1_000_000
-CACHE_WORDS = 400_000
 # fixed value: how a byte-level BPE vocabulary of this kind cuts a text into words
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Texts of other characters, or with what may be a special token, are encoded whole:
@@ -62,31 +65,42 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _byte_letters() -> dict[str, int]:
+    """How byte-level vocabularies write bytes: visible Latin-1 characters stand
+    for themselves, the others follow from U+0100 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in visible]
+    return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
 class Encoder:
-    """Text -> ids as little-endian unsigned 32-bit bytes. A BPE works word by
-    word, so the ids of a word are looked up once per worker."""
+    """Text -> ids as little-endian unsigned 32-bit bytes, by the tokenizer file.
+
+    Plain texts are encoded by tiktoken from the file's own vocabulary: if ids
+    rise in the order of the merges (which is checked), lowest rank first and
+    first merge first are the same rule. All others, and all texts if the check
+    fails, are encoded by the tokenizers library."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words = regex.compile(WORDS)
         self.plain = regex.compile(PLAIN, regex.DOTALL)
-        self.cache: dict[str, bytes] = {}
+        self.fast = None
+        model = json.loads(self.tokenizer.to_str())["model"]
+        vocab, letters = model["vocab"], _byte_letters()
+        made = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        if all(a < b for a, b in pairwise(made)) and all(c in letters for t in vocab if t not in special for c in t):
+            ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if t not in special}
+            self.fast = tiktoken.Encoding("file", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
-        if not self.plain.fullmatch(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        words = self.words.findall(text)
-        cache = self.cache
-        new = [w for w in set(words) if w not in cache]
-        if new:
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
-                new = list(set(words))
-            for word, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                cache[word] = np.array(e.ids, dtype="<u4").tobytes()
-        return b"".join([cache[w] for w in words])
+        if self.fast and self.plain.fullmatch(text):
+            ids = self.fast.encode_ordinary(text)
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
 
 
 def token_pieces(
