@@ -27,7 +27,7 @@ WORD_BYTES = bytes(
     b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20
     for b in range(256)
 )
-_ODD = 0x9E3779B97F4A7C15
+BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 
@@ -83,7 +83,7 @@ def annotate(
     return df.mapInArrow(run, schema)
 
 
-def powers(n: int, base: int = _ODD) -> np.ndarray:
+def powers(n: int, base: int = BASE) -> np.ndarray:
     """1, base, base^2, ... modulo 2^64."""
     out = np.full(n, base, dtype=np.uint64)
     if n:
@@ -106,9 +106,9 @@ def rolling(symbols: np.ndarray, k: int) -> np.ndarray:
     h = np.zeros(n, dtype=np.uint64)
     if k <= 24:
         for j in range(k):
-            h = h * np.uint64(_ODD) + symbols[j : j + n]
+            h = h * np.uint64(BASE) + symbols[j : j + n]
         return mix(h)
-    inverse = pow(_ODD, -1, 1 << 64)
+    inverse = pow(BASE, -1, 1 << 64)
     prefix = np.concatenate(([np.uint64(0)], np.cumsum(symbols * powers(len(symbols)), dtype=np.uint64)))
     return mix((prefix[k:] - prefix[:-k]) * powers(n, inverse))
 
@@ -141,9 +141,8 @@ HOT_ROWS = 1_000
 HOT_KEYS = 10_000
 
 
-def lookup(rows: DataFrame, table: DataFrame, key: str, weight: str, total: int) -> DataFrame:
-    """Inner join of ``rows`` with ``table`` (one row per value of ``key``, which
-    no null is) without a hot partition. ``weight`` counts the rows of a key and
+def lookup(rows: DataFrame, table: DataFrame, key: str | list[str], weight: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``table`` (one row per value of ``key``, never null) without a hot partition. ``weight`` counts the rows of a key and
     ``total`` all rows: keys of over ``HOT_ROWS`` rows and over 1 / HOT_KEYS of
     all - at most HOT_KEYS keys - meet their rows by broadcast, the others in a
     shuffle. Both frames are read twice, so they should be materialised."""

@@ -11,6 +11,7 @@ from trip_star.llm import (
     line_dedup,
     packing,
     simhash,
+    substring_dedup,
     url_filter,
     warc,
 )
@@ -21,6 +22,7 @@ def queries() -> dict:
         "op1_simhash_near_dedup": simhash.query,
         "op2_warc": warc.query,
         "op3_license_scan": licenses.query,
+        "op4_substring_dedup": substring_dedup.query,
         "op5_language_id": langid.query,
         "op6_line_dedup": line_dedup.query,
         "op7_benchmark_decontamination": decontaminate.query,
@@ -36,6 +38,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_warc": warc.query,
         "op3_license_scan": licenses.query,
         "op5_language_id": langid.query,
+        "op4_substring_dedup": substring_dedup.SQL,
         "op6_line_dedup": line_dedup.SQL,
         "op7_benchmark_decontamination": decontaminate.SQL,
     }
