@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,17 +41,21 @@ from trip_star.plans import (  # noqa: E402
     lookup_key_violations,
     row_reconciliation,
     star_from_trips,
+    star_from_warehouse,
     top_pickup_zones,
     trips_by_passenger_count,
     trips_profile,
 )
 from trip_star.schemas import ROW_POS, TIMESTAMP_COLUMNS, TRIP_COLUMNS  # noqa: E402
+from trip_star.session import ensure_checkpoint_dir  # noqa: E402
 from trip_star.functions import cast_timestamps_if_present, text_timestamps_if_present  # noqa: E402
 from trip_star.sources import (  # noqa: E402
     fixture_trips,
     fixture_zones_raw,
     head_slice,
     preview,
+    read_table,
+    read_trips,
     read_zones_csv,
     table,
     with_row_pos,
@@ -65,8 +70,8 @@ except ModuleNotFoundError as missing:
     llm_registry = None
 
 SF_SMOKE = "/root/testdata/sf0.001"
-# Row count of the reference's positional slice (``iloc[:100000]``).
-HEAD_ROWS = 100_000
+# Rows of the positional slice: under the row count from sf0.001 on, so it cuts.
+HEAD_ROWS = 777
 CHECK_DATABASE = "trip_star_check"
 
 
@@ -92,8 +97,28 @@ def q_preview_rows(spark, sf_dir):
 
 def q_cast_if_present(spark, sf_dir):
     trips, _ = _inputs(spark, sf_dir)
-    typed = cast_timestamps_if_present(trips, TIMESTAMP_COLUMNS)
-    return text_timestamps_if_present(typed, TIMESTAMP_COLUMNS).select(ROW_POS, *TIMESTAMP_COLUMNS)
+    # a text column to parse, and no drop-off column at all
+    text = text_timestamps_if_present(trips.select(ROW_POS, TIMESTAMP_COLUMNS[0]), TIMESTAMP_COLUMNS)
+    typed = cast_timestamps_if_present(text, TIMESTAMP_COLUMNS).withColumn("pickup_hour", F.hour(TIMESTAMP_COLUMNS[0]))
+    return text_timestamps_if_present(typed, TIMESTAMP_COLUMNS)
+
+
+def _staging(spark, name: str) -> str:
+    """A folder of its own for every run, on shared storage."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_read_trip_files(spark, sf_dir):
+    """Month files that differ in physical types and column case, some in a
+    subfolder, read back in path order with positions."""
+    trips, _ = _inputs(spark, sf_dir)
+    folder = _staging(spark, "trip_files")
+    for rest, name in ((0, "a"), (1, "b/c")):
+        part = trips.filter(F.col(ROW_POS) % 2 == rest).select(ROW_POS, *TRIP_COLUMNS)
+        if rest:
+            part = part.withColumn("passenger_count", F.col("passenger_count").cast("double")).withColumnRenamed("airport_fee", "Airport_fee")
+        part.repartitionByRange(3, ROW_POS).sortWithinPartitions(ROW_POS).drop(ROW_POS).write.parquet(f"{folder}/{name}")
+    return read_trips(spark, folder).select(ROW_POS, *TRIP_COLUMNS)
 
 
 def q_zone_lookup_distinct(spark, sf_dir):
@@ -103,12 +128,15 @@ def q_zone_lookup_distinct(spark, sf_dir):
 
 def q_zone_lookup_csv(spark, sf_dir):
     """The lookup written as a header CSV (with a column the reader must skip,
-    placed first) to a staging folder under the warehouse, read back by name."""
+    placed first; names with quotes and commas; missing markers), read back by name."""
     _, zones = _inputs(spark, sf_dir)
-    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_trip_star_staging/zones_csv"
-    zones.select(F.lit("Yellow Zone").alias("service_zone"), "zone", "LocationID", "borough").write.mode(
-        "overwrite"
-    ).option("header", True).csv(folder)
+    folder = _staging(spark, "zones_csv")
+    zones.select(
+        F.lit("Yellow Zone").alias("service_zone"),
+        F.concat(F.lit('The "'), "zone", F.lit('", no. '), "LocationID").alias("zone"),
+        "LocationID",
+        F.when(F.col("LocationID") % 7 == 0, "N/A").otherwise(F.col("borough")).alias("borough"),
+    ).write.option("header", True).option("escape", '"').csv(folder)
     return distinct_rows(read_zones_csv(spark, folder), order_col=None)
 
 
@@ -136,7 +164,9 @@ def q_duplicate_count(spark, sf_dir):
 def q_trip_duplicate_count(spark, sf_dir):
     """The notebook's raw-data check: full-row duplicates among the trips."""
     trips, _ = _inputs(spark, sf_dir)
-    return duplicate_count(trips, list(TRIP_COLUMNS), use_fingerprint=False)  # narrow rows
+    cols = list(TRIP_COLUMNS)
+    repeated = trips.select(*cols).unionByName(trips.filter(F.col(ROW_POS) % 4 == 0).select(*cols))
+    return duplicate_count(repeated, cols)
 
 
 def q_first_seen_ids_small(spark, sf_dir):
@@ -180,7 +210,30 @@ def q_enriched_trips(spark, sf_dir):
         "tpep_pickup_datetime",
         "fare_amount",
     ]
-    return enriched_trips(star.fact, star.dims, attach, cols, broadcast=star.small)
+    return enriched_trips(star.fact, star.dims, attach, cols, broadcast=star.small, freq=star.freq)
+
+
+def q_enriched_trips_salted(spark, sf_dir):
+    """The enriched view without any broadcast dimension: frequent ids are hot and salted."""
+    attach = ["pickup_locations", "passenger_counts", "datetimes", "fares"]
+    star = _star(spark, sf_dir, attach)
+    cols = ["event_id", "PULocationID", "pickup_location_zone", "pickup_location_borough", "passenger_count", "tpep_pickup_datetime", "fare_amount"]
+    return enriched_trips(star.fact, star.dims, attach, cols, broadcast=frozenset(), freq=star.freq, hot_min_rows=20)
+
+
+def q_warehouse_trips(spark, sf_dir):
+    """The written fact, read back."""
+    trips, zones = _inputs(spark, sf_dir)
+    build_star(spark, trips, zones, database=f"{CHECK_DATABASE}_fact")
+    return read_table(spark, "trips", f"{CHECK_DATABASE}_fact")
+
+
+def q_warehouse_avg_fare_by_hour(spark, sf_dir):
+    """A report on the written tables."""
+    trips, zones = _inputs(spark, sf_dir)
+    build_star(spark, trips, zones, database=f"{CHECK_DATABASE}_report")
+    star = star_from_warehouse(spark, f"{CHECK_DATABASE}_report", ["datetimes", "fares"])
+    return avg_fare_by_hour(star.fact, star.dims["datetimes"], star.dims["fares"], broadcast=star.small, freq=star.freq)
 
 
 def q_top_pickup_zones(spark, sf_dir):
@@ -195,7 +248,7 @@ def q_trips_by_passenger_count(spark, sf_dir):
 
 def q_avg_fare_by_hour(spark, sf_dir):
     star = _star(spark, sf_dir, ["datetimes", "fares"])
-    return avg_fare_by_hour(star.fact, star.dims["datetimes"], star.dims["fares"], broadcast=star.small)
+    return avg_fare_by_hour(star.fact, star.dims["datetimes"], star.dims["fares"], broadcast=star.small, freq=star.freq)
 
 
 def q_flag_value_counts(spark, sf_dir):
@@ -213,15 +266,20 @@ def q_row_reconciliation(spark, sf_dir):
     return row_reconciliation(trips, fact_trips(trips))
 
 
-def q_lookup_key_report(spark, sf_dir):
+def _ambiguous_zones(spark, sf_dir):
+    """A lookup in which some keys have two different rows."""
     _, zones = _inputs(spark, sf_dir)
-    return lookup_key_report(zones)
+    other = zones.filter(F.col("LocationID") % 50 == 0).withColumn("zone", F.concat("zone", F.lit(" (old)")))
+    return zones.unionByName(other)
+
+
+def q_lookup_key_report(spark, sf_dir):
+    return lookup_key_report(_ambiguous_zones(spark, sf_dir))
 
 
 def q_lookup_key_violations(spark, sf_dir):
-    """Keys the de-duplicated lookup still repeats (empty when the build may run)."""
-    _, zones = _inputs(spark, sf_dir)
-    return lookup_key_violations(zones)
+    """Keys the de-duplicated lookup still repeats (none when the build may run)."""
+    return lookup_key_violations(_ambiguous_zones(spark, sf_dir))
 
 
 def q_fk_completeness(spark, sf_dir):
@@ -244,6 +302,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "head_slice": q_head_slice,
         "preview_rows": q_preview_rows,
         "cast_if_present": q_cast_if_present,
+        "read_trip_files": q_read_trip_files,
         "zone_lookup_distinct": q_zone_lookup_distinct,
         "zone_lookup_csv": q_zone_lookup_csv,
         "distinct_trips": q_distinct_trips,
@@ -260,6 +319,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "fact_trips": q_fact_trips,
             "fact_trips_wide": q_fact_trips_wide,
             "enriched_trips": q_enriched_trips,
+            "enriched_trips_salted": q_enriched_trips_salted,
+            "warehouse_trips": q_warehouse_trips,
+            "warehouse_avg_fare_by_hour": q_warehouse_avg_fare_by_hour,
             "top_pickup_zones": q_top_pickup_zones,
             "trips_by_passenger_count": q_trips_by_passenger_count,
             "avg_fare_by_hour": q_avg_fare_by_hour,

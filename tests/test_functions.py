@@ -14,12 +14,12 @@ from trip_star.functions import (
     vendor_name,
     weekday,
 )
-from trip_star.plans import dim_rate_code
+from trip_star.plans import dimension
 
 
 def test_unknown_code_gives_null_and_keeps_the_row(spark):
     df = spark.createDataFrame([(0, 1), (1, 99), (2, None)], "row_pos long, RatecodeID int")
-    out = {r["RatecodeID"]: r["rate_code_name"] for r in dim_rate_code(df).collect()}
+    out = {r["RatecodeID"]: r["rate_code_name"] for r in dimension(df, "rate_codes").collect()}
     assert out == {1: "Standard rate", 99: None, None: None}
 
 

@@ -94,3 +94,19 @@ def test_duplicate_rows_with_negative_positions(spark):
     for hot_min in (1, 100):
         out = duplicate_rows(df, ["text"], order_col="doc_id", first_col="first", hot_min_rows=hot_min)
         assert {r["doc_id"]: r["first"] for r in out.collect()} == {-1: -5, 2: -3}
+
+
+def test_fingerprint_tells_apart_what_grouping_tells_apart(spark):
+    """Microseconds, nulls, NaN, signed zero and separators inside texts."""
+    from trip_star.operators import duplicate_count, duplicate_rows
+
+    rows = [
+        ("a", "2024-01-01 00:00:00.000001", 0.0, "x"), ("a", "2024-01-01 00:00:00.000002", 0.0, "x"),
+        ("a:1", None, float("nan"), "x"), ("a:1", None, None, "x"), ("1", "2024-01-01", -0.0, "2:xy"), ("1", "2024-01-01", 0.0, "2:xy"),
+        (None, None, 1.0, "-"), ("-", None, 1.0, None), ("ab", None, 1.0, "c"), ("a", None, 1.0, "bc"),
+    ]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "row_pos long, a string, t string, d double, b string")
+    df = df.withColumn("t", F.to_timestamp_ntz("t"))
+    cols = ["a", "t", "d", "b"]
+    assert tuple(duplicate_count(df, cols).first()) == (10, 8, 2)
+    assert sorted((r["row_pos"], r["first_pos"]) for r in duplicate_rows(df, cols).collect()) == [(3, 2), (5, 4)]

@@ -8,7 +8,10 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from trip_star.operators import first_seen_ids, first_seen_ids_single_partition
+from pyspark.sql import Window
+
+from trip_star.operators import first_seen_ids
+from trip_star.operators.keys import FIRST, first_seen_index, key_order
 from trip_star.sources import fixture_trips, prepare_trips
 
 KEY_SETS = [
@@ -30,10 +33,17 @@ def as_map(df, keys, id_col):
     return {tuple(r[k] for k in keys): r[id_col] for r in df.collect()}
 
 
+def single_window(df, keys, id_col):
+    """The textbook form: one window over all distinct keys."""
+    everything = Window.orderBy(F.col(FIRST).asc(), *key_order(keys))
+    index = first_seen_index(df, keys)
+    return index.withColumn(id_col, (F.row_number().over(everything) - 1).cast("long")).drop(FIRST)
+
+
 @pytest.mark.parametrize("keys,id_col", KEY_SETS)
 @pytest.mark.parametrize("bucket_rows", [1, 7, 100, 1 << 22])
 def test_bucketed_equals_single_window(trips, keys, id_col, bucket_rows):
-    single = as_map(first_seen_ids_single_partition(trips, keys, id_col), keys, id_col)
+    single = as_map(single_window(trips, keys, id_col), keys, id_col)
     bucketed = as_map(first_seen_ids(trips, keys, id_col, bucket_rows=bucket_rows), keys, id_col)
     assert bucketed == single
 
@@ -79,3 +89,10 @@ def test_non_unique_order_breaks_ties_by_key(spark):
 def test_row_count_is_kept_when_asked(trips):
     out = first_seen_ids(trips, ["VendorID"], "vendor_id", counts=True)
     assert out.agg(F.sum("__rows")).first()[0] == trips.count()
+
+
+@pytest.mark.parametrize("position", ["id * 1099511627776", "42", "CASE WHEN id < 50 THEN -9223372036854775807 ELSE 9223372036854775806 END"])
+def test_sparse_constant_and_far_apart_positions(spark, position):
+    df = spark.range(200).selectExpr("id % 97 AS k", f"CAST({position} AS long) AS row_pos")
+    out = first_seen_ids(df, ["k"], "kid", bucket_rows=5)
+    assert as_map(out, ["k"], "kid") == as_map(single_window(df, ["k"], "kid"), ["k"], "kid")

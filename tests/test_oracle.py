@@ -30,10 +30,12 @@ def duck(sf_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(SQL)
+    """The training-data queries, if there, say themselves which have SQL (tests/llm covers the others)."""
+    own = {n for n in entry.queries() if n != "pipeline" and not n.startswith("op")}
+    assert own <= set(SQL) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, sf_dir, duck, name):
     got = entry.queries()[name](spark, sf_dir).toPandas()
     want = duck.execute(SQL[name]).df()

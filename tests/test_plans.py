@@ -153,3 +153,19 @@ def test_reports_on_the_warehouse_equal_the_in_session_star(spark, inputs):
         enriched_trips(wh.fact, wh.dims, attach, cols, broadcast=frozenset()),  # skew-safe lookups
         enriched_trips(mem.fact, mem.dims, attach, cols, broadcast=mem.small),
     )
+
+
+def test_a_failed_build_leaves_the_old_star_whole(spark, inputs, monkeypatch):
+    from trip_star.plans import build
+
+    trips, zones = inputs
+    build_star(spark, trips, zones, "trip_star_swap")
+    before = {t: sorted(map(str, spark.table(f"trip_star_swap.{t}").collect())) for t in ("trips", "vendors", "fares")}
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("fact write")
+
+    monkeypatch.setattr(build, "fact_trips", fail)
+    with pytest.raises(RuntimeError, match="fact write"):
+        build_star(spark, trips.filter("row_pos < 10"), zones, "trip_star_swap")
+    assert {t: sorted(map(str, spark.table(f"trip_star_swap.{t}").collect())) for t in before} == before

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 
+import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from trip_star.schemas import ROW_POS
@@ -90,14 +92,53 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_position_filters_reach_the_parquet_scan(spark, sf_dir):
+def test_column_pruning_reaches_the_parquet_scan(spark, sf_dir):
     from trip_star.sources import fixture_trips
 
-    events = with_row_pos(spark.read.parquet(f"{sf_dir}/events.parquet"))
-    assert "LessThan(_tmp_metadata_row_index,100)" in _plan(head_slice(events, 100))
     trips = fixture_trips(spark, sf_dir)
-    plan = _plan(preview(trips))
-    assert "LessThan(event_id,5)" in plan
-    # only the columns the projection needs are read
-    narrow = _plan(trips.select("row_pos", "VendorID"))
-    assert "ReadSchema: struct<event_id:bigint>" in narrow
+    assert "LessThan(event_id,5)" in _plan(preview(trips))
+    assert "ReadSchema: struct<event_id:bigint>" in _plan(trips.select("row_pos", "VendorID"))
+
+
+def _files(folder, parts):
+    for name, table in parts.items():
+        path = os.path.join(folder, name)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        pq.write_table(table, path)
+
+
+def test_head_rows_scan_only_the_leading_files(spark, scratch):
+    folder = os.path.join(scratch, "months")
+    _files(folder, {f"m{i}.parquet": pa.table({"VendorID": list(range(100 * i, 100 * i + 100))}) for i in range(5)})
+    head = read_trips(spark, folder, head_rows=150)
+    assert {os.path.basename(f) for f in head.inputFiles()} == {"m0.parquet", "m1.parquet"}
+    assert sorted(r["VendorID"] for r in head.collect()) == list(range(150))
+
+
+def test_months_that_differ_in_types_case_and_folder(spark, scratch):
+    folder = os.path.join(scratch, "mixed_months")
+    _files(
+        folder,
+        {
+            "a.parquet": pa.table({"passenger_count": pa.array([1, 2], pa.int64()), "airport_fee": [0.5, 1.5]}),
+            "sub/b.parquet": pa.table({"passenger_count": [3.0, float("nan")], "Airport_fee": [2.5, None]}),
+        },
+    )
+    rows = read_trips(spark, folder).orderBy(ROW_POS).select(ROW_POS, "passenger_count", "airport_fee").collect()
+    assert [tuple(r) for r in rows] == [(0, 1, 0.5), (1, 2, 1.5), (2, 3, 2.5), (3, None, None)]
+
+
+def test_a_fractional_count_is_an_error(spark):
+    with pytest.raises(Exception, match="fraction"):
+        conform(spark.createDataFrame([(1.9,)], "passenger_count double")).collect()
+
+
+def test_csv_quotes_commas_and_missing_markers(spark, scratch):
+    folder = os.path.join(scratch, "zone_csvs")
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, "1.csv"), "w") as f:
+        f.write('LocationID,borough,zone\n1,"The ""Bay"" area, east",N/A\n2,NA,"two\nlines"\n')
+    with open(os.path.join(folder, "2.csv"), "w") as f:
+        f.write("zone,LocationID,borough\nz,3,b\n")
+    got = sorted(tuple(r) for r in read_zones_csv(spark, folder).collect())
+    assert got == [(1, 'The "Bay" area, east', None), (2, None, "two\nlines"), (3, "b", "z")]

@@ -28,7 +28,8 @@ def test_rebuild_on_new_files(spark, sf_dir, scratch):
     rebuild_on_new_files(spark, folder, zones, "trip_star_stream", ckpt).awaitTermination(120)
     assert spark.table("trip_star_stream.trips").count() == 600
 
-    _write(trips.iloc[600:], os.path.join(folder, "trips-001.parquet"))
+    os.makedirs(os.path.join(folder, "later"))  # "later/..." sorts before "trips-000": both readers list subfolders
+    _write(trips.iloc[600:], os.path.join(folder, "later", "trips-001.parquet"))
     rebuild_on_new_files(spark, folder, zones, "trip_star_stream", ckpt).awaitTermination(120)
     fact = spark.table("trip_star_stream.trips")
     assert fact.count() == len(trips)

@@ -36,6 +36,7 @@ def main(argv: list[str] | None = None) -> None:
         )
         query.awaitTermination()
         return
-    report = build_star(spark, read_trips(spark, args.trips), zones, args.database, head_rows=args.head_rows)
+    trips = read_trips(spark, args.trips, head_rows=args.head_rows)
+    report = build_star(spark, trips, zones, args.database)
     for row in report.collect():  # eleven rows
         print(f"Loaded {row['n_rows']} rows and {row['n_cols']} columns to {args.database}.{row['table_name']}")

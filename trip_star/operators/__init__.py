@@ -3,7 +3,6 @@
 from trip_star.operators.aggregates import (
     column_profile,
     non_null_counts,
-    row_count,
     top_k,
     value_counts,
 )
@@ -14,7 +13,6 @@ from trip_star.operators.keys import (
     FIRST,
     ROWS,
     first_seen_ids,
-    first_seen_ids_single_partition,
     first_seen_index,
     number_first_seen,
     row_id,
@@ -31,14 +29,12 @@ __all__ = [
     "duplicate_rows",
     "fingerprint",
     "first_seen_ids",
-    "first_seen_ids_single_partition",
     "first_seen_index",
     "hot_keys",
     "lookup_columns",
     "non_null_counts",
     "null_safe_equal",
     "number_first_seen",
-    "row_count",
     "row_id",
     "top_k",
     "value_counts",

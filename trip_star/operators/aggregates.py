@@ -45,7 +45,3 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
         for i, c in enumerate(cols)
     ]
     return counts.select(F.inline(F.array(*entries)))
-
-
-def row_count(df: DataFrame, alias: str = "n_rows") -> DataFrame:
-    return df.agg(F.count(F.lit(1)).cast("long").alias(alias))

@@ -12,6 +12,7 @@ from trip_star.functions.casts import nan_to_null
 from trip_star.operators.joins import HOT_MAX_KEYS, HOT_MIN_ROWS, attach_id, hot_keys
 from trip_star.operators.keys import FIRST, ROWS, first_seen_index
 from trip_star.schemas import ROW_POS
+from trip_star.session import ensure_checkpoint_dir
 
 
 _FP = "__fingerprint"
@@ -21,10 +22,10 @@ def fingerprint(columns: Sequence[str], types: dict[str, T.DataType] | None = No
     """SHA-256 of the whole value(s) of ``columns``: a fixed 32-byte key.
 
     One column: the digest of its text (null stays null, so missing values
-    still form one group). Several: the digest of their JSON struct, which
-    names every field and so cannot confuse two different tuples. Float
-    columns (``types``) are folded first as grouping would: NaN -> null,
-    -0.0 -> 0.0.
+    still form one group). Several: the digest of their texts, each with its
+    length (or a null mark) before it, so no two different tuples read alike;
+    timestamps keep their microseconds. Float columns (``types``) are folded
+    first as grouping would: NaN -> null, -0.0 -> 0.0.
     """
     types = types or {}
 
@@ -36,7 +37,19 @@ def fingerprint(columns: Sequence[str], types: dict[str, T.DataType] | None = No
 
     if len(columns) == 1:
         return F.unhex(F.sha2(norm(columns[0]).cast("string"), 256))
-    return F.unhex(F.sha2(F.to_json(F.struct(*[norm(c) for c in columns])), 256))
+
+
+    def part(c: str) -> Column:
+        kind = types.get(c)
+        if isinstance(kind, T.BinaryType):
+            text = F.hex(c)
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            text = F.to_json(F.struct(F.col(c).alias("v")))
+        else:
+            text = norm(c).cast("string")
+        return F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.char_length(text).cast("string"), F.lit(":"), text))
+
+    return F.unhex(F.sha2(F.concat(*[part(c) for c in columns]), 256))
 
 
 def _wide(df: DataFrame, columns: Sequence[str]) -> bool:
@@ -72,7 +85,8 @@ def duplicate_rows(
     covers a large share of the rows is broadcast and its rows spread out.
     Text keys (the default for string columns) are grouped and joined on their
     SHA-256 fingerprint, so whole documents are hashed once and never shuffled,
-    and the broadcast hot set is at most ``hot_max_keys`` x 32 bytes.
+    and the broadcast hot set is at most ``hot_max_keys`` x 32 bytes. Only the
+    flagged positions (unique in ``df``) meet the rows again.
     """
     if use_fingerprint is None:
         use_fingerprint = _wide(df, columns)
@@ -81,11 +95,14 @@ def duplicate_rows(
     if use_fingerprint:
         src = df.withColumn(_FP, fingerprint(columns, dict((f.name, f.dataType) for f in df.schema.fields)))
         keys = [_FP]
-    index = first_seen_index(src.select(order_col, *keys), keys, order_col, counts=True)
+    # position and key only, computed once; everything below reads this table
+    ensure_checkpoint_dir(df.sparkSession)
+    narrow = src.select(order_col, *keys).checkpoint(eager=True)
+    index = first_seen_index(narrow, keys, order_col, counts=True)
     hot = hot_keys(index, keys, FIRST, hot_min_rows, hot_max_keys)
-    tagged = attach_id(src, index, keys, FIRST, hot=hot, spread_col=order_col)
-    out = tagged.filter(F.col(order_col) != F.col(FIRST)).withColumnRenamed(FIRST, first_col)
-    return out.drop(_FP) if use_fingerprint else out
+    tagged = attach_id(narrow, index, keys, FIRST, hot=hot, spread_col=order_col)
+    later = tagged.filter(F.col(order_col) != F.col(FIRST)).select(order_col, F.col(FIRST).alias(first_col))
+    return df.join(later, order_col).select(*df.columns, first_col)
 
 
 def duplicate_count(

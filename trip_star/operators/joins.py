@@ -144,12 +144,14 @@ def lookup_columns(
     hot_max_keys: int = HOT_MAX_KEYS,
     spread_col: str | None = None,
     salts: int | None = None,
+    freq: DataFrame | None = None,
 ) -> DataFrame:
     """Left-join ``columns`` of ``dim`` onto ``fact`` by a non-negative id ``key``
     that is unique in ``dim`` (a star lookup such as fact -> dimension by id).
 
-    ``broadcast`` is for a caller that has checked the dimension's size.
-    Otherwise the join is skew-safe: the hot ids are the fact's heavy ones (a
+    ``broadcast`` is for a caller that has checked the dimension's size;
+    ``freq`` (``key``, ``__rows``) for one that knows the fact's row counts, so
+    that ``fact`` is not computed once more to find them. Otherwise the join is skew-safe: the hot ids are the fact's heavy ones (a
     partial-aggregated count; at most ``hot_max_keys`` can qualify), looked up
     in the dimension through a broadcast of that bounded set, and their rows
     are salted across the shuffle.
@@ -157,7 +159,8 @@ def lookup_columns(
     d = dim.select(key, F.col(key).alias("__lookup_id"), *columns)
     if broadcast:
         return fact.join(F.broadcast(d.drop("__lookup_id")), key, "left")
-    freq = fact.groupBy(key).agg(F.count(F.lit(1)).alias(ROWS))
+    if freq is None:
+        freq = fact.groupBy(key).agg(F.count(F.lit(1)).alias(ROWS))
     hot_ids = hot_keys(freq, [key], key, hot_min_rows, hot_max_keys)
     hot = d.join(F.broadcast(hot_ids), key, "left_semi")
     out = attach_id(

@@ -5,15 +5,13 @@ A dimension id is the 0-based rank of a key's first position in the input:
 order, so the position is a column (``row_pos``) and the id becomes
 
 1. one hash aggregate: ``min(position)`` (and a row count) per key, with
-   map-side partial aggregation, so a hot key costs nothing extra;
-2. a dense number of that first position without a global sort: keys are cut
-   into buckets of ``width`` consecutive positions, numbered inside each
-   bucket, and shifted by the running total of the bucket sizes. ``width`` is
-   the span of first positions / ``target_buckets`` (a scalar subquery over the
-   index), capped at ``bucket_rows``: small inputs still number in parallel,
-   and a bucket never holds more than ``bucket_rows`` keys when positions are
-   unique. The offset table has one row per bucket: at most
-   ``max(target_buckets, span / bucket_rows)`` rows.
+   map-side partial aggregation, so a hot key costs nothing extra. Its result
+   is checkpointed, so the input is scanned and shuffled once;
+2. a dense number in the order (first position, key): the distinct keys are
+   range-partitioned by that order and sorted inside each partition, numbered
+   there, and shifted by the running total of the partition sizes. Sparse,
+   repeated or constant positions make no difference: partitions are cut by
+   the number of keys. The offset table has one row per partition.
 
 The ids do not depend on partitioning, file splits or task order.
 """
@@ -26,16 +24,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trip_star.schemas import ROW_POS
+from trip_star.session import ensure_checkpoint_dir, shuffle_partitions
 
 FIRST = "__first"
 ROWS = "__rows"
-_BUCKET = "__bucket"
+_PLACE = "__place"
 
-# Most keys per numbering bucket (4,194,304). At 10^12 input rows that is under
-# 250,000 buckets, so the broadcast offset table stays a few MB.
+# Keys per numbering partition that are aimed at beyond the shuffle partitions.
 DEFAULT_BUCKET_ROWS = 1 << 22
-# Buckets aimed for when the input is small enough (parallel numbering).
-DEFAULT_TARGET_BUCKETS = 1024
+_ROW_BITS = 33  # monotonically_increasing_id: partition above, row in the partition below
 
 
 def key_order(keys: Sequence[str]) -> list[Column]:
@@ -54,34 +51,34 @@ def first_seen_index(
 
 
 def number_first_seen(
-    index: DataFrame,
-    keys: Sequence[str],
-    id_col: str,
-    bucket_rows: int = DEFAULT_BUCKET_ROWS,
-    target_buckets: int = DEFAULT_TARGET_BUCKETS,
+    index: DataFrame, keys: Sequence[str], id_col: str, bucket_rows: int = DEFAULT_BUCKET_ROWS
 ) -> DataFrame:
-    """Dense 0-based id in ``(first position, key)`` order, computed bucket-wise."""
-    if bucket_rows < 1 or target_buckets < 1:
-        raise ValueError("bucket_rows and target_buckets must be positive")
-    bounds = index.select(F.struct(F.min(FIRST).alias("lo"), F.max(FIRST).alias("hi"))).scalar()
-    low = bounds.getField("lo")
-    span = bounds.getField("hi") - low + F.lit(1)
-    width = F.least(F.lit(bucket_rows), F.greatest(F.lit(1), F.ceil(span / F.lit(target_buckets))))
-    idx = index.withColumn(_BUCKET, F.floor((F.col(FIRST) - low) / width).cast("long"))
-    in_bucket = Window.partitionBy(_BUCKET).orderBy(F.col(FIRST).asc(), *key_order(keys))
-    numbered = idx.withColumn("__rn", F.row_number().over(in_bucket))
-
-    before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    """Dense 0-based id in ``(first position, key)`` order; ``index`` is computed once.
+
+    Both steps are checkpointed: the ranges are drawn from a sample, so the
+    numbered rows must not be computed twice."""
+    if bucket_rows < 1:
+        raise ValueError("bucket_rows must be positive")
+    spark = index.sparkSession
+    ensure_checkpoint_dir(spark)
+    index = index.checkpoint(eager=True)
+    n = max(shuffle_partitions(spark), -(-index.count() // bucket_rows))
+    order = [F.col(FIRST).asc(), *key_order(keys)]
+    placed = (
+        index.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        .withColumn(_PLACE, F.monotonically_increasing_id()).checkpoint(eager=True)
+    )
+    part = F.shiftright(_PLACE, _ROW_BITS)
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        idx.groupBy(_BUCKET)
-        .agg(F.count(F.lit(1)).alias("__size"))
-        .select(_BUCKET, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
+        placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__size"))
+        .select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
     )
-    # One row per bucket: bounded as in the module docstring.
+    row = F.col(_PLACE).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
-        numbered.join(F.broadcast(offsets), _BUCKET)
-        .withColumn(id_col, (F.col("__offset") + F.col("__rn") - F.lit(1)).cast("long"))
-        .drop(_BUCKET, "__rn", "__offset")
+        placed.join(F.broadcast(offsets), part == F.col("__part"))  # at most n rows
+        .withColumn(id_col, (F.col("__offset") + row).cast("long"))
+        .drop(_PLACE, "__part", "__offset")
     )
 
 
@@ -104,21 +101,6 @@ def first_seen_ids(
     return out if keep_first else out.drop(FIRST)
 
 
-def first_seen_ids_single_partition(
-    df: DataFrame, keys: Sequence[str], id_col: str, order_col: str = ROW_POS
-) -> DataFrame:
-    """The textbook form: one window over all distinct keys in a single task.
-
-    Only for key sets with a known small bound; kept as the check that the
-    bucketed numbering gives identical ids.
-    """
-    index = first_seen_index(df, keys, order_col)
-    everything = Window.orderBy(F.col(FIRST).asc(), *key_order(keys))
-    return index.withColumn(
-        id_col, (F.row_number().over(everything) - F.lit(1)).cast("long")
-    ).drop(FIRST)
-
-
 def row_id(df: DataFrame, id_col: str = "event_id", pos_col: str = ROW_POS) -> DataFrame:
     """Fact row id = input position (joins to unique keys never fan out)."""
     return df.withColumn(id_col, F.col(pos_col).cast("long"))

@@ -109,15 +109,22 @@ def queries() -> dict[str, str]:
 
     q["head_slice"] = (
         "select event_id, ts, user_id, event_type, value, props, event_id as row_pos "
-        "from events where event_id < 100000"
+        "from events where event_id < 777"
     )
     q["preview_rows"] = _with() + " select row_pos, " + ", ".join(trip_cols) + " from trips where row_pos < 5"
     q["cast_if_present"] = _with() + (
         " select row_pos, cast(tpep_pickup_datetime as varchar) as tpep_pickup_datetime, "
-        "cast(tpep_dropoff_datetime as varchar) as tpep_dropoff_datetime from trips"
+        "cast(hour(tpep_pickup_datetime) as int) as pickup_hour from trips"
+    )
+    q["read_trip_files"] = _with() + (
+        " select cast(row_number() over (order by row_pos % 2, row_pos) - 1 as bigint) as row_pos, "
+        + ", ".join(trip_cols) + " from trips"
     )
     q["zone_lookup_distinct"] = _with() + " select LocationID, borough, zone from zones"
-    q["zone_lookup_csv"] = q["zone_lookup_distinct"]
+    q["zone_lookup_csv"] = _with() + (
+        " select LocationID, case when LocationID % 7 = 0 then null else borough end as borough, "
+        "'The \"' || zone || '\", no. ' || LocationID as zone from zones"
+    )
     doubled = (
         "doubled as (select row_pos * 2 as row_pos, " + ", ".join(trip_cols) + " from trips "
         "union all select row_pos * 2 + 1 as row_pos, " + ", ".join(trip_cols) + " from trips)"
@@ -135,10 +142,14 @@ def queries() -> dict[str, str]:
         "cast(count(*) - (select count(*) from (select distinct text from documents)) as bigint) as n_duplicates "
         "from documents"
     )
-    distinct_trips = "(select count(*) from (select distinct " + ", ".join(trip_cols) + " from trips))"
-    q["trip_duplicate_count"] = _with() + (
+    repeated = (
+        "repeated as (select " + ", ".join(trip_cols) + " from trips union all select " + ", ".join(trip_cols)
+        + " from trips where row_pos % 4 = 0)"
+    )
+    distinct_trips = "(select count(*) from (select distinct " + ", ".join(trip_cols) + " from repeated))"
+    q["trip_duplicate_count"] = _with(repeated) + (
         f" select cast(count(*) as bigint) as n_rows, cast({distinct_trips} as bigint) as n_distinct, "
-        f"cast(count(*) - {distinct_trips} as bigint) as n_duplicates from trips"
+        f"cast(count(*) - {distinct_trips} as bigint) as n_duplicates from repeated"
     )
     q["first_seen_ids_small"] = _with(_key_cte("ids", ["payment_type"], "payment_type_id")) + (
         " select payment_type, payment_type_id from ids"
@@ -188,15 +199,19 @@ def queries() -> dict[str, str]:
         "cast((select count(*) from fact) as bigint) as fact_rows, "
         "cast((select count(*) from trips) - (select count(*) from fact) as bigint) as difference"
     )
-    q["lookup_key_report"] = _with() + (
-        " select cast((select count(*) from zones_raw) as bigint) as n_rows, "
-        "cast((select count(*) from zones) as bigint) as n_distinct_rows, "
-        "cast((select count(*) from (select distinct LocationID from zones)) as bigint) as n_keys, "
-        "cast((select count(*) from (select LocationID from zones group by LocationID having count(*) > 1)) "
+    ambiguous = (
+        "ambiguous_raw as (select * from zones_raw union all select LocationID, borough, zone || ' (old)' from zones_raw "
+        "where LocationID % 50 = 0), ambiguous as (select distinct * from ambiguous_raw)"
+    )
+    q["lookup_key_report"] = _with(ambiguous) + (
+        " select cast((select count(*) from ambiguous_raw) as bigint) as n_rows, "
+        "cast((select count(*) from ambiguous) as bigint) as n_distinct_rows, "
+        "cast((select count(*) from (select distinct LocationID from ambiguous)) as bigint) as n_keys, "
+        "cast((select count(*) from (select LocationID from ambiguous group by LocationID having count(*) > 1)) "
         "as bigint) as n_violating_keys"
     )
-    q["lookup_key_violations"] = _with() + (
-        " select LocationID, cast(count(*) as bigint) as n_rows from zones group by LocationID having count(*) > 1"
+    q["lookup_key_violations"] = _with(ambiguous) + (
+        " select LocationID, cast(count(*) as bigint) as n_rows from ambiguous group by LocationID having count(*) > 1"
     )
     nulls = ", ".join(
         f"cast(sum(case when {c} is null then 1 else 0 end) as bigint) as null_{c}"
@@ -215,6 +230,9 @@ def queries() -> dict[str, str]:
         f" {report} union all select 'trips' as table_name, cast(count(*) as bigint) as n_rows, "
         f"cast({len(FACT_COLUMNS)} as int) as n_cols from trips"
     )
+    q["enriched_trips_salted"] = q["enriched_trips"]
+    q["warehouse_trips"] = q["fact_trips"]
+    q["warehouse_avg_fare_by_hour"] = q["avg_fare_by_hour"]
     return q
 
 

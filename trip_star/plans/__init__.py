@@ -5,16 +5,6 @@ from trip_star.plans.dims import (
     BY_TABLE,
     DIMENSIONS,
     DimSpec,
-    dim_datetime,
-    dim_dropoff_location,
-    dim_fare,
-    dim_passenger_count,
-    dim_payment_type,
-    dim_pickup_location,
-    dim_rate_code,
-    dim_store_and_forward,
-    dim_trip_distance,
-    dim_vendor,
     dimension,
     key_index,
     public_columns,
@@ -22,7 +12,6 @@ from trip_star.plans.dims import (
 from trip_star.plans.fact import FACT_COLUMNS, WIDE_FACT_COLUMNS, attach_dimensions, fact_trips, fact_trips_wide
 from trip_star.plans.quality import (
     assert_unique_lookup,
-    duplicate_report,
     fk_completeness,
     lookup_key_report,
     lookup_key_violations,
@@ -51,18 +40,7 @@ __all__ = [
     "attach_dimensions",
     "avg_fare_by_hour",
     "build_star",
-    "dim_datetime",
-    "dim_dropoff_location",
-    "dim_fare",
-    "dim_passenger_count",
-    "dim_payment_type",
-    "dim_pickup_location",
-    "dim_rate_code",
-    "dim_store_and_forward",
-    "dim_trip_distance",
-    "dim_vendor",
     "dimension",
-    "duplicate_report",
     "enriched_trips",
     "fact_trips",
     "fact_trips_wide",

@@ -12,11 +12,14 @@ One driver program instead of a chain of tasks that pass JSON text:
 4. join the fact to the same checkpoints, so fact ids and dimension ids cannot
    diverge; a dimension is broadcast only when its counted size is under
    ``broadcast_max_rows``, otherwise it takes the skew-safe shuffled join;
-5. write the fact and return the load report read back from the catalog.
+5. write the fact. All eleven tables are written to a new version's folder and
+   swapped in together at the end, so a failure leaves the old star whole;
+6. return the load report read back from the catalog.
 """
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +30,7 @@ from trip_star.plans.fact import checked_indexes, fact_trips
 from trip_star.plans.quality import assert_unique_lookup
 from trip_star.session import ensure_checkpoint_dir
 from trip_star.sources.parquet import head_slice
-from trip_star.sinks.tables import ensure_database, load_report, write_table
+from trip_star.sinks.tables import ensure_database, load_report, stage_table, swap_tables
 
 FACT_TABLE = "trips"
 TABLES = tuple(spec.table for spec in DIMENSIONS) + (FACT_TABLE,)
@@ -61,11 +64,14 @@ def build_star(
         trips, DIMENSIONS, bucket_rows, broadcast_max_rows, parallel_jobs=parallel_jobs
     )
 
-    def write_dimension(spec):
-        write_table(public_columns(spec, indexes[spec.table], zones if spec.needs_zones else None), spec.table, database)
+    version = uuid.uuid4().hex
 
-    with ThreadPoolExecutor(max_workers=max(parallel_jobs, 1)) as pool:
-        list(pool.map(write_dimension, DIMENSIONS))
+    def stage_dimension(spec):
+        public = public_columns(spec, indexes[spec.table], zones if spec.needs_zones else None)
+        return stage_table(public, spec.table, database, version)
 
-    write_table(fact_trips(trips, indexes, broadcast=small), FACT_TABLE, database)
+    with ThreadPoolExecutor(max_workers=max(parallel_jobs, 1)) as pool:
+        staged = dict(zip((s.table for s in DIMENSIONS), pool.map(stage_dimension, DIMENSIONS), strict=True))
+    staged[FACT_TABLE] = stage_table(fact_trips(trips, indexes, broadcast=small), FACT_TABLE, database, version)
+    swap_tables(spark, staged, database)
     return load_report(spark, TABLES, database)

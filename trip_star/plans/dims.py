@@ -149,6 +149,7 @@ STORE_AND_FORWARD_FLAGS = DimSpec(
     ("store_and_forward_id", "store_and_forward_bool", "store_and_fwd_flag"),
 )
 
+# Fixed values above: table names, id names and column order are the output contract.
 # Table order of the reference pipeline.
 DIMENSIONS: tuple[DimSpec, ...] = (
     DATETIMES,
@@ -194,43 +195,3 @@ def dimension(
     spec = BY_TABLE[spec] if isinstance(spec, str) else spec
     lookup = distinct_rows(zones, order_col=None) if (spec.needs_zones and zones is not None) else zones
     return public_columns(spec, key_index(trips, spec, bucket_rows), lookup)
-
-
-def dim_datetime(trips: DataFrame, **kw) -> DataFrame:
-    return dimension(trips, DATETIMES, **kw)
-
-
-def dim_rate_code(trips: DataFrame, **kw) -> DataFrame:
-    return dimension(trips, RATE_CODES, **kw)
-
-
-def dim_payment_type(trips: DataFrame, **kw) -> DataFrame:
-    return dimension(trips, PAYMENT_TYPES, **kw)
-
-
-def dim_dropoff_location(trips: DataFrame, zones: DataFrame, **kw) -> DataFrame:
-    return dimension(trips, DROPOFF_LOCATIONS, zones, **kw)
-
-
-def dim_pickup_location(trips: DataFrame, zones: DataFrame, **kw) -> DataFrame:
-    return dimension(trips, PICKUP_LOCATIONS, zones, **kw)
-
-
-def dim_trip_distance(trips: DataFrame, **kw) -> DataFrame:
-    return dimension(trips, TRIP_DISTANCES, **kw)
-
-
-def dim_passenger_count(trips: DataFrame, **kw) -> DataFrame:
-    return dimension(trips, PASSENGER_COUNTS, **kw)
-
-
-def dim_vendor(trips: DataFrame, **kw) -> DataFrame:
-    return dimension(trips, VENDORS, **kw)
-
-
-def dim_fare(trips: DataFrame, **kw) -> DataFrame:
-    return dimension(trips, FARES, **kw)
-
-
-def dim_store_and_forward(trips: DataFrame, **kw) -> DataFrame:
-    return dimension(trips, STORE_AND_FORWARD_FLAGS, **kw)

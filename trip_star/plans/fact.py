@@ -47,6 +47,7 @@ from trip_star.session import ensure_checkpoint_dir
 # this keeps a broadcast side under ~20 MB).
 BROADCAST_MAX_ROWS = 200_000
 
+# The column order of both fact tables is the output contract.
 FACT_COLUMNS = (
     "event_id",
     "vendor_id",
@@ -106,8 +107,8 @@ def checked_indexes(
 ) -> tuple[dict[str, DataFrame], frozenset[str]]:
     """Key indexes with a counted size, and the names that may be broadcast.
 
-    Each index that is checked is computed once and checkpointed to the
-    reliable checkpoint folder (lineage cut), then counted; only those with at
+    Each index that is checked is computed once (the numbering checkpoints it to
+    the reliable checkpoint folder), then counted; only those with at
     most ``broadcast_max_rows`` rows are broadcast. With ``materialise_large``
     off, ``large`` dimensions stay lazy (not counted) and take the skew-safe
     shuffled join. The independent checks run as concurrent jobs.
@@ -119,8 +120,7 @@ def checked_indexes(
         index = key_index(trips, spec, bucket_rows)
         if spec.large and not materialise_large:
             return spec.table, index, None
-        index = index.checkpoint(eager=True)
-        return spec.table, index, index.count()
+        return spec.table, index, index.count()  # the numbering has checkpointed its rows
 
     with ThreadPoolExecutor(max_workers=max(parallel_jobs, 1)) as pool:
         done = list(pool.map(prepare, specs))

@@ -13,16 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trip_star.operators.aggregates import column_profile
-from trip_star.operators.dedupe import duplicate_count
 from trip_star.plans.fact import FACT_COLUMNS
 from trip_star.schemas import TRIP_COLUMNS
 
 
-def duplicate_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``df[df.duplicated()].shape`` as data: rows, distinct rows, duplicate rows."""
-    return duplicate_count(df, columns)
-
-
 def row_reconciliation(raw: DataFrame, fact: DataFrame) -> DataFrame:
     """One row: raw rows, fact rows and their difference (0 when no row is lost).
 

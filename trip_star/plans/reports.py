@@ -43,11 +43,14 @@ def enriched_trips(
     attach: Sequence[str],
     columns: Sequence[str] | None = None,
     broadcast: frozenset[str] | None = None,
+    freq: Mapping[str, DataFrame] | None = None,
+    **hot,
 ) -> DataFrame:
     """The fact joined by id to the named public dimensions (left joins).
 
     ``broadcast`` names dimensions whose size was checked; by default they
-    are counted here (``small_dimensions``).
+    are counted here (``small_dimensions``). ``freq`` has the fact's rows per id
+    (``Star.freq``); without it they are counted on the frame joined so far.
     """
     if broadcast is None:
         broadcast = small_dimensions({t: dims[t] for t in attach})
@@ -57,7 +60,8 @@ def enriched_trips(
         dim = dims[table]
         wanted = [c for c in dim.columns if c != spec.id_col and (columns is None or c in columns)]
         spread = "event_id" if "event_id" in out.columns else None
-        out = lookup_columns(out, dim, spec.id_col, wanted, broadcast=table in broadcast, spread_col=spread)
+        known = (freq or {}).get(table)
+        out = lookup_columns(out, dim, spec.id_col, wanted, broadcast=table in broadcast, spread_col=spread, freq=known, **hot)
     return out.select(*columns) if columns else out
 
 
@@ -85,19 +89,26 @@ def avg_fare_by_hour(
     datetimes: DataFrame,
     fares: DataFrame,
     broadcast: frozenset[str] | None = None,
+    freq: Mapping[str, DataFrame] | None = None,
+    **hot,
 ) -> DataFrame:
     """Average fare amount per pick-up hour of day (rounded to 4 places).
 
-    Identical (datetime, fare) id pairs are counted first (map-side combine),
-    so each lookup sees distinct pairs with a weight, not every trip.
+    The hour is attached first; then trips of one hour and fare are counted
+    (at most 25 rows per fare, combined on the map side) and only those counts
+    meet the fares: one fact-sized join, not two.
     """
     hours = datetimes.select("datetime_id", hour(F.to_timestamp_ntz(F.col(PICKUP_TS))).alias("pickup_hour"))
     amounts = fares.select("fare_id", "fare_amount")
     if broadcast is None:
         broadcast = small_dimensions({"datetimes": hours, "fares": amounts})
-    pairs = fact.groupBy("datetime_id", "fare_id").agg(F.count(F.lit(1)).alias("__n"))
-    rows = lookup_columns(pairs, hours, "datetime_id", ["pickup_hour"], broadcast="datetimes" in broadcast)
-    rows = lookup_columns(rows, amounts, "fare_id", ["fare_amount"], broadcast="fares" in broadcast)
+    known = (freq or {}).get("datetimes")
+    trips = fact.select("datetime_id", "fare_id")
+    timed = lookup_columns(trips, hours, "datetime_id", ["pickup_hour"], broadcast="datetimes" in broadcast, freq=known, **hot)
+    counts = timed.groupBy("pickup_hour", "fare_id").agg(F.count(F.lit(1)).alias("__n"))
+    if "fares" in broadcast:
+        amounts = F.broadcast(amounts)
+    rows = counts.join(amounts, "fare_id", "left")  # a fare has at most 25 rows on this side
     weighted = F.sum(F.col("fare_amount") * F.col("__n"))
     counted = F.sum(F.when(F.col("fare_amount").isNotNull(), F.col("__n")))
     return (

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trip_star.operators.keys import DEFAULT_BUCKET_ROWS
+from trip_star.operators.keys import DEFAULT_BUCKET_ROWS, ROWS
 from trip_star.plans.dims import BY_TABLE, DIMENSIONS, public_columns
 from trip_star.plans.fact import attach_dimensions, checked_indexes
 from trip_star.plans.reports import small_dimensions
@@ -30,6 +30,7 @@ class Star:
     fact: DataFrame
     dims: dict[str, DataFrame]
     small: frozenset[str]
+    freq: dict[str, DataFrame]  # fact rows per id, by table
 
 
 def star_from_trips(
@@ -48,7 +49,8 @@ def star_from_trips(
     )
     zones = zones_raw.dropDuplicates() if zones_raw is not None else None
     dims = {s.table: public_columns(s, indexes[s.table], zones if s.needs_zones else None) for s in specs}
-    return Star(fact, dims, small)
+    freq = {s.table: indexes[s.table].select(s.id_col, ROWS) for s in specs}
+    return Star(fact, dims, small, freq)
 
 
 def star_from_warehouse(
@@ -60,4 +62,7 @@ def star_from_warehouse(
 ) -> Star:
     names = list(tables) if tables else [s.table for s in DIMENSIONS]
     dims = {t: spark.table(qualified(t, database)) for t in names}
-    return Star(spark.table(qualified(fact_table, database)), dims, small_dimensions(dims, broadcast_max_rows))
+    fact = spark.table(qualified(fact_table, database))
+    ids = {t: BY_TABLE[t].id_col for t in names}
+    freq = {t: fact.groupBy(c).agg(F.count(F.lit(1)).alias(ROWS)) for t, c in ids.items()}  # read from the stored fact
+    return Star(fact, dims, small_dimensions(dims, broadcast_max_rows), freq)

@@ -56,7 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 
     Order: the session's own checkpoint dir, then ``spark.checkpoint.dir``, then
     ``fallback``, then a folder inside the warehouse (shared storage on a
-    cluster, like every managed table).
+    cluster, like every managed table). A warehouse on the driver's own disk
+    is refused unless the master is local: executors would not share it.
     """
     try:
         sc = spark.sparkContext
@@ -71,6 +72,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     target = configured or fallback
     if not target:
         warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if warehouse.startswith(("file:", "/")) and not sc.master.startswith("local"):
+            raise ValueError("name a shared folder in spark.checkpoint.dir: the warehouse is on a local disk")
         target = warehouse.rstrip("/") + "/_trip_star_checkpoints"
     # setCheckpointDir creates the folder through the Hadoop file system.
     sc.setCheckpointDir(target)

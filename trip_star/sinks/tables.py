@@ -41,6 +41,36 @@ def write_table(
     return target
 
 
+def stage_table(df: DataFrame, name: str, database: str | None, version: str) -> str:
+    """Write a table's next version beside the current one; returns its folder.
+    Nothing that readers see changes until ``swap_tables``."""
+    spark = df.sparkSession
+    root = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri.rstrip("/")
+    path = f"{root}/_versions/{version}/{name.lower()}"
+    df.write.parquet(path)
+    return path
+
+
+def swap_tables(spark: SparkSession, staged: dict[str, str], database: str | None) -> None:
+    """Point every table at its staged folder (catalog changes only, after all
+    writes have succeeded) and remove the folders they pointed at before."""
+    old = []
+    for name, path in staged.items():
+        target = qualified(name, database)
+        if spark.catalog.tableExists(target):
+            info = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()}
+            old.append(info.get("Location"))
+            spark.sql(f"DROP TABLE {target}")
+        spark.catalog.createTable(target, path=path, source="parquet")
+    for location in filter(None, old):
+        remove_folder(spark, location)
+
+
+def remove_folder(spark: SparkSession, location: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def load_report(spark: SparkSession, names: Sequence[str], database: str | None = None) -> DataFrame:
     """One row per table: rows and columns loaded, read back from the catalog."""
     parts = []

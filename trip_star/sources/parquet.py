@@ -2,63 +2,78 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trip_star.functions.casts import cast_timestamps_if_present, nan_to_null, normalise_float_keys
 from trip_star.schemas import FLOAT_COLUMNS, ROW_POS, TIMESTAMP_COLUMNS, TRIPS
 
-# The per-file offset table has one row per input file. It is broadcast only
-# while the file count (known from the listing, before any job) is below this.
-MAX_BROADCAST_FILES = 100_000
+# One listing rule for batch reads and for the stream that waits for files.
+LISTING = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
+
+
+def file_offsets(df: DataFrame) -> dict[str, int]:
+    """Input position of the first row of every file, in path order.
 
+    One job over metadata only (no column is read); the result has a row per
+    file, as the driver's own listing has."""
+    per_file = df.select(F.col("_metadata.file_path").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("n"))
+    offsets, total = {}, 0
+    for path, n in sorted(tuple(r) for r in per_file.collect()):
+        offsets[path] = total
+        total += n
+    return offsets
 
-def with_row_pos(df: DataFrame, col: str = ROW_POS) -> DataFrame:
+
+def with_row_pos(df: DataFrame, col: str = ROW_POS, offsets: dict[str, int] | None = None) -> DataFrame:
     """Add the 0-based input position of every row.
 
     ``df`` must be a file scan straight from ``spark.read`` (the hidden
     ``_metadata`` column is needed). Position = the row's index inside its file
-    plus the row count of all files whose path sorts before it. One file needs
-    no offsets, and a filter on the position then reaches the parquet reader.
+    plus the row count of all files whose path sorts before it. Several files
+    take their offset from a broadcast of 16 bytes per file (hash of the path,
+    offset), so rows are never shuffled; one file needs none.
     """
     row_index = F.col("_metadata.row_index")
-    files = df.inputFiles()
-    if len(files) <= 1:
+    if offsets is None:
+        offsets = file_offsets(df) if len(df.inputFiles()) > 1 else {}
+    if len(offsets) <= 1 and not any(offsets.values()):
         return df.withColumn(col, row_index)
-
-    path = F.col("_metadata.file_path")
-    per_file = (
-        df.select(path.alias("__file"))
-        .groupBy("__file")
-        .agg(F.count(F.lit(1)).alias("__rows"))
-    )
-    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_file.select(
-        "__file", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset")
+    spark = df.sparkSession
+    table = spark.createDataFrame(list(offsets.items()), "f string, __offset long").select(
+        F.xxhash64("f").alias("__file"), "__offset"
     )
-    if len(files) <= MAX_BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
-    tagged = df.withColumns({"__file": path, "__index": row_index})
+    if table.select("__file").distinct().count() < len(offsets):
+        raise ValueError("two file paths have the same hash")
+    tagged = df.withColumns({"__file": F.xxhash64(F.col("_metadata.file_path")), "__index": row_index})
     return (
-        tagged.join(offsets, "__file", "left")
+        tagged.join(F.broadcast(table), "__file", "left")
         .withColumn(col, (F.col("__offset") + F.col("__index")).cast("long"))
         .drop("__file", "__index", "__offset")
     )
 
 
-def _cast(name: str, source: T.DataType, target: T.DataType) -> Column:
+def _cast(name: str, source: T.DataType, target: T.DataType, alias: str) -> Column:
     col = F.col(name)
     if isinstance(source, (T.FloatType, T.DoubleType)) and isinstance(target, T.IntegralType):
         col = nan_to_null(col)  # some months store counts as doubles with NaN
-    return col.cast(target).alias(name)
+        wrong = F.raise_error(F.concat(F.lit(f"{name} holds a fraction: "), col.cast("string")))
+        col = F.when(col != F.floor(col), wrong).otherwise(col)
+    return col.cast(target).alias(alias)
 
 
 def conform(df: DataFrame, schema=TRIPS, keep: tuple[str, ...] = (ROW_POS,)) -> DataFrame:
-    """Select the declared columns that are present, by name, cast to their types."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    cols = [F.col(k) for k in keep if k in types]
-    cols += [_cast(f.name, types[f.name], f.dataType) for f in schema.fields if f.name in types]
+    """Select the declared columns that are present, by name (in any case), cast to
+    their types. A count stored as a fraction is an error, not a rounded value."""
+    found = {f.name.lower(): f for f in df.schema.fields}
+    cols = [F.col(k) for k in keep if k in df.columns]
+    for f in schema.fields:
+        if source := found.get(f.name.lower()):
+            cols.append(_cast(source.name, source.dataType, f.dataType, f.name))
     return df.select(*cols)
 
 
@@ -69,13 +84,41 @@ def prepare_trips(df: DataFrame) -> DataFrame:
     return normalise_float_keys(df, FLOAT_COLUMNS)
 
 
-def read_trips(spark: SparkSession, path: str | list[str], position: bool = True) -> DataFrame:
-    """Scan trip parquet files: declared columns, typed, with ``row_pos``."""
+def _by_schema(spark: SparkSession, files: list[str], parallel_jobs: int) -> list[list[str]]:
+    """The files grouped by their own schema (months differ in physical types)."""
+    with ThreadPoolExecutor(max_workers=parallel_jobs) as pool:
+        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema.json(), files))
+    groups: dict[str, list[str]] = {}
+    for f, schema in zip(files, schemas, strict=True):
+        groups.setdefault(schema, []).append(f)
+    return list(groups.values())
+
+
+def read_trips(
+    spark: SparkSession, path: str | list[str], position: bool = True, head_rows: int | None = None, parallel_jobs: int = 8
+) -> DataFrame:
+    """Scan trip parquet files (also in subfolders): declared columns, typed, with
+    ``row_pos``. Files whose physical types differ are read as groups of one
+    schema each. With ``head_rows`` only the leading files that hold the first
+    rows in input order are scanned."""
     paths = [path] if isinstance(path, str) else list(path)
-    raw = spark.read.parquet(*paths)
-    if position:
-        raw = with_row_pos(raw)
-    return prepare_trips(conform(raw))
+    raw = spark.read.options(**LISTING).parquet(*paths)
+    files = sorted(raw.inputFiles())
+    if len(files) <= 1:
+        out = prepare_trips(conform(with_row_pos(raw) if position or head_rows is not None else raw))
+    else:
+        offsets = file_offsets(raw) if position or head_rows is not None else {}
+        if head_rows is not None:
+            leading = {p for p, first in offsets.items() if first < head_rows}
+            files = sorted(leading)
+        parts = []
+        for group in _by_schema(spark, files, parallel_jobs):
+            part = spark.read.parquet(*group)
+            parts.append(prepare_trips(conform(with_row_pos(part, offsets=offsets) if offsets else part)))
+        out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if head_rows is not None:
+        out = head_slice(out, head_rows)
+    return out if position else out.drop(ROW_POS)
 
 
 def head_slice(df: DataFrame, n: int, pos_col: str = ROW_POS) -> DataFrame:

@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from trip_star.plans.build import build_star
+from trip_star.sources.parquet import LISTING, read_trips
 
 # The binary-file source's fixed columns (a streaming source needs them declared).
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
-from trip_star.sources.parquet import read_trips
 
 
 def rebuild_on_new_files(
@@ -43,8 +43,7 @@ def rebuild_on_new_files(
     reader = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true")
+        .options(**LISTING)
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
