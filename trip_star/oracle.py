@@ -181,7 +181,7 @@ def queries() -> dict[str, str]:
     )
     q["avg_fare_by_hour"] = _with() + (
         " select cast(hour(tpep_pickup_datetime) as int) as pickup_hour, "
-        "round(avg(fare_amount), 4) as avg_fare_amount, cast(count(*) as bigint) as trip_count "
+        "round(round(sum(fare_amount), 6) / count(fare_amount), 4) as avg_fare_amount, cast(count(*) as bigint) as trip_count "
         "from trips group by 1"
     )
     q["flag_value_counts"] = _with() + (

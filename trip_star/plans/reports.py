@@ -109,7 +109,8 @@ def avg_fare_by_hour(
     if "fares" in broadcast:
         amounts = F.broadcast(amounts)
     rows = counts.join(amounts, "fare_id", "left")  # a fare has at most 25 rows on this side
-    weighted = F.sum(F.col("fare_amount") * F.col("__n"))
+    # six places of the sum are exact; what the order of addition adds beyond them would decide ties
+    weighted = F.round(F.sum(F.col("fare_amount") * F.col("__n")), 6)
     counted = F.sum(F.when(F.col("fare_amount").isNotNull(), F.col("__n")))
     return (
         rows.groupBy("pickup_hour")
