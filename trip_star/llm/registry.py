@@ -35,9 +35,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op2_warc": warc.query,
-        "op3_license_scan": licenses.query,
-        "op5_language_id": langid.query,
+        "op2_warc": warc.SQL,
         "op4_substring_dedup": substring_dedup.SQL,
         "op6_line_dedup": line_dedup.SQL,
         "op7_benchmark_decontamination": decontaminate.SQL,
