@@ -77,15 +77,21 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > len(first), bitorder="little").view("<u8")[0])
 
 
-def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE, drop_text: bool = False) -> DataFrame:
-    """``docs`` plus ``fp``, the fingerprint as a signed long."""
+def with_fingerprint(
+    docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE, drop_text: bool = False, out_col: str = "fp"
+) -> DataFrame:
+    """``docs`` plus ``out_col``, the fingerprint as a signed long."""
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         texts = raw(batch.column(batch.schema.get_field_index(text_col)))
         fps = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64)
         return [pa.array(fps.view(np.int64), pa.int64())]
 
-    return annotate(docs, run, [StructField("fp", LongType())], drop=[text_col] if drop_text else [])
+    return annotate(docs, run, [StructField(out_col, LongType())], drop=[text_col] if drop_text else [])
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
 class BlockCode:
@@ -110,8 +116,8 @@ class BlockCode:
     def anchors(self, block: Column) -> Column:
         syndrome = F.lit(0)
         for j, check in enumerate(self.checks):
-            syndrome = syndrome + (F.bit_count(block.bitwiseAND(F.lit(check))) % 2) * (1 << j)
-        table = F.lit([[*p] for p in self.patterns]).cast("array<array<bigint>>")
+            syndrome = syndrome + (F.bit_count(block.bitwiseAND(F.lit(_signed(check)))) % 2) * (1 << j)
+        table = F.lit([[_signed(e) for e in p] for p in self.patterns]).cast("array<array<bigint>>")
         return F.transform(F.element_at(table, (syndrome + 1).cast("int")), lambda e: block.bitwiseXOR(e))
 
 
@@ -318,11 +324,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     if nameless.isEmpty():
         return with_id
     # rows without id in components without id: one per component, told apart by fingerprint
-    rows = with_fingerprint(docs.filter(F.col(id_col).isNull()), text_col, options.get("shingle", SHINGLE))
+    rows = with_fingerprint(docs.filter(F.col(id_col).isNull()), text_col, options.get("shingle", SHINGLE), out_col="__fp")
     prints = nameless.select("fp").distinct()
     roots = connected_components(linked_fingerprints(prints, prints.count(), options.get("max_bits", MAX_BITS)))
-    heads = prints.join(roots, F.col("fp") == F.col("node"), "left").filter("root IS NULL OR root = fp").select("fp")
-    return with_id.unionByName(rows.join(heads, "fp", "left_semi").dropDuplicates(["fp"]).select(*docs.columns))
+    heads = prints.join(roots, F.col("fp") == F.col("node"), "left").filter("root IS NULL OR root = fp").select(F.col("fp").alias("__fp"))
+    return with_id.unionByName(rows.join(heads, "__fp", "left_semi").dropDuplicates(["__fp"]).select(*docs.columns))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
