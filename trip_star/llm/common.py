@@ -11,7 +11,7 @@ from __future__ import annotations
 import sys
 import types
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -49,10 +49,23 @@ def partitions(spark: SparkSession) -> int:
 
 
 def process_cache(name: str) -> dict:
-    """A dict that lives as long as the Python worker (functions are shipped by
-    value, so their module globals are new in every task)."""
+    """A dict that outlives the task in its Python worker (functions are shipped
+    by value, so their module globals are new in every task). There is one at a
+    time: asking for another name lets go of the last one."""
     store = sys.modules.setdefault("_trip_star_llm_cache", types.ModuleType("_trip_star_llm_cache"))
-    return store.__dict__.setdefault(name, {})
+    if getattr(store, "cache_name", None) != name:
+        store.cache_name, store.cache = name, {}
+    return store.cache
+
+
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, so that few texts are Python objects at a
+    time; what Arrow has set aside goes back after the last one, as the worker
+    lives on beside others."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
 
 
 def raw(column: pa.Array) -> list:
@@ -65,20 +78,22 @@ def annotate(
     fn: Callable[[pa.RecordBatch], Sequence[pa.Array]],
     fields: Sequence[StructField],
     drop: Sequence[str] = (),
+    cache: str = "",
 ) -> DataFrame:
     """Append the arrays ``fn`` returns for each batch as columns ``fields``.
 
     An input column that bears the name of a new one is replaced; ``drop``
-    leaves columns out of the result."""
+    leaves columns out of the result; ``cache`` names the process cache that
+    ``fn`` uses (any other is let go)."""
     new = [f.name for f in fields]
     keep = [c for c in df.columns if c not in drop and c not in new]
     schema = StructType([df.schema[c] for c in keep] + list(fields))
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                arrays = [batch.column(batch.schema.get_field_index(c)) for c in keep]
-                yield pa.RecordBatch.from_arrays([*arrays, *fn(batch)], names=[*keep, *new])
+        process_cache(cache)
+        for batch in sliced(batches):
+            arrays = [batch.column(batch.schema.get_field_index(c)) for c in keep]
+            yield pa.RecordBatch.from_arrays([*arrays, *fn(batch)], names=[*keep, *new])
 
     return df.mapInArrow(run, schema)
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from trip_star.llm.common import annotate, partitions, rolling, winnow
+from trip_star.llm.common import annotate, partitions, rolling, sliced, winnow
 
 GRAM = 16
 WINDOW = 48
@@ -98,7 +98,7 @@ def _compare_with_next(gram: int, window: int, names: list[str]):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
         id_type = pa.int64()
-        for batch in batches:
+        for batch in sliced(batches):
             id_type = batch.column(2).type
             for part, sentinel, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 hashes, _ = fingerprint(text, gram, window)

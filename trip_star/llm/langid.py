@@ -32,6 +32,7 @@ import re
 import uuid
 import zlib
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -51,8 +52,8 @@ BATCH = 128  # sequences of a training step
 RUN = (4, 40)  # words of one language in a row, in training
 LEXICON_MIN = 3  # occurrences that make a lexicon word
 LEXICON_SHARE = 0.9  # of them in one language
-CACHE_WORDS = 400_000
-SLAB = 200_000  # words whose messages are computed at once
+CACHE_WORDS = 200_000
+SLAB = 100_000  # words whose messages are computed at once
 UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -64,8 +65,8 @@ def words_of(text: str | None) -> list[str]:
 def features(word: str, lexicon: dict[str, int]) -> list[int]:
     """Buckets of a word's affixes, n-grams and lexicon entry."""
     names = [f"w{word}" if len(word) <= 3 else "long"]
-    names += [f"p{word[:n]}" for n in (1, 2, 3) if n <= len(word)]
-    names += [f"s{word[-n:]}" for n in (1, 2, 3, 4) if n <= len(word)]
+    if len(word) > 3:  # shorter affixes are among the n-grams
+        names += [f"p{word[:3]}", f"s{word[-3:]}", f"s{word[-4:]}"]
     edged = f"^{word[:40]}$"  # affixes and the lexicon see the whole word
     names += [edged[i : i + n] for n in (2, 3) for i in range(len(edged) - n + 1)]
     if (language := lexicon.get(word)) is not None:
@@ -234,54 +235,72 @@ def train(
     rows = rows.filter(F.char_length(text_col) <= sample_chars).select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     )
-    sizes = F.broadcast(rows.groupBy(F.col("lang").alias("l")).count())  # a row per language
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row per language
+    if not sizes:
+        return fit([])
+    # about as many rows of every language: a row's turn is uniform below the size of its language
+    size = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])[F.col("lang")]
+    turn = F.pmod(F.xxhash64("text"), F.lit(1 << 40)).cast("double") / (1 << 40) * size
     sample = (
-        rows.join(sizes, F.col("lang") == F.col("l"))
-        .withColumn("turn", F.pmod(F.xxhash64("text"), F.lit(1 << 40)).cast("double") * F.col("count"))
+        rows.withColumn("turn", turn)
+        .filter(F.col("turn") < 1.2 * sample_docs / len(sizes))
+        .distinct()  # copies of a text have the same turn
         .orderBy("turn", "text", "lang")
         .limit(sample_docs)
-        .select("text", "lang")
     )
     return fit([(r["text"], r["lang"]) for r in sample.collect()])
 
 
+class _Numbers(dict):
+    """Numbers for words in order of appearance; ``new`` are those not yet scored."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
 def _word_scores(model: Model, words: list[str]) -> np.ndarray:
     """Scores of the words, distinct ones computed once per worker while they fit the cache."""
     cache = process_cache("langid")
     if cache.get("key") != model.key or len(cache["number"]) > CACHE_WORDS:
-        cache.update(key=model.key, number={}, table=np.empty((1024, len(model.languages)), dtype=np.float32))
-    number, table = cache["number"], cache["table"]
-    new = [w for w in dict.fromkeys(words) if w not in number]
-    if new:
-        low = len(number)
-        while len(table) < low + len(new):
-            table = np.concatenate((table, np.empty_like(table)))
-        table[low : low + len(new)] = model.scores(new)
-        number.update(zip(new, range(low, low + len(new)), strict=True))
-        cache["table"] = table
-    return table[np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(words))]
-
-
-def label(model: Model, texts: list[list[str]]) -> list[np.ndarray]:
-    """The probabilities (words, languages) of each text."""
-    step, start = np.exp(model.transitions), np.exp(model.start)
-    out, at = [], 0
-    while at < len(texts):
-        words, sizes = [], []
-        while at < len(texts) and (not words or len(words) + len(texts[at]) <= SLAB):
-            words += texts[at]
-            sizes.append(len(texts[at]))
-            at += 1
-        ends = np.cumsum(sizes)
-        if not words:
-            out += [np.empty((0, len(model.languages)))] * len(sizes)
-            continue
-        fresh = np.zeros(len(words), dtype=bool)
-        starts = ends - sizes
-        fresh[starts[np.array(sizes) > 0]] = True
-        emit = np.maximum(_exp(_word_scores(model, words).astype(np.float64)), 1e-12)
-        out += np.split(marginals(emit, fresh, step, start), ends[:-1])
-    return out
+        cache.update(key=model.key, number=_Numbers(), table=np.empty((1024, len(model.languages)), dtype=np.float32))
+    number = cache["number"]
+    found = np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(words))
+    if number.new:
+        while len(cache["table"]) < len(number):
+            cache["table"] = np.concatenate((cache["table"], np.empty_like(cache["table"])))
+        cache["table"][len(number) - len(number.new) : len(number)] = model.scores(number.new)
+        number.new = []
+    return cache["table"][found]
+
+
+def label(model: Model, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+    """The probabilities (words, languages) of each text, a slab of words at a time."""
+    words: list[str] = []
+    sizes: list[int] = []
+    for text in texts:
+        own = words_of(text)
+        if words and len(words) + len(own) > SLAB:
+            yield from _label_slab(model, words, sizes)
+            words, sizes = [], []
+        words += own
+        sizes.append(len(own))
+    yield from _label_slab(model, words, sizes)
+
+
+def _label_slab(model: Model, words: list[str], sizes: list[int]) -> list[np.ndarray]:
+    if not words:
+        return [np.empty((0, len(model.languages)))] * len(sizes)
+    ends = np.cumsum(sizes)
+    fresh = np.zeros(len(words), dtype=bool)
+    fresh[(ends - sizes)[np.array(sizes) > 0]] = True
+    emit = np.maximum(_exp(_word_scores(model, words).astype(np.float64)), 1e-12)
+    return np.split(marginals(emit, fresh, np.exp(model.transitions), np.exp(model.start)), ends[:-1])
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", drop_text: bool = False, word_labels: bool = False) -> DataFrame:
@@ -293,8 +312,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", drop_text: bo
         model = shared.value
         texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
         lang, score, labels = [], [], []
-        words = [words_of(t) if model.languages else [] for t in texts]
-        for p in label(model, words) if model.languages else [np.empty((0, 0))] * len(texts):
+        for p in label(model, texts) if model.languages else [np.empty((0, 0))] * len(texts):
             if len(p):
                 mean = p.mean(axis=0)
                 best = int(mean.argmax())
@@ -311,7 +329,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", drop_text: bo
     fields = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
     if word_labels:
         fields.append(StructField("word_langs", ArrayType(StringType())))
-    return annotate(docs, run, fields, drop=[text_col] if drop_text else [])
+    return annotate(docs, run, fields, drop=[text_col] if drop_text else [], cache="langid")
 
 
 def fold(id_col: str = "doc_id") -> Column:

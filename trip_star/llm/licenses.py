@@ -133,7 +133,7 @@ def scan_licenses(
     fields = [StructField(c, LongType()) for c in ("n_words", "n_base", "first_word", "last_word")]
     fields += [StructField(c, StringType()) for c in ("base_labels", "labels")]
     fields += [StructField("score", DoubleType()), StructField("detections", ArrayType(span))]
-    return annotate(docs, run, fields, drop=[text_col] if drop_text else [])
+    return annotate(docs, run, fields, drop=[text_col] if drop_text else [], cache="licenses")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

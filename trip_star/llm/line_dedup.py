@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from trip_star.llm.common import SPACE, annotate, materialise, text_key
+from trip_star.llm.common import SPACE, annotate, materialise, process_cache, sliced, text_key
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -52,7 +52,8 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Da
     )
 
     def run(batches):
-        for batch in batches:
+        process_cache("")
+        for batch in sliced(batches):
             at, pos, keys = [], [], []
             for row, text in enumerate(batch.column(2).to_pylist()):
                 for i, line in enumerate(text.split("\n")):

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from trip_star.llm.common import annotate, materialise, process_cache
+from trip_star.llm.common import annotate, materialise, process_cache, sliced
 
 CAPACITY = 1024
 END_ID = 2
@@ -128,7 +128,7 @@ def token_pieces(
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the task has one core
         encoders = process_cache("encoders")
         encoder = encoders.get(path) or encoders.setdefault(path, Encoder(path))
-        for batch in batches:
+        for batch in sliced(batches):
             at, piece, start, length, crc, ids = [], [], [], [], [], []
             for row, text in enumerate(batch.column(1).to_pylist()):
                 buffer = encoder.encode(text or "") + end

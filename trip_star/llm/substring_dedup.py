@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
-from trip_star.llm.common import BASE, annotate, lookup, materialise, mix, partitions, powers, raw, rolling
+from trip_star.llm.common import BASE, annotate, lookup, materialise, mix, partitions, powers, raw, rolling, sliced
 
 WINDOW = 20
 GRAM = 8
@@ -102,7 +102,7 @@ def _occurrences(window: int, gram: int):
     """(id, text) -> (class, salt, seg, doc, place); place: first window, number of windows, known to repeat."""
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             docs = batch.column(0).to_numpy()
             parts = [segments(word_hashes((text or b"").split()), window, gram) for text in raw(batch.column(1))]
             sizes = [len(p[0]) for p in parts]
@@ -218,7 +218,7 @@ def _reference_words(window: int, gram: int, large: int):
     wide = (window - gram) // 2
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for doc, text, wanted in zip(batch.column(0).to_pylist(), raw(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                 words = (text or b"").split()

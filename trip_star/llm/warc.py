@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from trip_star.llm.common import lookup, materialise, raw, scratch_dir
+from trip_star.llm.common import lookup, materialise, raw, scratch_dir, sliced
 
 LEVEL = 4
 CHUNK = 1 << 20
@@ -136,9 +136,7 @@ def write_archives(
 
     def run(batches):
         archive, number, out, files, gzip = f"{uuid.uuid4().hex}.warc.gz", 0, None, None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in sliced(batches):
             if out is None:
                 files, path = open_folder(folder)
                 out, gzip = files.open_output_stream(f"{path}/{archive}", compression=None), zlib.compressobj(level, zlib.DEFLATED, 31)
