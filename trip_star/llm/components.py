@@ -1,13 +1,13 @@
 """Connected components over an edge table: alternating large-star and small-star
-rounds, each a partially aggregated minimum per node and one join whose hot
-keys the adaptive planner may split. Every round is written to the shared folder."""
+rounds, each a partially aggregated minimum per node and one join in
+which hubs meet their neighbours by broadcast. Every round is written to the shared folder."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trip_star.llm.common import materialise
+from trip_star.llm.common import lookup, materialise
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -24,8 +24,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     state = _state(now)
     while state[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = lookup(both, low, "u", "n", 2 * state[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(
             F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
