@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from trip_star.llm.common import annotate, materialise, process_cache, sliced
+from trip_star.llm.common import annotate, materialise, partitions, process_cache, sliced
 
 CAPACITY = 1024
 END_ID = 2
@@ -51,7 +51,7 @@ PASSES = 6
 COLUMNS = 32
 RATE, STEP = 3.0, 0.05
 FULL = 0.996  # how full a rounded configuration must be
-BUCKET_ROWS = 1_000_000
+BUCKET_ROWS, SMALL_BUCKET = 1_000_000, 1_000
 # fixed value: how a byte-level BPE vocabulary of this kind cuts a text into words
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Texts of other characters, or with what may be a special token, are encoded whole:
@@ -307,13 +307,15 @@ def pack(
     end_id: int = END_ID,
     tokenizer: str | None = None,
     with_ids: bool = False,
-    bucket_rows: int = BUCKET_ROWS,
+    bucket_rows: int | None = None,
 ) -> DataFrame:
     """The pieces of ``token_pieces`` with ``sequence_id`` and ``offset``."""
     spark = docs.sparkSession
     pieces = materialise(token_pieces(docs, id_col, text_col, capacity, end_id, tokenizer, with_ids), "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
-    buckets = max(1, -(-sum(histogram.values()) // bucket_rows))
+    share = sum(histogram.values()) // partitions(spark)
+    rows = bucket_rows or min(BUCKET_ROWS, max(SMALL_BUCKET, share))  # of one length that are ranked together
+    buckets = -(-max(histogram.values(), default=1) // rows)
     table = spark.sparkContext.broadcast(intervals(solve(histogram, capacity)))
     order = [id_col, "piece", "start", "ids_crc32"]
     split = pieces.withColumn("bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
