@@ -43,9 +43,11 @@ from trip_star.plans.dims import (
 from trip_star.schemas import FARE_COLUMNS, ROW_POS
 from trip_star.session import ensure_checkpoint_dir
 
-# Key-index rows that may be broadcast (a key row is under ~100 bytes, so
-# this keeps a broadcast side under ~20 MB).
+# Rows of a dimension that may be broadcast: a key-index row holds numbers and
+# codes only (under ~100 bytes, so at most ~20 MB); public dimensions also hold
+# texts and are held to the bytes they take.
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 32_000_000
 
 # The column order of both fact tables is the output contract.
 FACT_COLUMNS = (

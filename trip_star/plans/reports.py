@@ -16,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trip_star.functions.dates import hour
 from trip_star.operators.aggregates import top_k, value_counts
@@ -27,14 +28,22 @@ from trip_star.plans import fact as fact_module
 def small_dimensions(
     dims: Mapping[str, DataFrame], max_rows: int | None = None, parallel_jobs: int = 4
 ) -> frozenset[str]:
-    """Names of the dimensions with at most ``max_rows`` rows (counted, concurrently).
-
-    On warehouse tables the count comes from file metadata.
-    """
+    """Names of the dimensions with at most ``max_rows`` rows and at most
+    ``BROADCAST_MAX_BYTES`` (16 bytes a column and the bytes of its texts),
+    counted concurrently."""
     bound = fact_module.BROADCAST_MAX_ROWS if max_rows is None else max_rows
+
+    def fits(dim: DataFrame) -> bool:
+        texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in dim.schema.fields if isinstance(f.dataType, T.StringType)]
+        width = F.lit(16 * len(dim.columns)).cast("long")
+        for text in texts:
+            width = width + text
+        n, size = dim.agg(F.count(F.lit(1)), F.sum(width)).first()
+        return n <= bound and (size or 0) <= fact_module.BROADCAST_MAX_BYTES
+
     with ThreadPoolExecutor(max_workers=max(parallel_jobs, 1)) as pool:
-        counts = dict(zip(dims, pool.map(lambda d: d.count(), dims.values()), strict=True))
-    return frozenset(name for name, n in counts.items() if n <= bound)
+        small = dict(zip(dims, pool.map(fits, dims.values()), strict=True))
+    return frozenset(name for name, yes in small.items() if yes)
 
 
 def enriched_trips(

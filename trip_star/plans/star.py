@@ -49,6 +49,9 @@ def star_from_trips(
     )
     zones = zones_raw.dropDuplicates() if zones_raw is not None else None
     dims = {s.table: public_columns(s, indexes[s.table], zones if s.needs_zones else None) for s in specs}
+    # the location dimensions carry free text: measured, not only counted
+    texts = {s.table: dims[s.table] for s in specs if s.needs_zones and s.table in small}
+    small = (small - texts.keys()) | small_dimensions(texts, broadcast_max_rows)
     freq = {s.table: indexes[s.table].select(s.id_col, ROWS) for s in specs}
     return Star(fact, dims, small, freq)
 
