@@ -95,8 +95,8 @@ def _shrunk(children: DataFrame, name: str) -> DataFrame:
     chance = F.sum(n * (n - 1) * p * (1 - p))
     # correlation of two outcomes of one child; none to see: nearly equal children
     rho = F.when(chance > 0, F.least(F.lit(0.999), F.greatest(F.lit(0.001), scatter / chance))).otherwise(F.lit(0.001))
-    strength = children.agg((1 / F.coalesce(rho, F.lit(0.001)) - 1).alias("strength"))  # one row
-    return children.crossJoin(F.broadcast(strength)).withColumns(
+    strength = children.agg(1 / F.coalesce(rho, F.lit(0.001)) - 1).scalar()
+    return children.withColumn("strength", strength).withColumns(
         {f"{name}_a": F.col("strength") * p + bad, f"{name}_b": F.col("strength") * (1 - p) + n - bad}
     ).drop("strength")
 
@@ -114,9 +114,9 @@ def host_reputation(
     counts = hosts.join(judged, "host", "left").fillna(0, ["n", "bad"])
     counts = materialise(_with_levels(counts, two_label), "hosts")
     mean = lambda a, b: F.col(a) / (F.col(a) + F.col(b))
-    total = counts.agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("prior"))  # one row
+    total = counts.agg((F.sum("bad") + 1) / (F.sum("n") + 2)).scalar()
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
-    suffixes = _shrunk(counts.groupBy("suffix").agg(*sums).crossJoin(F.broadcast(total)), "s")
+    suffixes = _shrunk(counts.groupBy("suffix").agg(*sums).withColumn("prior", total), "s")
     domains = counts.groupBy("suffix", "domain").agg(*sums)
     domains = _shrunk(domains.join(suffixes.select("suffix", mean("s_a", "s_b").alias("prior")), "suffix"), "d")
     own = _shrunk(counts.join(domains.select("domain", mean("d_a", "d_b").alias("prior")), "domain"), "h")
