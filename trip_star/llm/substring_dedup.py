@@ -212,7 +212,7 @@ class Automaton:
         return out
 
 
-def _reference_words(window: int, gram: int, large: int):
+def _reference_words(text_col: str, window: int, gram: int, large: int):
     """Documents with requests (first window, windows, class, seg, size of the
     class) -> their segments' words, keyed by class, or by a wider gram."""
     wide = (window - gram) // 2
@@ -220,7 +220,8 @@ def _reference_words(window: int, gram: int, large: int):
     def run(batches):
         for batch in sliced(batches):
             out = []
-            for doc, text, wanted in zip(batch.column(0).to_pylist(), raw(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+            doc, text, wanted = (batch.column(batch.schema.get_field_index(c)) for c in ("__sd_id", text_col, "__sd_wanted"))
+            for doc, text, wanted in zip(doc.to_pylist(), raw(text), wanted.to_pylist(), strict=True):
                 words = (text or b"").split()
                 for w in wanted or ():
                     first, n = w["first"], w["n"]
@@ -341,17 +342,19 @@ def dedup_substrings(
     sizes = distinct.groupBy("cls").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     wanted = (
         distinct.join(sizes, "cls")
-        .groupBy(F.col("head_doc").alias("doc"))
-        .agg(F.collect_list(F.struct(F.col("head_first").alias("first"), F.col("windows").alias("n"), "cls", "seg", "size")).alias("wanted"))
+        .groupBy(F.col("head_doc").alias("__sd_head"))
+        .agg(F.collect_list(F.struct(F.col("head_first").alias("first"), F.col("windows").alias("n"), "cls", "seg", "size")).alias("__sd_wanted"))
     )
+    # the same columns as in the last join, so that both read one shuffle of the documents
+    keyed = docs.withColumn("__sd_id", doc)
     firsts = (
-        narrow.join(wanted, "doc").select("doc", "text", "wanted")
-        .mapInArrow(_reference_words(window, gram, large), "shard long, seg long, doc long, first long, low long, words binary")
+        keyed.join(wanted, F.col("__sd_id") == F.col("__sd_head"))
+        .mapInArrow(_reference_words(text_col, window, gram, large), "shard long, seg long, doc long, first long, low long, words binary")
         .repartition(partitions(spark), "shard").sortWithinPartitions("shard")
         .mapInArrow(_match(window, shard_words), "doc long, first long, seg long, mask long")
     )
     spans = copies.unionByName(firsts).groupBy(F.col("doc").alias("__sd_doc")).agg(F.collect_list(F.struct("first", "seg", "mask")).alias("__sd_spans"))
-    joined = docs.withColumn("__sd_id", doc).join(spans, F.col("__sd_id") == F.col("__sd_doc"), "left")
+    joined = keyed.join(spans, F.col("__sd_id") == F.col("__sd_doc"), "left")
 
     def cut(batch: pa.RecordBatch) -> list[pa.Array]:
         texts = raw(batch.column(batch.schema.get_field_index(text_col)))
