@@ -15,7 +15,7 @@ text; a row without id stands outside that order: its tail is replaced by
 nothing and it has likeness 0 to a next document.
 
 At scale: ``with_fingerprints`` is one pass without a shuffle. ``with_edited``
-shuffles every text once, into ranges of ids cut at quantiles (one range per
+shuffles every text once, into ranges of ids cut at quantiles (several per
 shuffle partition); the first row of each range is also sent to the range
 before it, so the successor of every row is the next row of its range. Only the
 range bounds and first ids pass through the driver.
@@ -35,6 +35,7 @@ from trip_star.llm.common import annotate, partitions, rolling, sliced, winnow
 
 GRAM = 16
 WINDOW = 48
+RANGES = 8
 
 
 def fingerprint(text: str | None, gram: int = GRAM, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -121,7 +122,8 @@ def with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     n = partitions(spark)
-    cuts = narrow.select(F.col("id").cast("double").alias("id")).approxQuantile("id", [i / n for i in range(1, n)], 0.2 / n)
+    m = max(n, min(RANGES * n, 4096))  # several ranges a task, so that their sizes even out
+    cuts = narrow.select(F.col("id").cast("double").alias("id")).approxQuantile("id", [i / m for i in range(1, m)], 0.2 / m)
     bounds = np.unique(np.array(cuts, dtype=np.float64))
 
     def ranges(batch: pa.RecordBatch) -> list[pa.Array]:
