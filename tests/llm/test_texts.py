@@ -13,6 +13,8 @@ import pytest
 from trip_star.llm import decontaminate, fingerprints, langid, licenses, line_dedup, packing, substring_dedup
 from trip_star.llm.common import rolling, winnow
 
+from .conftest import prose
+
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -130,6 +132,31 @@ def test_substrings_against_brute_force(messy, options):
     assert found == expected and sum(x[2] for x in expected) > 1000
 
 
+def test_a_large_class_goes_to_no_single_task(spark, monkeypatch):
+    """One passage in other words everywhere: the classes at its edges have a segment per document."""
+    passage = prose(7, 40)
+    rows = [(i, f"{prose(1000 + i, 25, 10**6)} {passage} {prose(5000 + i, 25, 10**6)}") for i in range(300)]
+    rows += [(1000 + i, f"{prose(1000 + i % 7, 25, 10**6)} {passage} {prose(9000 + i, 9, 10**6)}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    made, match = [], substring_dedup._match
+
+    def counted(*args):
+        run = match(*args)
+
+        def checked(batches):
+            for batch in batches:
+                shards = batch.column(0).to_pylist()
+                assert max(map(shards.count, set(shards)), default=0) <= 20  # of these few rows a class is never split
+                yield from run(iter([batch]))
+
+        made.append(args)
+        return checked
+
+    monkeypatch.setattr(substring_dedup, "_match", counted)
+    found = by_key(substring_dedup.dedup_substrings(docs, large=20), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert made and found == brute_substrings(rows)
+
+
 def test_automaton_knows_the_earliest_place():
     import random
 

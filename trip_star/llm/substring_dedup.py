@@ -31,10 +31,14 @@ At scale: one row of 25 bytes or so per minimiser (every seventh word) is
 shuffled once. A task sends on one row per minimiser that repeats within it and
 spreads the others over all partitions, so a passage that a third of all
 documents hold fills no partition; copies of a frequent segment meet its first
-occurrence through ``lookup``. A class of over ``LARGE_CLASS`` distinct segments
-is cut by a wider gram, and a shard's automaton holds ``SHARD_WORDS`` words;
-what is larger takes several automata, each streamed. Texts are shuffled once,
-for both the reference words and the result.
+occurrence through ``lookup``, as segments meet the size of their class. A class
+of up to ``LARGE_CLASS`` distinct segments goes to one task, so a shard has a
+bound, and its automata hold ``SHARD_WORDS`` words each. A larger class goes to
+no automaton: each window of its distinct segments is a row of 40 bytes or so,
+keyed by a 128-bit hash of all its words; an aggregate finds the smallest place
+of every window, which meets its other places through ``lookup``. That is linear
+in the class, and no task holds it. Texts are shuffled once, for both the
+reference words and the result.
 """
 
 from __future__ import annotations
@@ -212,42 +216,48 @@ class Automaton:
         return out
 
 
-def _reference_words(text_col: str, window: int, gram: int, large: int):
-    """Documents with requests (first window, windows, class, seg, size of the
-    class) -> their segments' words, keyed by class, or by a wider gram."""
-    wide = (window - gram) // 2
+def _requested(batch: pa.RecordBatch, text_col: str, window: int):
+    """Document, request (first window, windows, class, seg) and words of every
+    segment that the documents of the batch are asked for."""
+    columns = (batch.column(batch.schema.get_field_index(c)) for c in ("__sd_id", text_col, "__sd_wanted"))
+    docs, texts, requests = columns
+    for doc, text, wanted in zip(docs.to_pylist(), raw(texts), requests.to_pylist(), strict=True):
+        words = (text or b"").split()
+        for w in wanted or ():
+            part = words[w["first"] : w["first"] + w["n"] + window - 1]
+            # others are of another row with this id
+            if len(part) >= window and np.uint64(segment_hash(word_hashes(part), w["n"])).view(np.int64) == w["seg"]:
+                yield doc, w, part
+
+
+def _rows(out: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
+    columns = zip(*out, strict=True) if out else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+
+def _reference_words(text_col: str, window: int):
+    """Documents with requests -> their segments' words, keyed by class."""
 
     def run(batches):
         for batch in sliced(batches):
-            out = []
-            doc, text, wanted = (batch.column(batch.schema.get_field_index(c)) for c in ("__sd_id", text_col, "__sd_wanted"))
-            for doc, text, wanted in zip(doc.to_pylist(), raw(text), wanted.to_pylist(), strict=True):
-                words = (text or b"").split()
-                for w in wanted or ():
-                    first, n = w["first"], w["n"]
-                    part = words[first : first + n + window - 1]
-                    if len(part) < window:
-                        continue  # of another row with this id
-                    hashes = word_hashes(part)
-                    if np.uint64(segment_hash(hashes, n)).view(np.int64) != w["seg"]:
-                        continue
-                    key = w["cls"]
-                    if w["size"] <= large:
-                        out.append((key, w["seg"], doc, first, 0, b" ".join(part)))
-                        continue
-                    # the minimiser stands at ``at`` of the segment; windows that have ``wide`` words
-                    # before it go by those words, the others have as many after it
-                    at = int(minimisers(rolling(hashes, gram), window - gram + 1)[0])
-                    cut = max(0, min(n, at - wide + 1))
-                    for low, high, a in ((0, cut, at - wide), (cut, n, at)):
-                        if low < high:
-                            wider = mix(rolling(hashes[a : a + gram + wide], gram + wide) + np.int64(key).view(np.uint64))
-                            out.append((wider.view(np.int64)[0].item(), w["seg"], doc, first, low, b" ".join(part[low : high + window - 1])))
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            columns = zip(*out, strict=True) if out else [[]] * 6
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["shard", "seg", "doc", "first", "low", "words"]
-            )
+            out = [(w["cls"], w["seg"], doc, w["first"], b" ".join(part)) for doc, w, part in _requested(batch, text_col, window)]
+            yield _rows(out, ["shard", "seg", "doc", "first", "words"], [pa.int64()] * 4 + [pa.binary()])
+
+    return run
+
+
+def _window_keys(text_col: str, window: int):
+    """Documents with requests -> a row per window of their segments, keyed by
+    the whole window's words (128 bits)."""
+
+    def run(batches):
+        for batch in sliced(batches):
+            out = [
+                (xxhash.xxh3_128_digest(b" ".join(part[low : low + window])), doc, w["first"], w["seg"], low)
+                for doc, w, part in _requested(batch, text_col, window)
+                for low in range(w["n"])
+            ]
+            yield _rows(out, ["key", "doc", "first", "seg", "low"], [pa.binary()] + [pa.int64()] * 3 + [pa.int32()])
 
     return run
 
@@ -260,27 +270,26 @@ def _match(window: int, shard_words: int):
         size = 0
 
         def work(rows: list[tuple]):
-            split = [row[4].split() for row in rows]
+            split = [row[3].split() for row in rows]
             best = [[float("inf")] * (len(w) - window + 1) for w in split]
             at = 0
             while at < len(rows):
                 automaton, filled = Automaton(window), 0
                 while at < len(rows) and filled < shard_words:
-                    _, doc, first, low, _ = rows[at]
-                    automaton.add(split[at], (doc << 40) + first + low)
+                    _, doc, first, _ = rows[at]
+                    automaton.add(split[at], (doc << 40) + first)
                     filled += len(split[at])
                     at += 1
                 automaton.finish()
                 for i, words in enumerate(split):
                     best[i] = list(map(min, best[i], automaton.earliest(words)))
             out = []
-            for (seg, doc, first, low, _), found in zip(rows, best, strict=True):
-                own = (doc << 40) + first + low
-                mask = sum(1 << (low + i) for i, start in enumerate(found) if start < own + i)
+            for (seg, doc, first, _), found in zip(rows, best, strict=True):
+                own = (doc << 40) + first
+                mask = sum(1 << i for i, start in enumerate(found) if start < own + i)
                 if mask:
                     out.append((doc, first, seg, mask))
-            columns = zip(*out, strict=True) if out else [[]] * 4
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc", "first", "seg", "mask"])
+            return _rows(out, ["doc", "first", "seg", "mask"], [pa.int64()] * 4)
 
         now: list[tuple] = []  # rows of the class that is being read
         key = None
@@ -293,7 +302,7 @@ def _match(window: int, shard_words: int):
                     group += now
                     key, now = shard, []
                 now.append(tuple(row))
-                size += row[4].count(b" ") + 1
+                size += row[3].count(b" ") + 1
         group += now
         if group:
             yield work(group)
@@ -301,6 +310,22 @@ def _match(window: int, shard_words: int):
     return run
 
 
+def _by_window(requested: DataFrame, text_col: str, window: int) -> DataFrame:
+    """The windows of the requested segments that start earlier elsewhere, one
+    mask per window: the smallest place of every window meets all its places."""
+    windows = materialise(
+        requested.mapInArrow(_window_keys(text_col, window), "key binary, doc long, first long, seg long, low int"), "large-class-windows"
+    )
+    place = F.col("first") + F.col("low")
+    heads = windows.groupBy("key").agg(F.min(F.struct("doc", place.alias("place"))).alias("head"), F.count(F.lit(1)).alias("places"))
+    heads = materialise(
+        heads.filter("places > 1").select("key", F.col("head.doc").alias("head_doc"), F.col("head.place").alias("head_place"), "places"),
+        "earliest-windows",
+    )
+    later = lookup(windows, heads, "key", "places", windows.count()).filter((F.col("doc") != F.col("head_doc")) | (place != F.col("head_place")))
+    return later.select("doc", "first", "seg", F.expr("shiftleft(1L, low)").alias("mask"))
+
+
 def dedup_substrings(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -338,21 +363,32 @@ def dedup_substrings(
     copies = copies.filter((F.col("doc") != F.col("head_doc")) | (F.col("first") != F.col("head_first"))).select(
         "doc", "first", "seg", (F.expr("shiftleft(1L, cast(n as int))") - 1).alias("mask")
     )
-    # distinct segments of one class meet in an automaton
-    sizes = distinct.groupBy("cls").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    wanted = (
-        distinct.join(sizes, "cls")
-        .groupBy(F.col("head_doc").alias("__sd_head"))
-        .agg(F.collect_list(F.struct(F.col("head_first").alias("first"), F.col("windows").alias("n"), "cls", "seg", "size")).alias("__sd_wanted"))
+    sizes = materialise(
+        distinct.groupBy("cls").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "class-sizes"
     )
-    # the same columns as in the last join, so that both read one shuffle of the documents
+    n_distinct = distinct.count()
+    # the same columns as in the last join, so that all read one shuffle of the documents
     keyed = docs.withColumn("__sd_id", doc)
+
+    def requests(classes: DataFrame) -> DataFrame:
+        """The documents that hold the first occurrences of the segments of ``classes``, with what they are asked for."""
+        request = F.struct(F.col("head_first").alias("first"), F.col("windows").alias("n"), "cls", "seg")
+        wanted = (
+            lookup(distinct, classes, "cls", "members", n_distinct)
+            .groupBy(F.col("head_doc").alias("__sd_head"))
+            .agg(F.collect_list(request).alias("__sd_wanted"))
+        )
+        return keyed.join(wanted, F.col("__sd_id") == F.col("__sd_head"))
+
+    # distinct segments of one class meet in an automaton
     firsts = (
-        keyed.join(wanted, F.col("__sd_id") == F.col("__sd_head"))
-        .mapInArrow(_reference_words(text_col, window, gram, large), "shard long, seg long, doc long, first long, low long, words binary")
+        requests(sizes.filter(F.col("members") <= large))
+        .mapInArrow(_reference_words(text_col, window), "shard long, seg long, doc long, first long, words binary")
         .repartition(partitions(spark), "shard").sortWithinPartitions("shard")
         .mapInArrow(_match(window, shard_words), "doc long, first long, seg long, mask long")
     )
+    if not sizes.filter(F.col("members") > large).isEmpty():
+        firsts = firsts.unionByName(_by_window(requests(sizes.filter(F.col("members") > large)), text_col, window))
     spans = copies.unionByName(firsts).groupBy(F.col("doc").alias("__sd_doc")).agg(F.collect_list(F.struct("first", "seg", "mask")).alias("__sd_spans"))
     joined = keyed.join(spans, F.col("__sd_id") == F.col("__sd_doc"), "left")
 
