@@ -157,6 +157,25 @@ def test_a_large_class_goes_to_no_single_task(spark, monkeypatch):
     assert made and found == brute_substrings(rows)
 
 
+@pytest.mark.parametrize("large", [2, 4096])
+def test_rows_without_id_are_gathered_one_by_one(spark, monkeypatch, large):
+    passage = prose(7, 30)
+    texts = [f"{prose(i, 12, 10**6)} {passage} {prose(5000 + i, 12, 10**6)}" for i in range(60)]
+    rows = [(None, t) for t in texts] + [(None, texts[0])] * 9 + [(3, t) for t in texts[40:50]] + [(2, texts[5])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    asked = substring_dedup._requested
+
+    def counted(batch, *args):
+        sizes = batch.column(batch.schema.get_field_index("__sd_wanted")).to_pylist()
+        assert max(map(len, sizes), default=0) <= 54  # words of a text
+        return asked(batch, *args)
+
+    monkeypatch.setattr(substring_dedup, "_requested", counted)
+    found = by_key(substring_dedup.dedup_substrings(docs, large=large), "n_words", "n_removed", "kept_sha256")
+    expected = brute_substrings(rows)
+    assert found == sorted((x[1:] for x in expected), key=str) and sum(x[2] for x in expected) > 100
+
+
 def test_automaton_knows_the_earliest_place():
     import random
 

@@ -23,7 +23,8 @@ own. Marked windows are united into maximal spans, which are cut out.
 Edge cases: null and empty texts have no words; texts of fewer than ``WINDOW``
 words stay whole; rows without id count as one last document; rows that share
 an id are one document for the order, so a place never removes itself: exact
-repeats of a row get the same result; an empty table gives an empty result;
+repeats of a row get the same result; otherwise (id, hash of the text) tells them
+apart, so no gathering holds the texts of several; an empty table gives an empty result;
 further columns pass through, ones named like a result column are replaced.
 Ids are numbers.
 
@@ -53,7 +54,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
-from trip_star.llm.common import BASE, annotate, lookup, materialise, mix, partitions, powers, raw, rolling, sliced
+from trip_star.llm.common import BASE, annotate, lookup, materialise, mix, partitions, powers, raw, rolling, sliced, text_key
 
 WINDOW = 20
 GRAM = 8
@@ -94,31 +95,27 @@ def segments(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tupl
     return grams[at[first]], mix(whole + (end - first).astype(np.uint64)), first, end - first
 
 
-def segment_hash(hashes: np.ndarray, windows: int) -> int:
-    return int(mix(np.array([np.sum(hashes * powers(len(hashes)), dtype=np.uint64) + np.uint64(windows)]))[0])
-
-
 def _as_long(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64).view(np.int64), pa.int64())
 
 
 def _occurrences(window: int, gram: int):
-    """(id, text) -> (class, salt, seg, doc, place); place: first window, number of windows, known to repeat."""
+    """(id, text key, text) -> (class, salt, seg, doc, place, text key); place: first window, number of windows, known to repeat."""
 
     def run(batches):
         for batch in sliced(batches):
-            docs = batch.column(0).to_numpy()
-            parts = [segments(word_hashes((text or b"").split()), window, gram) for text in raw(batch.column(1))]
+            docs, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            parts = [segments(word_hashes((text or b"").split()), window, gram) for text in raw(batch.column(2))]
             sizes = [len(p[0]) for p in parts]
             cls, seg, first, n = (np.concatenate([p[i] for p in parts]) for i in range(4))
-            doc = np.repeat(docs, sizes)
+            doc, tk = np.repeat(docs, sizes), np.repeat(keys, sizes)
             _, lead, inverse, counts = np.unique(cls, return_index=True, return_inverse=True, return_counts=True)
             known = counts[inverse] > 1
-            salt = np.where(known, 1 + mix(doc.astype(np.uint64) * np.uint64(BASE) + first.astype(np.uint64)) % np.uint64(SALTS), 0)
+            salt = np.where(known, 1 + mix((doc ^ tk).astype(np.uint64) * np.uint64(BASE) + first.astype(np.uint64)) % np.uint64(SALTS), 0)
             salt[lead] = 0
             yield pa.RecordBatch.from_arrays(
-                [_as_long(cls), pa.array(salt.astype(np.int32)), _as_long(seg), pa.array(doc), pa.array(first << 8 | n << 1 | known)],
-                names=["cls", "salt", "seg", "doc", "place"],
+                [_as_long(cls), pa.array(salt.astype(np.int32)), _as_long(seg), pa.array(doc), pa.array(first << 8 | n << 1 | known), pa.array(tk)],
+                names=["cls", "salt", "seg", "doc", "place", "tk"],
             )
 
     return run
@@ -142,7 +139,7 @@ def _repeated(batches):
         if batch is not None:  # the last row's successor is not known yet
             keep[-1] = False
             held, held_same = table.slice(len(cls) - 1).to_batches()[0], bool(before[-1])
-        out = table.select(["cls", "seg", "doc", "place"]).filter(pa.array(keep))
+        out = table.select(["cls", "seg", "doc", "place", "tk"]).filter(pa.array(keep))
         yield from out.to_batches()
 
 
@@ -217,17 +214,14 @@ class Automaton:
 
 
 def _requested(batch: pa.RecordBatch, text_col: str, window: int):
-    """Document, request (first window, windows, class, seg) and words of every
-    segment that the documents of the batch are asked for."""
-    columns = (batch.column(batch.schema.get_field_index(c)) for c in ("__sd_id", text_col, "__sd_wanted"))
-    docs, texts, requests = columns
-    for doc, text, wanted in zip(docs.to_pylist(), raw(texts), requests.to_pylist(), strict=True):
+    """Document, text key, request (first window, windows, class, seg) and words of
+    every segment that the documents of the batch are asked for."""
+    docs, keys, texts, requests = (batch.column(batch.schema.get_field_index(c)) for c in ("__sd_id", "__sd_tk", text_col, "__sd_wanted"))
+    for doc, tk, text, wanted in zip(docs.to_pylist(), keys.to_pylist(), raw(texts), requests.to_pylist(), strict=True):
         words = (text or b"").split()
         for w in wanted or ():
             part = words[w["first"] : w["first"] + w["n"] + window - 1]
-            # others are of another row with this id
-            if len(part) >= window and np.uint64(segment_hash(word_hashes(part), w["n"])).view(np.int64) == w["seg"]:
-                yield doc, w, part
+            yield doc, tk, w, part
 
 
 def _rows(out: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
@@ -240,8 +234,8 @@ def _reference_words(text_col: str, window: int):
 
     def run(batches):
         for batch in sliced(batches):
-            out = [(w["cls"], w["seg"], doc, w["first"], b" ".join(part)) for doc, w, part in _requested(batch, text_col, window)]
-            yield _rows(out, ["shard", "seg", "doc", "first", "words"], [pa.int64()] * 4 + [pa.binary()])
+            out = [(w["cls"], doc, tk, w["first"], b" ".join(part)) for doc, tk, w, part in _requested(batch, text_col, window)]
+            yield _rows(out, ["shard", "doc", "tk", "first", "words"], [pa.int64()] * 4 + [pa.binary()])
 
     return run
 
@@ -253,11 +247,11 @@ def _window_keys(text_col: str, window: int):
     def run(batches):
         for batch in sliced(batches):
             out = [
-                (xxhash.xxh3_128_digest(b" ".join(part[low : low + window])), doc, w["first"], w["seg"], low)
-                for doc, w, part in _requested(batch, text_col, window)
+                (xxhash.xxh3_128_digest(b" ".join(part[low : low + window])), doc, tk, w["first"], low)
+                for doc, tk, w, part in _requested(batch, text_col, window)
                 for low in range(w["n"])
             ]
-            yield _rows(out, ["key", "doc", "first", "seg", "low"], [pa.binary()] + [pa.int64()] * 3 + [pa.int32()])
+            yield _rows(out, ["key", "doc", "tk", "first", "low"], [pa.binary()] + [pa.int64()] * 3 + [pa.int32()])
 
     return run
 
@@ -276,7 +270,7 @@ def _match(window: int, shard_words: int):
             while at < len(rows):
                 automaton, filled = Automaton(window), 0
                 while at < len(rows) and filled < shard_words:
-                    _, doc, first, _ = rows[at]
+                    doc, _, first, _ = rows[at]
                     automaton.add(split[at], (doc << 40) + first)
                     filled += len(split[at])
                     at += 1
@@ -284,12 +278,12 @@ def _match(window: int, shard_words: int):
                 for i, words in enumerate(split):
                     best[i] = list(map(min, best[i], automaton.earliest(words)))
             out = []
-            for (seg, doc, first, _), found in zip(rows, best, strict=True):
+            for (doc, tk, first, _), found in zip(rows, best, strict=True):
                 own = (doc << 40) + first
                 mask = sum(1 << i for i, start in enumerate(found) if start < own + i)
                 if mask:
-                    out.append((doc, first, seg, mask))
-            return _rows(out, ["doc", "first", "seg", "mask"], [pa.int64()] * 4)
+                    out.append((doc, tk, first, mask))
+            return _rows(out, ["doc", "tk", "first", "mask"], [pa.int64()] * 4)
 
         now: list[tuple] = []  # rows of the class that is being read
         key = None
@@ -310,12 +304,11 @@ def _match(window: int, shard_words: int):
     return run
 
 
-def _by_window(requested: DataFrame, text_col: str, window: int) -> DataFrame:
+def _by_window(requested: DataFrame, text_col: str, window: int, repeats: bool) -> DataFrame:
     """The windows of the requested segments that start earlier elsewhere, one
     mask per window: the smallest place of every window meets all its places."""
-    windows = materialise(
-        requested.mapInArrow(_window_keys(text_col, window), "key binary, doc long, first long, seg long, low int"), "large-class-windows"
-    )
+    windows = requested.mapInArrow(_window_keys(text_col, window), "key binary, doc long, tk long, first long, low int")
+    windows = materialise(windows.distinct() if repeats else windows, "large-class-windows")
     place = F.col("first") + F.col("low")
     heads = windows.groupBy("key").agg(F.min(F.struct("doc", place.alias("place"))).alias("head"), F.count(F.lit(1)).alias("places"))
     heads = materialise(
@@ -323,7 +316,7 @@ def _by_window(requested: DataFrame, text_col: str, window: int) -> DataFrame:
         "earliest-windows",
     )
     later = lookup(windows, heads, "key", "places", windows.count()).filter((F.col("doc") != F.col("head_doc")) | (place != F.col("head_place")))
-    return later.select("doc", "first", "seg", F.expr("shiftleft(1L, low)").alias("mask"))
+    return later.select("doc", "tk", "first", F.expr("shiftleft(1L, low)").alias("mask"))
 
 
 def dedup_substrings(
@@ -342,55 +335,63 @@ def dedup_substrings(
         raise ValueError("a segment has at most 63 windows: gram <= window < gram + 63")
     spark = docs.sparkSession
     doc = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
-    narrow = docs.select(doc.alias("doc"), F.col(text_col).alias("text"))
-    found = narrow.mapInArrow(_occurrences(window, gram), "cls long, salt int, seg long, doc long, place long")
+    # rows that share an id (also null ones) are told apart by their texts
+    repeats = docs.select(doc.alias("doc")).groupBy("doc").count().filter("count > 1").limit(1).count() > 0
+    tk = text_key(text_col) if repeats else F.lit(0).cast("long")
+    narrow = docs.select(doc.alias("doc"), tk.alias("tk"), F.col(text_col).alias("text"))
+    found = narrow.mapInArrow(_occurrences(window, gram), "cls long, salt int, seg long, doc long, place long, tk long")
     repeated = (
         found.repartition(partitions(spark), "cls", "salt").sortWithinPartitions("cls", "salt")
-        .mapInArrow(_repeated, "cls long, seg long, doc long, place long")
+        .mapInArrow(_repeated, "cls long, seg long, doc long, place long, tk long")
     )
     repeated = materialise(repeated, "repeated-segments")
     n = F.shiftright("place", 1).bitwiseAND(F.lit(127))
-    placed = repeated.select("cls", "seg", "doc", F.shiftright("place", 8).alias("first"), n.alias("n"))
+    placed = repeated.select("cls", "seg", "doc", "tk", F.shiftright("place", 8).alias("first"), n.alias("n"))
     distinct = placed.groupBy("cls", "seg").agg(
-        F.min(F.struct("doc", "first")).alias("head"), F.first("n").alias("windows"), F.count(F.lit(1)).alias("copies")
+        F.min(F.struct("doc", "first", "tk")).alias("head"), F.first("n").alias("windows"), F.count(F.lit(1)).alias("copies")
     )
     distinct = materialise(
-        distinct.select("cls", "seg", F.col("head.doc").alias("head_doc"), F.col("head.first").alias("head_first"), "windows", "copies"),
+        distinct.select("cls", "seg", F.expr("head.doc AS head_doc"), F.expr("head.first AS head_first"), F.expr("head.tk AS head_tk"), "windows", "copies"),
         "distinct-segments",
     )
     # copies of a segment match its first occurrence from end to end
-    copies = lookup(placed, distinct.filter("copies > 1").drop("windows"), ["cls", "seg"], "copies", repeated.count())
+    copies = lookup(placed, distinct.filter("copies > 1").drop("windows", "head_tk"), ["cls", "seg"], "copies", repeated.count())
     copies = copies.filter((F.col("doc") != F.col("head_doc")) | (F.col("first") != F.col("head_first"))).select(
-        "doc", "first", "seg", (F.expr("shiftleft(1L, cast(n as int))") - 1).alias("mask")
+        "doc", "tk", "first", (F.expr("shiftleft(1L, cast(n as int))") - 1).alias("mask")
     )
     sizes = materialise(
         distinct.groupBy("cls").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "class-sizes"
     )
     n_distinct = distinct.count()
     # the same columns as in the last join, so that all read one shuffle of the documents
-    keyed = docs.withColumn("__sd_id", doc)
+    keyed = docs.withColumns({"__sd_id": doc, "__sd_tk": tk})
+
+    on = (F.col("__sd_id") == F.col("__sd_doc")) & (F.col("__sd_tk") == F.col("__sd_key"))
 
     def requests(classes: DataFrame) -> DataFrame:
         """The documents that hold the first occurrences of the segments of ``classes``, with what they are asked for."""
         request = F.struct(F.col("head_first").alias("first"), F.col("windows").alias("n"), "cls", "seg")
         wanted = (
             lookup(distinct, classes, "cls", "members", n_distinct)
-            .groupBy(F.col("head_doc").alias("__sd_head"))
+            .groupBy(F.col("head_doc").alias("__sd_doc"), F.col("head_tk").alias("__sd_key"))
             .agg(F.collect_list(request).alias("__sd_wanted"))
         )
-        return keyed.join(wanted, F.col("__sd_id") == F.col("__sd_head"))
+        return keyed.join(wanted, on)
 
     # distinct segments of one class meet in an automaton
+    references = requests(sizes.filter(F.col("members") <= large)).mapInArrow(
+        _reference_words(text_col, window), "shard long, doc long, tk long, first long, words binary"
+    )
     firsts = (
-        requests(sizes.filter(F.col("members") <= large))
-        .mapInArrow(_reference_words(text_col, window), "shard long, seg long, doc long, first long, words binary")
+        (references.distinct() if repeats else references)  # repeated rows give the same
         .repartition(partitions(spark), "shard").sortWithinPartitions("shard")
-        .mapInArrow(_match(window, shard_words), "doc long, first long, seg long, mask long")
+        .mapInArrow(_match(window, shard_words), "doc long, tk long, first long, mask long")
     )
     if not sizes.filter(F.col("members") > large).isEmpty():
-        firsts = firsts.unionByName(_by_window(requests(sizes.filter(F.col("members") > large)), text_col, window))
-    spans = copies.unionByName(firsts).groupBy(F.col("doc").alias("__sd_doc")).agg(F.collect_list(F.struct("first", "seg", "mask")).alias("__sd_spans"))
-    joined = keyed.join(spans, F.col("__sd_id") == F.col("__sd_doc"), "left")
+        firsts = firsts.unionByName(_by_window(requests(sizes.filter(F.col("members") > large)), text_col, window, repeats))
+    gather = F.collect_set if repeats else F.collect_list
+    spans = copies.unionByName(firsts).groupBy(F.col("doc").alias("__sd_doc"), F.col("tk").alias("__sd_key"))
+    joined = keyed.join(spans.agg(gather(F.struct("first", "mask")).alias("__sd_spans")), on, "left")
 
     def cut(batch: pa.RecordBatch) -> list[pa.Array]:
         texts = raw(batch.column(batch.schema.get_field_index(text_col)))
@@ -404,12 +405,6 @@ def dedup_substrings(
             a, bits = first[marks], mask[marks]
             left = words
             if len(a):
-                if repeats:  # other rows may share the id: only marks on this text's own segments count
-                    seg = flat.field("seg").to_numpy(zero_copy_only=False)[marks]
-                    _, own, at, _ = segments(word_hashes(words), window, gram)
-                    own = dict(zip(at.tolist(), own.view(np.int64).tolist(), strict=True))
-                    fits = np.array([own.get(x) == s for x, s in zip(a.tolist(), seg.tolist(), strict=True)], dtype=bool)
-                    a, bits = a[fits], bits[fits]
                 width = int(window - gram + 1)
                 starts = (a[:, None] + np.arange(width))[(bits[:, None] >> np.arange(width)) & 1 == 1]
                 edges = np.bincount(starts, minlength=len(words) + 1) - np.bincount(starts + window, minlength=len(words) + 1)
@@ -423,12 +418,10 @@ def dedup_substrings(
         out = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digest, pa.string())]
         return out if drop_text else [pa.array(kept, pa.string()), *out]
 
-    # ids that several rows share (also null ones) need a closer look
-    repeats = narrow.groupBy("doc").count().filter("count > 1").limit(1).count() > 0
     fields = [StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_sha256", StringType())]
     if not drop_text:
         fields.insert(0, StructField(text_col, StringType()))
-    return annotate(joined, cut, fields, drop=["__sd_id", "__sd_doc", "__sd_spans", *([text_col] if drop_text else [])])
+    return annotate(joined, cut, fields, drop=["__sd_id", "__sd_tk", "__sd_doc", "__sd_key", "__sd_spans", *([text_col] if drop_text else [])])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
