@@ -304,18 +304,16 @@ def _match(window: int, shard_words: int):
     return run
 
 
-def _by_window(requested: DataFrame, text_col: str, window: int, repeats: bool) -> DataFrame:
+def _by_window(requested: DataFrame, text_col: str, window: int, repeats: bool, total: int) -> DataFrame:
     """The windows of the requested segments that start earlier elsewhere, one
-    mask per window: the smallest place of every window meets all its places."""
+    mask per window: the smallest place of every window meets all its places.
+    Nothing is written here: a run of its own would shuffle the texts again."""
     windows = requested.mapInArrow(_window_keys(text_col, window), "key binary, doc long, tk long, first long, low int")
-    windows = materialise(windows.distinct() if repeats else windows, "large-class-windows")
+    windows = windows.distinct() if repeats else windows
     place = F.col("first") + F.col("low")
     heads = windows.groupBy("key").agg(F.min(F.struct("doc", place.alias("place"))).alias("head"), F.count(F.lit(1)).alias("places"))
-    heads = materialise(
-        heads.filter("places > 1").select("key", F.col("head.doc").alias("head_doc"), F.col("head.place").alias("head_place"), "places"),
-        "earliest-windows",
-    )
-    later = lookup(windows, heads, "key", "places", windows.count()).filter((F.col("doc") != F.col("head_doc")) | (place != F.col("head_place")))
+    heads = heads.filter("places > 1").select("key", F.col("head.doc").alias("head_doc"), F.col("head.place").alias("head_place"), "places")
+    later = lookup(windows, heads, "key", "places", total).filter((F.col("doc") != F.col("head_doc")) | (place != F.col("head_place")))
     return later.select("doc", "tk", "first", F.expr("shiftleft(1L, low)").alias("mask"))
 
 
@@ -387,8 +385,9 @@ def dedup_substrings(
         .repartition(partitions(spark), "shard").sortWithinPartitions("shard")
         .mapInArrow(_match(window, shard_words), "doc long, tk long, first long, mask long")
     )
-    if not sizes.filter(F.col("members") > large).isEmpty():
-        firsts = firsts.unionByName(_by_window(requests(sizes.filter(F.col("members") > large)), text_col, window, repeats))
+    many = sizes.filter(F.col("members") > large)
+    if in_many := many.agg(F.sum("members")).first()[0]:
+        firsts = firsts.unionByName(_by_window(requests(many), text_col, window, repeats, in_many))
     gather = F.collect_set if repeats else F.collect_list
     spans = copies.unionByName(firsts).groupBy(F.col("doc").alias("__sd_doc"), F.col("tk").alias("__sd_key"))
     joined = keyed.join(spans.agg(gather(F.struct("first", "mask")).alias("__sd_spans")), on, "left")
