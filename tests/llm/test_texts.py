@@ -240,6 +240,17 @@ def test_languages(spark, sf_dir, messy, empty):
     assert langid.predict(messy, unlabelled).select("lang_pred").distinct().collect() == [("und",)]
 
 
+def test_copies_and_long_texts_do_not_push_a_language_out_of_the_sample(spark, monkeypatch):
+    rows = [(f"der hund {i} " + "ja " * i, "de") for i in range(30)]
+    rows += [("the dog runs home", "en")] * 20_000 + [(f"a cat {i} sleeps " + "so " * i, "en") for i in range(30)]
+    rows += [("le chien " * (3000 + i), "fr") for i in range(9)]
+    monkeypatch.setattr(langid, "fit", lambda sample: sample)
+    sample = langid.train(spark.createDataFrame(rows, "text string, lang string").repartition(4), sample_docs=60)
+    taken = {x: [text for text, lang in sample if lang == x] for x in ("de", "en", "fr")}
+    assert len(set(sample)) == len(sample) <= 60
+    assert len(taken["de"]) >= 20 and len(taken["en"]) >= 20 and "le chien " * 3000 in taken["fr"]
+
+
 # licenses -------------------------------------------------------------------
 
 NOTICE = """Licensed under the Apache License, Version 2.0. Also CC-BY, see

@@ -8,9 +8,10 @@ another language inside a text are labelled as such. Forward-backward gives
 each word a probability per language; the text's language is the one with the
 largest mean, and that mean is the score.
 
-Training: the field is fitted on a bounded sample of labelled rows (at most
-``SAMPLE_DOCS`` texts of at most ``SAMPLE_CHARS`` characters, taken evenly from
-all languages by a hash of the text), cut into runs that are strung together
+Training: the field is fitted on a bounded sample of the distinct labelled texts
+(at most ``SAMPLE_DOCS`` texts of at most ``SAMPLE_CHARS`` characters, taken
+evenly from all languages by a hash of the text; a language has at least one, of
+its shortest where none is short enough), cut into runs that are strung together
 in random order, so that changes of language are seen. Everything that is
 predicted covers all rows and whole texts.
 
@@ -37,7 +38,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField
 
@@ -227,28 +228,54 @@ def train(
     sample_docs: int = SAMPLE_DOCS,
     sample_chars: int = SAMPLE_CHARS,
 ) -> Model:
-    """Fits on at most ``sample_docs`` labelled rows (of those that satisfy
-    ``where``) of at most ``sample_chars`` characters, spread evenly over the languages."""
+    """Fits on at most ``sample_docs`` distinct labelled texts (of rows that satisfy
+    ``where``) of at most ``sample_chars`` characters, spread evenly over the
+    languages: each has its share, or all its texts, and at least one. One without
+    any so short is learned from its shortest texts."""
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     if where is not None:
         rows = rows.filter(where)
-    rows = rows.filter(F.char_length(text_col) <= sample_chars).select(
-        F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
+    rows = rows.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    rows = rows.withColumns({"hash": F.xxhash64("text"), "n": F.char_length("text")})
+    # distinct texts of every language, those short enough, and its shortest one: a row per language
+    found = (
+        rows.groupBy("lang", "hash").agg(F.min("n").alias("n"))
+        .groupBy("lang")
+        .agg(F.count(F.lit(1)).alias("texts"), F.count_if(F.col("n") <= sample_chars).alias("short"), F.min(F.struct("n", "hash")).alias("least"))
+        .collect()
     )
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row per language
-    if not sizes:
+    if not found:
         return fit([])
-    # about as many rows of every language: a row's turn is uniform below the size of its language
-    size = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])[F.col("lang")]
-    turn = F.pmod(F.xxhash64("text"), F.lit(1 << 40)).cast("double") / (1 << 40) * size
+    sizes = {r["lang"]: r["short"] or r["texts"] for r in found}
+    chars = {r["lang"]: sample_chars if r["short"] else 2 * r["least"]["n"] for r in found}
+    takes = {x: max(1, n * sample_chars // chars[x]) if chars[x] > sample_chars else n for x, n in quotas(sizes, sample_docs).items()}
+
+    def of_language(values: dict) -> Column:
+        return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col("lang")]
+
+    # a text's turn is uniform below the number of distinct texts of its language; the bound leaves
+    # more than are taken, and a language of fewer whole
+    turn = F.pmod("hash", F.lit(1 << 40)).cast("double") / (1 << 40) * of_language(sizes)
+    least = of_language({r["lang"]: r["least"]["hash"] for r in found})
+    near = (F.col("n") <= of_language(chars)) & (F.col("turn") < 2 * of_language(takes) + 50)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy((F.col("hash") != least) & (F.col("n") > sample_chars), "turn", "text"))
     sample = (
         rows.withColumn("turn", turn)
-        .filter(F.col("turn") < 1.2 * sample_docs / len(sizes))
+        .filter(near | (F.col("hash") == least))
         .distinct()  # copies of a text have the same turn
-        .orderBy("turn", "text", "lang")
-        .limit(sample_docs)
+        .withColumn("place", place)
+        .filter(F.col("place") <= of_language(takes))
     )
-    return fit([(r["text"], r["lang"]) for r in sample.collect()])
+    return fit([(r["text"], r["lang"]) for r in sample.select("text", "lang").collect()])
+
+
+def quotas(sizes: dict[str, int], total: int) -> dict[str, int]:
+    """Even shares of ``total`` for the languages, at least 1; what small ones leave goes to the larger."""
+    out, left = {}, total
+    for i, (size, language) in enumerate(sorted((size, language) for language, size in sizes.items())):
+        out[language] = min(size, max(1, left // (len(sizes) - i)))
+        left -= out[language]
+    return out
 
 
 class _Numbers(dict):
