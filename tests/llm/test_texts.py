@@ -330,6 +330,13 @@ def test_fingerprints_of_messy_rows(messy, empty, spark):
     assert len(plain["positions"]) * 8 == len(plain["fingerprint"])
 
 
+def test_query_likens_near_copies_of_short_texts(spark, tmp_path):
+    texts = [prose(i, 12)[: 32 + i % 30] for i in range(60)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = fingerprints.query(spark, str(tmp_path))
+    assert found.filter("near_edited = 0").count() == 0  # three quarters of them, over 23 code points, are the same
+
+
 def test_winnowing_guarantee():
     import numpy as np
 
