@@ -251,6 +251,14 @@ def test_copies_and_long_texts_do_not_push_a_language_out_of_the_sample(spark, m
     assert len(taken["de"]) >= 20 and len(taken["en"]) >= 20 and "le chien " * 3000 in taken["fr"]
 
 
+def test_every_letter_of_a_long_run_counts():
+    model = langid.fit([("abc bca cab " * 40, "x"), ("uvw vwu wuv " * 40, "y")])
+    run = "abc" * 10 + "uvw" * 300 + "abc"  # both ends speak for x
+    assert "".join(langid.words_of(run)) == run and max(map(len, langid.words_of(run))) <= 40
+    (p,) = langid.label(model, [run])
+    assert model.languages[int(p.mean(axis=0).argmax())] == "y"
+
+
 # licenses -------------------------------------------------------------------
 
 NOTICE = """Licensed under the Apache License, Version 2.0. Also CC-BY, see

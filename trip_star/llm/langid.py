@@ -1,6 +1,6 @@
 """Language ID with a linear-chain conditional random field over words.
 
-Words are runs of letters. A word's features are its affixes, its character
+Words are runs of letters, runs of over 40 cut into several (unspaced scripts). A word's features are its affixes, its character
 n-grams and its entry in a lexicon of words that belong to one language; their
 learned weights add up to the word's score for every language, and learned
 transition weights tie neighbouring words together, so that stretches of
@@ -56,7 +56,7 @@ LEXICON_SHARE = 0.9  # of them in one language
 CACHE_WORDS = 200_000
 SLAB = 100_000  # words whose messages are computed at once
 UNDETERMINED = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = re.compile(r"[^\W\d_]{1,40}")
 
 
 def words_of(text: str | None) -> list[str]:
@@ -68,7 +68,7 @@ def features(word: str, lexicon: dict[str, int]) -> list[int]:
     names = [f"w{word}" if len(word) <= 3 else "long"]
     if len(word) > 3:  # shorter affixes are among the n-grams
         names += [f"p{word[:3]}", f"s{word[-3:]}", f"s{word[-4:]}"]
-    edged = f"^{word[:40]}$"  # affixes and the lexicon see the whole word
+    edged = f"^{word}$"
     names += [edged[i : i + n] for n in (2, 3) for i in range(len(edged) - n + 1)]
     if (language := lexicon.get(word)) is not None:
         names.append(f"lexicon {language}")
