@@ -56,6 +56,14 @@ def test_keep_one_leaves_one_row_of_each_component(messy):
     assert left.count(None) == 1  # the one nameless component: a text of its own
 
 
+def test_keep_one_leaves_a_row_of_each_component_where_rows_share_an_id(spark):
+    rng = random.Random(5)
+    a, b, c = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(3))
+    rows = [(1, a), (1, b), (1, b), (2, a), (3, c), (3, c.upper()), (4, b)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r["doc_id"], r["text"].lower()) for r in kept.collect()) == sorted([(1, a), (1, b), (3, c)])
+
+
 @pytest.mark.parametrize("bits", [0, 1, 2, 3, 4, 6])
 @pytest.mark.parametrize("hot_homes", [50_000, 2])
 def test_cover_loses_no_link(spark, bits, hot_homes):

@@ -287,6 +287,13 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per document: its id, ``fp``, ``fingerprint`` (16 hex digits) and
     ``component_id``, the smallest id it is connected to."""
+    return _labelled(docs, id_col, text_col, shingle, max_bits, hot_homes).drop("root")
+
+
+def _labelled(
+    docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, max_bits: int = MAX_BITS, hot_homes: int = HOT_HOMES
+) -> DataFrame:
+    """The rows of ``near_duplicates`` with ``root``, a fingerprint that names the component."""
     prints = materialise(
         with_fingerprint(docs.select(id_col, text_col), text_col, shingle, drop_text=True), "simhash"
     )
@@ -296,30 +303,41 @@ def near_duplicates(
     roots = connected_components(linked_fingerprints(reps.select("fp"), reps.count(), max_bits, hot_homes))
     linked = reps.join(roots, F.col("fp") == F.col("node")).select("fp", "root", "first_id")
     low = linked.groupBy("root").agg(F.min("first_id").alias("low"))
-    named = linked.join(low, "root").select(F.col("fp").alias("linked_fp"), "low")
+    named = linked.join(low, "root").select(F.col("fp").alias("linked_fp"), "low", "root")
     labels = reps.join(named, F.col("fp") == F.col("linked_fp"), "left").select(
         F.col("fp").alias("label_fp"),
         F.when(F.col("linked_fp").isNull(), F.col("first_id")).otherwise(F.col("low")).alias("component_id"),
+        F.coalesce("root", "fp").alias("root"),
         "copies",
     )
     labels = materialise(labels, "simhash-labels")
     # the fingerprints of many copies, at most HOT_COPIES_MOST of them, meet their documents by broadcast
     limit = max(HOT_COPIES, prints.count() // HOT_COPIES_MOST)
-    hot = F.broadcast(labels.filter(F.col("copies") > limit).select("label_fp", "component_id"))
-    rest = labels.filter(F.col("copies") <= limit).select("label_fp", "component_id")
+    hot = F.broadcast(labels.filter(F.col("copies") > limit).select("label_fp", "component_id", "root"))
+    rest = labels.filter(F.col("copies") <= limit).select("label_fp", "component_id", "root")
     on = F.col("fp") == F.col("label_fp")
     return prints.join(hot, on).unionByName(prints.join(hot, on, "left_anti").join(rest, on)).select(
-        id_col, "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        id_col, "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root"
     )
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without near-duplicates: of each component the document with the
-    smallest id stays (repeated rows of that id: one; a component without any
-    id: one row)."""
-    labels = near_duplicates(docs, id_col, text_col, **options)
+    smallest id stays (rows of that id in several components: one in each;
+    repeated rows: one; a component without any id: one row)."""
+    labels = _labelled(docs, id_col, text_col, **options)
     kept = labels.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__kept")).distinct()
-    with_id = docs.join(kept, F.col(id_col) == F.col("__kept"), "left_semi").dropDuplicates([id_col])
+    with_id = docs.join(kept, F.col(id_col) == F.col("__kept"), "left_semi")
+    several = labels.filter(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
+    if several.filter("low <> high").isEmpty():
+        with_id = with_id.dropDuplicates([id_col])
+    else:  # an id on several texts: of each component the one with the smallest fingerprint
+        heads = (
+            labels.filter(F.col(id_col) == F.col("component_id")).groupBy("root", F.col(id_col).alias("__kept")).agg(F.min("fp").alias("__kept_fp"))
+        )
+        with_id = with_fingerprint(with_id, text_col, options.get("shingle", SHINGLE), out_col="__fp")
+        own = (F.col(id_col) == F.col("__kept")) & (F.col("__fp") == F.col("__kept_fp"))
+        with_id = with_id.join(heads, own, "left_semi").dropDuplicates([id_col, "__fp"]).select(*docs.columns)
     nameless = labels.filter(F.col(id_col).isNull() & F.col("component_id").isNull())
     if nameless.isEmpty():
         return with_id
