@@ -10,9 +10,12 @@ from trip_star.llm import (
     licenses,
     line_dedup,
     packing,
+    sharding,
     simhash,
+    spelling,
     substring_dedup,
     url_filter,
+    vector_codes,
     warc,
 )
 
@@ -29,6 +32,9 @@ def queries() -> dict:
         "op8_best_fit_packing": packing.query,
         "op9_url_filter": url_filter.query,
         "op10_document_fingerprints": fingerprints.query,
+        "op11_spelling_variants": spelling.query,
+        "op12_vector_codes": vector_codes.query,
+        "op13_sharding": sharding.query,
         "pipeline": corpus_pipeline.run,
     }
 
