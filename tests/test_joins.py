@@ -79,7 +79,7 @@ def test_skew_safe_lookup_carries_columns(spark):
     assert {r["row_pos"]: r["v"] for r in broadcast.collect()} == {k: v[0] for k, v in want.items()}
 
 
-def test_fingerprint_folds_float_zero_and_nan(spark):
+def test_duplicates_fold_float_zero_and_nan(spark):
     from trip_star.operators import duplicate_count
 
     df = spark.createDataFrame(
@@ -96,7 +96,7 @@ def test_duplicate_rows_with_negative_positions(spark):
         assert {r["doc_id"]: r["first"] for r in out.collect()} == {-1: -5, 2: -3}
 
 
-def test_fingerprint_tells_apart_what_grouping_tells_apart(spark):
+def test_bounded_keys_tell_apart_what_grouping_tells_apart(spark):
     """Microseconds, nulls, NaN, signed zero and separators inside texts."""
     from trip_star.operators import duplicate_count, duplicate_rows
 
@@ -110,3 +110,37 @@ def test_fingerprint_tells_apart_what_grouping_tells_apart(spark):
     cols = ["a", "t", "d", "b"]
     assert tuple(duplicate_count(df, cols).first()) == (10, 8, 2)
     assert sorted((r["row_pos"], r["first_pos"]) for r in duplicate_rows(df, cols).collect()) == [(3, 2), (5, 4)]
+
+
+def test_positions_that_repeat_or_are_missing(spark):
+    """Rows at one position count as one; rows without a position come last."""
+    from trip_star.operators import duplicate_rows
+
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (2, "a"), (2, "b"), (3, "b"), (None, "a"), (None, "c"), (None, "c")], "p long, t string")
+    for broadcast_rows in (0, None):
+        out = duplicate_rows(df, ["t"], order_col="p", first_col="first", broadcast_rows=broadcast_rows)
+        assert sorted(map(tuple, out.collect()), key=str) == [(2, "a", 1), (2, "a", 1), (3, "b", 2), (None, "a", 1)]
+
+
+def test_keys_are_typed_or_digests_of_bounded_size(spark):
+    from trip_star.operators import bounded_key, duplicate_count
+
+    long = "x" * 5000
+    df = spark.createDataFrame([(1, long, "Y"), (2, long + " ", "N"), (3, None, None), (4, long, "Y")], "i int, t string, f string")
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    keys = df.select(*[bounded_key(c, kinds[c]).alias(c) for c in df.columns])
+    assert keys.schema["i"].dataType.simpleString() == "int"
+    got = keys.collect()
+    assert [None if r["t"] is None else len(r["t"]) for r in got] == [33, 33, None, 33]
+    assert [None if r["f"] is None else bytes(r["f"]) for r in got] == [b"\0Y", b"\0N", None, b"\0Y"]
+    assert got[0]["t"] == got[3]["t"] != got[1]["t"]
+    assert tuple(duplicate_count(df, ["t", "f"]).first()) == (4, 3, 1)
+
+
+def test_flagged_rows_meet_the_texts_without_a_shuffle_of_them(spark):
+    from trip_star.operators import duplicate_rows
+
+    df = spark.range(400).select(F.col("id").alias("p"), F.concat(F.lit("text " * 20), F.col("id") % 300).alias("t"))
+    out = duplicate_rows(df, ["t"], order_col="p")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 100 and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

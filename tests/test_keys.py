@@ -96,3 +96,30 @@ def test_sparse_constant_and_far_apart_positions(spark, position):
     df = spark.range(200).selectExpr("id % 97 AS k", f"CAST({position} AS long) AS row_pos")
     out = first_seen_ids(df, ["k"], "kid", bucket_rows=5)
     assert as_map(out, ["k"], "kid") == as_map(single_window(df, ["k"], "kid"), ["k"], "kid")
+
+
+def test_sorted_and_ranged_numbering_give_the_same_ids(spark):
+    df = spark.range(500).select(((F.col("id") * 7919) % 500).alias("row_pos"), (F.col("id") % 83).alias("k"), (F.col("id") % 3).alias("j"))
+    for keys in (["k"], ["j"], ["k", "j"]):
+        small = first_seen_ids(df, keys, "id", counts=True)
+        ranged = first_seen_ids(df, keys, "id", counts=True, small_rows=0, bucket_rows=16)
+        assert small.schema == ranged.schema
+        assert sorted(map(tuple, small.collect())) == sorted(map(tuple, ranged.collect()))
+
+
+def test_key_sets_of_one_scan_equal_their_own(spark):
+    from trip_star.operators import first_seen_by_sets, first_seen_index, number_checkpointed
+
+    df = spark.createDataFrame(
+        [(i, None if i % 5 == 0 else i % 4, None if i % 7 == 0 else "ab"[i % 2], float(i % 3)) for i in range(200)],
+        "row_pos long, a int, b string, c double",
+    )
+    sets = {"one": ["a"], "two": ["b"], "three": ["c"], "four": ["a", "c"]}
+    indexes, sizes = first_seen_by_sets(df, sets)
+    for name, keys in sets.items():
+        own = first_seen_index(df, keys, counts=True)
+        assert sizes[name] == own.count()
+        assert sorted(map(str, indexes[name].collect())) == sorted(map(str, own.collect()))
+        ids = number_checkpointed(indexes[name], sizes[name], keys, "id")
+        expected = first_seen_ids(df, keys, "id", counts=True, keep_first=True)
+        assert sorted(map(str, ids.collect())) == sorted(map(str, expected.collect()))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import subprocess
 import sys
 
 import duckdb
@@ -46,3 +47,11 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert tuple(df.columns) == FACT_COLUMNS
     assert df.count() > 0
+
+
+def test_the_star_loads_where_a_library_of_the_other_queries_is_missing():
+    """The subpackage is only added if it can be imported."""
+    code = "import sys; sys.modules['tiktoken'] = None; import __spark_entry__ as e; print(len([n for n in e.queries() if not n.startswith('op')]))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-500:]
+    assert int(done.stdout.split()[-1]) >= 38

@@ -142,3 +142,84 @@ def test_csv_quotes_commas_and_missing_markers(spark, scratch):
         f.write("zone,LocationID,borough\nz,3,b\n")
     got = sorted(tuple(r) for r in read_zones_csv(spark, folder).collect())
     assert got == [(1, 'The "Bay" area, east', None), (2, None, "two\nlines"), (3, "b", "z")]
+
+
+def _jobs(spark, name, work):
+    """What ``work`` returns and the number of Spark jobs it ran."""
+    sc = spark.sparkContext
+    sc.setJobGroup(name, name)
+    try:
+        return work(), len(sc.statusTracker().getJobIdsForGroup(name))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def _many_months(folder, n):
+    tables = [
+        pa.table({"VendorID": pa.array([1, 2], pa.int64()), "passenger_count": pa.array([1, 2], pa.int64())}),
+        pa.table({"VendorID": pa.array([1, 2], pa.int32()), "passenger_count": [1.0, 2.0]}),
+        pa.table({"VendorID": pa.array([3, 4], pa.int32())}),
+    ]
+    _files(folder, {f"m {i:05d}%.parquet": tables[i % 3] for i in range(n)})  # a blank and a sign that URIs escape
+
+
+def test_files_are_grouped_in_one_job(spark, scratch):
+    from trip_star.sources.parquet import files_by_schema
+
+    folder = os.path.join(scratch, "many_months")
+    _many_months(folder, 600)
+    files = sorted(spark.read.parquet(folder).inputFiles())
+    (groups, merge), jobs = _jobs(spark, "grouping", lambda: files_by_schema(spark, files))
+    assert jobs == 1 and not merge
+    assert sorted(map(len, groups)) == [200, 200, 200]
+    trips, jobs = _jobs(spark, "reading", lambda: read_trips(spark, folder))
+    assert jobs < 20  # listing, positions and one footer per group, however many files
+    assert trips.count() == 1200 and trips.filter("passenger_count IS NULL").count() == 400
+
+
+def test_files_that_only_spark_can_open_are_grouped_by_merging(spark, scratch, monkeypatch):
+    from trip_star.sources import parquet
+
+    folder = os.path.join(scratch, "few_months")
+    old = pa.table({"VendorID": pa.array([1, 2], pa.int64())})
+    new = pa.table({"VendorID": pa.array([1, 2], pa.int64()), "passenger_count": [1.0, 2.0]})
+    other = pa.table({"VendorID": [1.0, 2.0]})
+    _files(folder, {f"a{i}.parquet": old for i in range(5)} | {f"b{i}.parquet": new for i in range(6)} | {f"c{i}.parquet": other for i in range(5)})
+    expected = sorted(map(str, read_trips(spark, folder).collect()))
+    monkeypatch.setattr(parquet, "_footer_reader", lambda: lambda batches: (pa.RecordBatch.from_arrays([b.column(0), pa.nulls(b.num_rows, pa.string())], names=["path", "schema"]) for b in batches))
+    files = sorted(spark.read.parquet(folder).inputFiles())
+    (groups, merge), jobs = _jobs(spark, "merging", lambda: parquet.files_by_schema(spark, files))
+    assert merge and jobs < 20
+    assert [f for g in groups for f in g] == files and len(groups) < 6
+    assert sorted(map(str, read_trips(spark, folder).collect())) == expected
+
+
+def test_head_slice_stops_reading(spark, scratch):
+    """A file of one split is read up to the last row wanted, not to its end."""
+    folder = os.path.join(scratch, "one_split")
+    _files(folder, {"a.parquet": pa.table({"x": list(range(200_000))})})
+    head = head_slice(with_row_pos(spark.read.parquet(folder)), 777)
+    assert sorted(r["x"] for r in head.collect()) == list(range(777))
+    scan = [m for m in _scans(head)]
+    assert scan and max(scan) < 20_000
+    assert head_slice(with_row_pos(spark.read.parquet(folder)), 0).count() == 0
+
+
+def _scans(df):
+    """Rows that each file scan of the executed plan put out."""
+    todo, out = [df._jdf.queryExecution().executedPlan()], []
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            node = node.executedPlan()
+        if node.nodeName().startswith("Scan"):
+            out.append(node.metrics().apply("numOutputRows").value())
+        children = list(_seq(node.children()))
+        if node.nodeName().startswith(("ShuffleQueryStage", "ResultQueryStage", "TableCacheQueryStage", "BroadcastQueryStage")):
+            children.append(node.plan())
+        todo += children
+    return out
+
+
+def _seq(s):
+    return [s.apply(i) for i in range(s.size())]

@@ -6,21 +6,23 @@ order, so the position is a column (``row_pos``) and the id becomes
 
 1. one hash aggregate: ``min(position)`` (and a row count) per key, with
    map-side partial aggregation, so a hot key costs nothing extra. Its result
-   is checkpointed, so the input is scanned and shuffled once;
-2. a dense number in the order (first position, key): the distinct keys are
-   range-partitioned by that order and sorted inside each partition, numbered
-   there, and shifted by the running total of the partition sizes. Sparse,
-   repeated or constant positions make no difference: partitions are cut by
-   the number of keys. The offset table has one row per partition.
+   is checkpointed, so the input is scanned and shuffled once; the same job
+   counts the keys. Several sets of few keys share one scan (grouping sets);
+2. a dense number in the order (first position, key). Up to ``SMALL_KEYS`` keys
+   are sorted in one partition. More are range-partitioned by that order and
+   sorted inside each partition, numbered there, and shifted by the running
+   total of the partition sizes. Sparse, repeated or constant positions make no
+   difference: partitions are cut by the number of keys. The offset table has
+   one row per partition.
 
 The ids do not depend on partitioning, file splits or task order.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from trip_star.schemas import ROW_POS
@@ -29,6 +31,10 @@ from trip_star.session import ensure_checkpoint_dir, shuffle_partitions
 FIRST = "__first"
 ROWS = "__rows"
 _PLACE = "__place"
+_SET = "__set"
+
+# Keys that one task may sort to number them (under ~100 bytes each).
+SMALL_KEYS = 200_000
 
 # Keys per numbering partition that are aimed at beyond the shuffle partitions.
 DEFAULT_BUCKET_ROWS = 1 << 22
@@ -50,20 +56,30 @@ def first_seen_index(
     return df.groupBy(*keys).agg(*aggs)
 
 
-def number_first_seen(
-    index: DataFrame, keys: Sequence[str], id_col: str, bucket_rows: int = DEFAULT_BUCKET_ROWS
+def counted_checkpoint(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` computed once into the reliable checkpoint folder, and its rows,
+    counted by that same job."""
+    ensure_checkpoint_dir(df.sparkSession)
+    seen = Observation()
+    kept = df.observe(seen, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    return kept, seen.get["n"] or 0
+
+
+def number_checkpointed(
+    index: DataFrame, n_keys: int, keys: Sequence[str], id_col: str, bucket_rows: int = DEFAULT_BUCKET_ROWS, small_rows: int | None = None
 ) -> DataFrame:
-    """Dense 0-based id in ``(first position, key)`` order; ``index`` is computed once.
+    """Dense 0-based id in ``(first position, key)`` order for a checkpointed index of ``n_keys`` rows.
 
-    Both steps are checkpointed: the ranges are drawn from a sample, so the
-    numbered rows must not be computed twice."""
+    Up to ``small_rows`` keys are sorted in one partition, where the row number is
+    the id; more are numbered by ranges, which are drawn from a sample, so those
+    rows are checkpointed again. Both give the same ids."""
     if bucket_rows < 1:
         raise ValueError("bucket_rows must be positive")
     spark = index.sparkSession
-    ensure_checkpoint_dir(spark)
-    index = index.checkpoint(eager=True)
-    n = max(shuffle_partitions(spark), -(-index.count() // bucket_rows))
     order = [F.col(FIRST).asc(), *key_order(keys)]
+    if n_keys <= (SMALL_KEYS if small_rows is None else small_rows):
+        return index.coalesce(1).sortWithinPartitions(*order).withColumn(id_col, F.monotonically_increasing_id())
+    n = max(shuffle_partitions(spark), -(-n_keys // bucket_rows))
     placed = (
         index.repartitionByRange(n, *order).sortWithinPartitions(*order)
         .withColumn(_PLACE, F.monotonically_increasing_id()).checkpoint(eager=True)
@@ -82,6 +98,38 @@ def number_first_seen(
     )
 
 
+def number_first_seen(
+    index: DataFrame, keys: Sequence[str], id_col: str, bucket_rows: int = DEFAULT_BUCKET_ROWS, small_rows: int | None = None
+) -> DataFrame:
+    """Dense 0-based id in ``(first position, key)`` order; ``index`` is computed once."""
+    return number_checkpointed(*counted_checkpoint(index), keys, id_col, bucket_rows, small_rows)
+
+
+def first_seen_by_sets(
+    df: DataFrame, key_sets: Mapping[str, Sequence[str]], order_col: str = ROW_POS
+) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """The indexes of several key sets (with row counts) from one scan of ``df``:
+    an aggregate over grouping sets, checkpointed once and split by set.
+
+    Returns the index and the number of keys of every set. Meant for sets of few
+    keys: every row enters the aggregate once per set, and combines on the map side.
+    """
+    columns = list(dict.fromkeys(c for keys in key_sets.values() for c in keys))
+    sets = [[F.col(c) for c in keys] for keys in key_sets.values()]
+    grouped = df.select(order_col, *columns).groupingSets(sets, *columns).agg(
+        F.grouping_id().alias(_SET), F.min(order_col).alias(FIRST), F.count(F.lit(1)).alias(ROWS)
+    )
+    absent = {name: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys) for name, keys in key_sets.items()}
+    if len(set(absent.values())) < len(absent):
+        raise ValueError("two key sets have the same columns")
+    ensure_checkpoint_dir(df.sparkSession)
+    seen = Observation()
+    sizes = [F.count_if(F.col(_SET) == mark).alias(name) for name, mark in absent.items()]
+    kept = grouped.observe(seen, *sizes).checkpoint(eager=True)
+    indexes = {name: kept.filter(F.col(_SET) == mark).select(*key_sets[name], FIRST, ROWS) for name, mark in absent.items()}
+    return indexes, {name: seen.get[name] or 0 for name in absent}
+
+
 def first_seen_ids(
     df: DataFrame,
     keys: Sequence[str],
@@ -90,6 +138,7 @@ def first_seen_ids(
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
     counts: bool = False,
     keep_first: bool = False,
+    small_rows: int | None = None,
 ) -> DataFrame:
     """Distinct ``keys`` (one or several columns) with their first-seen id.
 
@@ -97,7 +146,7 @@ def first_seen_ids(
     integer position; when it is not unique, ties are broken by the key.
     """
     index = first_seen_index(df, keys, order_col, counts)
-    out = number_first_seen(index, keys, id_col, bucket_rows)
+    out = number_first_seen(index, keys, id_col, bucket_rows, small_rows)
     return out if keep_first else out.drop(FIRST)
 
 

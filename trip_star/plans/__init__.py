@@ -1,6 +1,6 @@
 """Composite plans: dimensions, facts, reports, quality checks and the full build."""
 
-from trip_star.plans.build import TABLES, build_star
+from trip_star.plans.build import TABLES, build_fact, build_star
 from trip_star.plans.dims import (
     BY_TABLE,
     DIMENSIONS,
@@ -17,6 +17,8 @@ from trip_star.plans.quality import (
     lookup_key_violations,
     row_reconciliation,
     trips_profile,
+    written_fk_completeness,
+    written_reconciliation,
 )
 from trip_star.plans.star import Star, star_from_trips, star_from_warehouse
 from trip_star.plans.reports import (
@@ -39,6 +41,7 @@ __all__ = [
     "assert_unique_lookup",
     "attach_dimensions",
     "avg_fare_by_hour",
+    "build_fact",
     "build_star",
     "dimension",
     "enriched_trips",
@@ -57,4 +60,6 @@ __all__ = [
     "top_pickup_zones",
     "trips_by_passenger_count",
     "trips_profile",
+    "written_fk_completeness",
+    "written_reconciliation",
 ]

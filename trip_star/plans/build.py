@@ -3,37 +3,49 @@
 One driver program instead of a chain of tasks that pass JSON text:
 
 1. check that the lookup cannot fan out (a bounded ``take``);
-2. per dimension, compute the key index (typed keys, id, row count) once and
-   checkpoint it to the reliable checkpoint folder, which cuts the lineage so a
-   lost executor re-reads the checkpoint instead of re-scanning trips;
-3. write the public dimension from that checkpoint (full refresh). The ten
-   dimensions do not depend on each other, so their jobs are submitted
-   concurrently (``parallel_jobs`` driver threads) and share the cluster;
+2. compute the key indexes (typed keys, id, row count) once - one scan for all
+   small dimensions, one per large one - and checkpoint them to the reliable
+   checkpoint folder, which cuts the lineage so a lost executor re-reads the
+   checkpoint instead of re-scanning trips;
+3. write the public dimensions from those checkpoints. They do not depend on each
+   other, so their jobs are submitted concurrently (``parallel_jobs`` driver
+   threads) and share the cluster;
 4. join the fact to the same checkpoints, so fact ids and dimension ids cannot
    diverge; a dimension is broadcast only when its counted size is under
    ``broadcast_max_rows``, otherwise it takes the skew-safe shuffled join;
-5. write the fact. All eleven tables are written to a new version's folder and
-   swapped in together at the end, so a failure leaves the old star whole;
-6. return the load report read back from the catalog.
+5. write the fact. The writes observe rows, columns and missing ids themselves;
+6. commit all eleven tables, with those numbers, as one version by one catalog
+   call (``sinks/versions.py``): readers are on the old star or on the new one;
+7. return the load report, which the numbers answer: nothing is read again.
 """
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trip_star.operators.keys import DEFAULT_BUCKET_ROWS
-from trip_star.plans.dims import DIMENSIONS, public_columns
-from trip_star.plans.fact import checked_indexes, fact_trips
+from trip_star.operators.keys import DEFAULT_BUCKET_ROWS, ROWS
+from trip_star.plans.dims import DIMENSIONS, VENDORS, public_columns
+from trip_star.plans.fact import FACT_COLUMNS, checked_indexes, fact_trips
 from trip_star.plans.quality import assert_unique_lookup
 from trip_star.session import ensure_checkpoint_dir
 from trip_star.sources.parquet import head_slice
-from trip_star.sinks.tables import ensure_database, load_report, stage_table, swap_tables
+from trip_star.sinks.tables import ensure_database, load_report, publish
+from trip_star.sinks.versions import GRACE, Staged, new_version, stage
 
 FACT_TABLE = "trips"
 TABLES = tuple(spec.table for spec in DIMENSIONS) + (FACT_TABLE,)
+INPUT = "trips_input"  # the name under which the raw rows are reported
+
+
+def stage_fact(fact: DataFrame, database: str | None, version: str, part: int = 0) -> Staged:
+    """Write the fact; the write counts its rows and, per foreign key, the missing ids."""
+    missing = {f"null_{c}": F.count_if(F.col(c).isNull()) for c in FACT_COLUMNS if c != "event_id"}
+    return stage(fact, FACT_TABLE, database, version, part, **missing)
 
 
 def build_star(
@@ -46,10 +58,11 @@ def build_star(
     broadcast_max_rows: int | None = None,
     parallel_jobs: int = 4,
     head_rows: int | None = None,
+    grace: timedelta = GRACE,
 ) -> DataFrame:
     """Write all eleven tables (full refresh) and return the load report.
 
-    ``head_rows`` keeps only the first rows in input order (the reference's
+    The version that is replaced stays readable for ``grace``. ``head_rows`` keeps only the first rows in input order (the reference's
     pipeline keeps 100,000); by default the whole input is modelled.
     """
     ensure_checkpoint_dir(spark)
@@ -64,14 +77,32 @@ def build_star(
         trips, DIMENSIONS, bucket_rows, broadcast_max_rows, parallel_jobs=parallel_jobs
     )
 
-    version = uuid.uuid4().hex
+    version = new_version()
 
     def stage_dimension(spec):
         public = public_columns(spec, indexes[spec.table], zones if spec.needs_zones else None)
-        return stage_table(public, spec.table, database, version)
+        return stage(public, spec.table, database, version)
 
     with ThreadPoolExecutor(max_workers=max(parallel_jobs, 1)) as pool:
-        staged = dict(zip((s.table for s in DIMENSIONS), pool.map(stage_dimension, DIMENSIONS), strict=True))
-    staged[FACT_TABLE] = stage_table(fact_trips(trips, indexes, broadcast=small), FACT_TABLE, database, version)
-    swap_tables(spark, staged, database)
-    return load_report(spark, TABLES, database)
+        staged = list(pool.map(stage_dimension, DIMENSIONS))
+    staged.append(stage_fact(fact_trips(trips, indexes, broadcast=small), database, version))
+    publish(spark, staged, database, version, extra=_input_rows(indexes), grace=grace)
+    return load_report(spark, database)
+
+
+def _input_rows(indexes: Mapping[str, DataFrame]) -> dict[str, dict[str, int]]:
+    """Rows of the input: every trip has one vendor key, so the rows per key add up to them."""
+    return {INPUT: {"raw_rows": indexes[VENDORS.table].agg(F.coalesce(F.sum(ROWS), F.lit(0))).first()[0]}}
+
+
+def build_fact(
+    spark: SparkSession, trips: DataFrame, database: str | None = "trip_star", grace: timedelta = GRACE, **options
+) -> DataFrame:
+    """Write the fact alone, as a version of its own database, with the numbers the
+    checks read; returns its load report. ``options`` as for ``checked_indexes``."""
+    ensure_database(spark, database)
+    indexes, small = checked_indexes(trips, DIMENSIONS, **options)
+    version = new_version()
+    fact = stage_fact(fact_trips(trips, indexes, broadcast=small), database, version)
+    publish(spark, [fact], database, version, extra=_input_rows(indexes), grace=grace)
+    return load_report(spark, database)

@@ -9,9 +9,10 @@ Physical plan, per dimension:
   partitions. Normally these are the two ``large`` ones (datetimes, fares:
   about one row per trip).
 
-Every key index is computed once and checkpointed before the joins: the large
-ones are read three times (hot set, its threshold, the join), and recomputing
-their numbering window would sort a fact-size frame again each time.
+Every key index is computed once and checkpointed before the joins: the trips
+are scanned once for all small dimensions together, once per large one and once
+for the joins. The large indexes are read three times (hot set, its threshold, the
+join), and recomputing their numbering would sort a fact-size frame again each time.
 
 Each shuffled join moves the fact once, on its own keys; two is the minimum for
 two unrelated near-fact-size dimensions. Broadcast joins run first, so the
@@ -26,7 +27,15 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 
 from trip_star.operators.joins import HOT_MAX_KEYS, HOT_MIN_ROWS, attach_id, hot_keys
-from trip_star.operators.keys import DEFAULT_BUCKET_ROWS, row_id
+from trip_star.operators.keys import (
+    DEFAULT_BUCKET_ROWS,
+    FIRST,
+    counted_checkpoint,
+    first_seen_by_sets,
+    first_seen_index,
+    number_checkpointed,
+    row_id,
+)
 from trip_star.plans.dims import (
     DATETIMES,
     DIMENSIONS,
@@ -104,31 +113,39 @@ def checked_indexes(
     specs: tuple[DimSpec, ...],
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
     broadcast_max_rows: int | None = None,
-    materialise_large: bool = True,
     parallel_jobs: int = 4,
+    small_rows: int | None = None,
 ) -> tuple[dict[str, DataFrame], frozenset[str]]:
-    """Key indexes with a counted size, and the names that may be broadcast.
+    """Key indexes of a counted size, and the names that may be broadcast.
 
-    Each index that is checked is computed once (the numbering checkpoints it to
-    the reliable checkpoint folder), then counted; only those with at
-    most ``broadcast_max_rows`` rows are broadcast. With ``materialise_large``
-    off, ``large`` dimensions stay lazy (not counted) and take the skew-safe
-    shuffled join. The independent checks run as concurrent jobs.
+    All dimensions that are not ``large`` come from one scan of the trips; each
+    large one takes its own. Each index is computed once (checkpointed in the
+    reliable checkpoint folder) and counted by the same job; only those with at most
+    ``broadcast_max_rows`` rows are broadcast. The scans run as concurrent jobs.
     """
     ensure_checkpoint_dir(trips.sparkSession)
     bound = BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
+    few = {s.table: s.keys for s in specs if not s.large}
 
-    def prepare(spec: DimSpec):
-        index = key_index(trips, spec, bucket_rows)
-        if spec.large and not materialise_large:
-            return spec.table, index, None
-        return spec.table, index, index.count()  # the numbering has checkpointed its rows
+    def scan(spec: DimSpec | None):
+        if spec is None:
+            return first_seen_by_sets(trips, few)
+        index, n = counted_checkpoint(first_seen_index(trips.select(ROW_POS, *spec.keys), list(spec.keys), counts=True))
+        return {spec.table: index}, {spec.table: n}
 
+    scans = [None] * bool(few) + [s for s in specs if s.large]
+    raw, sizes = {}, {}
     with ThreadPoolExecutor(max_workers=max(parallel_jobs, 1)) as pool:
-        done = list(pool.map(prepare, specs))
-    indexes = {table: index for table, index, _ in done}
-    small = frozenset(t for t, _, n in done if n is not None and n <= bound)
-    return indexes, small
+        for found, n in pool.map(scan, scans):
+            raw |= found
+            sizes |= n
+
+        def number(spec: DimSpec) -> DataFrame:
+            out = number_checkpointed(raw[spec.table], sizes[spec.table], list(spec.keys), spec.id_col, bucket_rows, small_rows)
+            return out.drop(FIRST)
+
+        indexes = dict(zip((s.table for s in specs), pool.map(number, specs), strict=True))
+    return indexes, frozenset(t for t, n in sizes.items() if n <= bound)
 
 
 def attach_dimensions(

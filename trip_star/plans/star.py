@@ -6,7 +6,8 @@ Two sources give the same frames:
   checkpointed and counted (as in the build); the fact ids and the public
   dimensions are both derived from those checkpoints, so they agree and no
   dimension is computed twice;
-* ``star_from_warehouse``: the written tables, counted from file metadata.
+* ``star_from_warehouse``: the written tables of one version, counted from file
+  metadata.
 """
 
 from __future__ import annotations
@@ -20,9 +21,10 @@ from pyspark.sql import functions as F
 from trip_star.operators.keys import DEFAULT_BUCKET_ROWS, ROWS
 from trip_star.plans.dims import BY_TABLE, DIMENSIONS, public_columns
 from trip_star.plans.fact import attach_dimensions, checked_indexes
+from trip_star.plans.quality import assert_unique_lookup
 from trip_star.plans.reports import small_dimensions
 from trip_star.schemas import ROW_POS
-from trip_star.sources.tables import qualified
+from trip_star.sources.tables import Pin, pin, read_table
 
 
 @dataclass(frozen=True)
@@ -42,6 +44,8 @@ def star_from_trips(
 ) -> Star:
     """The fact (``event_id`` + the ids of ``tables``) and those public dimensions."""
     specs = tuple(BY_TABLE[t] for t in tables) if tables else DIMENSIONS
+    if zones_raw is not None and any(s.needs_zones for s in specs):
+        assert_unique_lookup(zones_raw)  # a zone with two names would repeat report rows
     indexes, small = checked_indexes(trips, specs, bucket_rows, broadcast_max_rows)
     joined = attach_dimensions(trips, specs, indexes, small)
     fact = joined.withColumn("event_id", F.col(ROW_POS).cast("long")).select(
@@ -62,10 +66,13 @@ def star_from_warehouse(
     tables: Sequence[str] | None = None,
     fact_table: str = "trips",
     broadcast_max_rows: int | None = None,
+    at: Pin | None = None,
 ) -> Star:
+    """The tables of version ``at`` (by default the current one, held on to for all of them)."""
+    at = at or pin(spark, database)
     names = list(tables) if tables else [s.table for s in DIMENSIONS]
-    dims = {t: spark.table(qualified(t, database)) for t in names}
-    fact = spark.table(qualified(fact_table, database))
+    dims = {t: read_table(spark, t, database, at) for t in names}
+    fact = read_table(spark, fact_table, database, at)
     ids = {t: BY_TABLE[t].id_col for t in names}
     freq = {t: fact.groupBy(c).agg(F.count(F.lit(1)).alias(ROWS)) for t, c in ids.items()}  # read from the stored fact
     return Star(fact, dims, small_dimensions(dims, broadcast_max_rows), freq)

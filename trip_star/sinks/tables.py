@@ -1,19 +1,24 @@
-"""Warehouse sink: full-refresh table loads and the load report."""
+"""Warehouse sink: full-refresh loads, the numbers observed by them, and the load report."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Mapping, Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trip_star.sources.tables import qualified
+from trip_star.sinks import versions
+from trip_star.sinks.versions import Staged
+from trip_star.sources.tables import Pin, pin, qualified, read_table
+
+METRICS = "load_metrics"
+METRICS_SCHEMA = "table_name string, metric string, value long"
 
 
 def ensure_database(spark: SparkSession, database: str | None) -> None:
     if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        versions.catalog(spark, f"CREATE DATABASE IF NOT EXISTS {database}")
 
 
 def write_table(
@@ -23,7 +28,7 @@ def write_table(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
 ) -> str:
-    """Create if missing, else truncate and replace (``WRITE_TRUNCATE``).
+    """Create if missing, else truncate and replace (``WRITE_TRUNCATE``) one table that stands alone.
 
     The write action blocks until the load is committed, so no separate wait.
     Tables live at ``<database folder>/<name>`` with that path given
@@ -41,46 +46,36 @@ def write_table(
     return target
 
 
-def stage_table(df: DataFrame, name: str, database: str | None, version: str) -> str:
-    """Write a table's next version beside the current one; returns its folder.
-    Nothing that readers see changes until ``swap_tables``."""
-    spark = df.sparkSession
-    root = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri.rstrip("/")
-    path = f"{root}/_versions/{version}/{name.lower()}"
-    df.write.parquet(path)
-    return path
-
-
-def swap_tables(spark: SparkSession, staged: dict[str, str], database: str | None) -> None:
-    """Point every table at its staged folder (catalog changes only, after all
-    writes have succeeded) and remove the folders they pointed at before."""
-    old = []
-    for name, path in staged.items():
-        target = qualified(name, database)
-        if spark.catalog.tableExists(target):
-            info = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()}
-            old.append(info.get("Location"))
-            spark.sql(f"DROP TABLE {target}")
-        spark.catalog.createTable(target, path=path, source="parquet")
-    for location in filter(None, old):
-        remove_folder(spark, location)
-
-
-def remove_folder(spark: SparkSession, location: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(location)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def load_report(spark: SparkSession, names: Sequence[str], database: str | None = None) -> DataFrame:
-    """One row per table: rows and columns loaded, read back from the catalog."""
-    parts = []
-    for name in names:
-        table = spark.table(qualified(name, database))
-        parts.append(
-            table.agg(F.count(F.lit(1)).cast("long").alias("n_rows")).select(
-                F.lit(name).alias("table_name"),
-                "n_rows",
-                F.lit(len(table.columns)).cast("int").alias("n_cols"),
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+def publish(
+    spark: SparkSession,
+    staged: Sequence[Staged],
+    database: str | None,
+    version: str,
+    part: int = 0,
+    extra: Mapping[str, Mapping[str, int]] | None = None,
+    grace: timedelta = versions.GRACE,
+) -> None:
+    """Commit the staged tables as one version, with the numbers observed while
+    they were written (and ``extra`` ones, by table) as its table ``load_metrics``."""
+    numbers = {**{t.name: t.metrics for t in staged}, **(extra or {})}
+    rows = [(name, metric, int(value)) for name, metrics in numbers.items() for metric, value in metrics.items()]
+    metrics = versions.stage(spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1), METRICS, database, version, part)
+    tables = [*staged, metrics]
+    versions.register(spark, tables, database, version, part)
+    versions.commit(spark, database, version, part, grace)
+    versions.expire(spark, database, [t.name for t in tables], grace)
+
+
+def load_metrics(spark: SparkSession, database: str | None = None, at: Pin | None = None) -> DataFrame:
+    """(table_name, metric, value) of a version: parts add up, columns do not."""
+    parts = read_table(spark, METRICS, database, at or pin(spark, database))
+    value = F.when(F.col("metric") == "n_cols", F.max("value")).otherwise(F.sum("value"))
+    return parts.groupBy("table_name", "metric").agg(value.alias("value"))
+
+
+def load_report(spark: SparkSession, database: str | None = None, at: Pin | None = None) -> DataFrame:
+    """One row per table: rows and columns loaded, as observed by the writes."""
+    metrics = load_metrics(spark, database, at)
+    pick = lambda name: F.max(F.when(F.col("metric") == name, F.col("value")))
+    rows = metrics.groupBy("table_name").agg(pick("n_rows").alias("n_rows"), pick("n_cols").cast("int").alias("n_cols"))
+    return rows.filter(F.col("n_cols").isNotNull())

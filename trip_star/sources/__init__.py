@@ -11,13 +11,15 @@ from trip_star.sources.parquet import (
     read_trips,
     with_row_pos,
 )
-from trip_star.sources.tables import qualified, read_table
+from trip_star.sources.tables import Pin, pin, qualified, read_table
 
 __all__ = [
+    "Pin",
     "conform",
     "fixture_trips",
     "fixture_zones_raw",
     "head_slice",
+    "pin",
     "prepare_trips",
     "preview",
     "qualified",

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +18,9 @@ from pyspark.sql import types as T
 from trip_star.functions.casts import cast_timestamps_if_present, nan_to_null, normalise_float_keys
 from trip_star.schemas import FLOAT_COLUMNS, ROW_POS, TIMESTAMP_COLUMNS, TRIPS
 
+# Rows of a head slice that one task may hand on.
+EARLY_STOP_ROWS = 1_000_000
+
 # One listing rule for batch reads and for the stream that waits for files.
 LISTING = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
 
@@ -84,22 +93,72 @@ def prepare_trips(df: DataFrame) -> DataFrame:
     return normalise_float_keys(df, FLOAT_COLUMNS)
 
 
-def _by_schema(spark: SparkSession, files: list[str], parallel_jobs: int) -> list[list[str]]:
-    """The files grouped by their own schema (months differ in physical types)."""
-    with ThreadPoolExecutor(max_workers=parallel_jobs) as pool:
-        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema.json(), files))
+def _footer_reader():
+    """(path) -> (path, schema text) from the file's footer; null where a task can't open the path."""
+
+    def schema(path: str) -> str | None:
+        try:
+            uri = path.replace("s3a://", "s3://", 1)
+            if uri.startswith(("file:", "/")):
+                source, name = fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+            else:
+                source, name = fs.FileSystem.from_uri(uri)
+            with source.open_input_file(unquote(name)) as f:
+                return pq.read_schema(f).remove_metadata().to_string(show_field_metadata=False, show_schema_metadata=False)
+        except (OSError, ValueError, ImportError):
+            return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([schema(p) for p in batch.column(0).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), found], names=["path", "schema"])
+
+    return run
+
+
+def _plain(files: list[str]) -> list[str]:
+    """Paths as readers take them; the listing gives them as URIs."""
+    return [unquote(f) for f in files]
+
+
+def _groups_by_merging(spark: SparkSession, files: list[str]) -> list[list[str]]:
+    """Groups of files whose schemas Spark can merge. Each try is one job over all
+    footers of a run of files; a run that can't be merged is halved, so files in
+    path order that change types now and then take a few tries each time."""
+    try:
+        spark.read.option("mergeSchema", True).parquet(*_plain(files))
+        return [files]
+    except (PySparkException, Py4JJavaError) as e:
+        if len(files) == 1 or "CANNOT_MERGE" not in str(e):
+            raise
+    half = len(files) // 2
+    return _groups_by_merging(spark, files[:half]) + _groups_by_merging(spark, files[half:])
+
+
+def files_by_schema(spark: SparkSession, files: list[str]) -> tuple[list[list[str]], bool]:
+    """The files grouped by their own schema (months differ in physical types), and
+    whether the files of a group may still lack columns of one another.
+
+    One job: the paths are a table, dealt over the cluster, and each task reads the
+    footers of its files. Where the tasks can't open the paths (a store that only
+    Spark's readers know), Spark merges schemas instead (``_groups_by_merging``).
+    """
+    table = spark.createDataFrame([(f,) for f in files], "path string")  # dealt over the default parallelism
+    found = dict(map(tuple, table.mapInArrow(_footer_reader(), "path string, schema string").collect()))  # a row per file, as the listing
+    if None in found.values():
+        return _groups_by_merging(spark, files), True
     groups: dict[str, list[str]] = {}
-    for f, schema in zip(files, schemas, strict=True):
-        groups.setdefault(schema, []).append(f)
-    return list(groups.values())
+    for f in files:
+        groups.setdefault(found[f], []).append(f)
+    return list(groups.values()), False
 
 
 def read_trips(
-    spark: SparkSession, path: str | list[str], position: bool = True, head_rows: int | None = None, parallel_jobs: int = 8
+    spark: SparkSession, path: str | list[str], position: bool = True, head_rows: int | None = None
 ) -> DataFrame:
     """Scan trip parquet files (also in subfolders): declared columns, typed, with
     ``row_pos``. Files whose physical types differ are read as groups of one
-    schema each. With ``head_rows`` only the leading files that hold the first
+    schema each, found by one job (``files_by_schema``). With ``head_rows`` only the leading files that hold the first
     rows in input order are scanned."""
     paths = [path] if isinstance(path, str) else list(path)
     raw = spark.read.options(**LISTING).parquet(*paths)
@@ -112,8 +171,9 @@ def read_trips(
             leading = {p for p, first in offsets.items() if first < head_rows}
             files = sorted(leading)
         parts = []
-        for group in _by_schema(spark, files, parallel_jobs):
-            part = spark.read.parquet(*group)
+        groups, merge = files_by_schema(spark, files)
+        for group in groups:
+            part = spark.read.option("mergeSchema", merge).parquet(*_plain(group))
             parts.append(prepare_trips(conform(with_row_pos(part, offsets=offsets) if offsets else part)))
         out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if head_rows is not None:
@@ -123,8 +183,15 @@ def read_trips(
 
 def head_slice(df: DataFrame, n: int, pos_col: str = ROW_POS) -> DataFrame:
     """The first ``n`` rows in input order (``iloc[:n]``): a position filter,
-    deterministic, unlike ``limit(n)``."""
-    return df.filter(F.col(pos_col) < F.lit(n))
+    deterministic, unlike ``limit(n)`` alone.
+
+    Up to ``EARLY_STOP_ROWS`` rows, the filter is followed by a limit that can't cut
+    any of its rows (positions are unique), but lets a task stop reading its split
+    at the n-th of them: a file of one split is read up to there. The rows pass
+    through one task then, which is why more rows are only filtered.
+    """
+    head = df.filter(F.col(pos_col) < F.lit(n))
+    return head.limit(n) if 0 <= n <= EARLY_STOP_ROWS else head
 
 
 def preview(df: DataFrame, n: int = 5, pos_col: str = ROW_POS) -> DataFrame:
