@@ -3,17 +3,18 @@
     spark-submit --py-files trip_star.zip trip_star/__main__.py --trips s3://bucket/trips/ --zones s3://bucket/zones.csv
     python -m trip_star --trips ... --zones ... [--head-rows 100000] [--watch CHECKPOINT]
 
-Prints the load report. With ``--watch`` the build re-runs when new trip files
-land (the stream's checkpoint folder is the argument).
+Prints the load report. A star that is there already is brought up with its
+files: appended to where only new last files came, else built anew. With
+``--watch`` that happens when new trip files land (the stream's checkpoint folder is the argument).
 """
 
 from __future__ import annotations
 
 import argparse
 
-from trip_star.plans.build import build_star
+from trip_star.plans.refresh import refresh_star
 from trip_star.session import get_session
-from trip_star.sources import read_trips, read_zones_csv
+from trip_star.sources import read_zones_csv
 from trip_star.streaming import rebuild_on_new_files
 
 
@@ -36,7 +37,7 @@ def main(argv: list[str] | None = None) -> None:
         )
         query.awaitTermination()
         return
-    trips = read_trips(spark, args.trips, head_rows=args.head_rows)
-    report = build_star(spark, trips, zones, args.database)
+    report, done = refresh_star(spark, args.trips, zones, args.database, head_rows=args.head_rows)
+    print({"none": "Nothing new", "append": "Appended the new files", "build": "Built all tables"}[done])
     for row in report.collect():  # eleven rows
         print(f"Loaded {row['n_rows']} rows and {row['n_cols']} columns to {args.database}.{row['table_name']}")

@@ -20,6 +20,7 @@ from trip_star.plans.quality import (
     written_fk_completeness,
     written_reconciliation,
 )
+from trip_star.plans.refresh import append_star, refresh_star
 from trip_star.plans.star import Star, star_from_trips, star_from_warehouse
 from trip_star.plans.reports import (
     avg_fare_by_hour,
@@ -38,6 +39,7 @@ __all__ = [
     "WIDE_FACT_COLUMNS",
     "DimSpec",
     "Star",
+    "append_star",
     "assert_unique_lookup",
     "attach_dimensions",
     "avg_fare_by_hour",
@@ -53,6 +55,7 @@ __all__ = [
     "lookup_key_report",
     "lookup_key_violations",
     "public_columns",
+    "refresh_star",
     "row_reconciliation",
     "small_dimensions",
     "star_from_trips",

@@ -34,7 +34,7 @@ from trip_star.plans.fact import FACT_COLUMNS, checked_indexes, fact_trips
 from trip_star.plans.quality import assert_unique_lookup
 from trip_star.session import ensure_checkpoint_dir
 from trip_star.sources.parquet import head_slice
-from trip_star.sinks.tables import ensure_database, load_report, publish
+from trip_star.sinks.tables import FILES, ensure_database, load_report, publish
 from trip_star.sinks.versions import GRACE, Staged, new_version, stage
 
 FACT_TABLE = "trips"
@@ -59,10 +59,13 @@ def build_star(
     parallel_jobs: int = 4,
     head_rows: int | None = None,
     grace: timedelta = GRACE,
+    files: DataFrame | None = None,
+    extra: Mapping[str, Mapping[str, int]] | None = None,
 ) -> DataFrame:
     """Write all eleven tables (full refresh) and return the load report.
 
-    The version that is replaced stays readable for ``grace``. ``head_rows`` keeps only the first rows in input order (the reference's
+    The version that is replaced stays readable for ``grace``. ``files`` (path,
+    length, modified) are recorded with the version, as are further numbers (``extra``). ``head_rows`` keeps only the first rows in input order (the reference's
     pipeline keeps 100,000); by default the whole input is modelled.
     """
     ensure_checkpoint_dir(spark)
@@ -86,7 +89,9 @@ def build_star(
     with ThreadPoolExecutor(max_workers=max(parallel_jobs, 1)) as pool:
         staged = list(pool.map(stage_dimension, DIMENSIONS))
     staged.append(stage_fact(fact_trips(trips, indexes, broadcast=small), database, version))
-    publish(spark, staged, database, version, extra=_input_rows(indexes), grace=grace)
+    if files is not None:
+        staged.append(stage(files, FILES, database, version))
+    publish(spark, staged, database, version, extra={**_input_rows(indexes), **(extra or {})}, grace=grace)
     return load_report(spark, database)
 
 

@@ -108,23 +108,14 @@ WIDE_FACT_COLUMNS = (
 assert set(FARE_COLUMNS) <= set(WIDE_FACT_COLUMNS)
 
 
-def checked_indexes(
-    trips: DataFrame,
-    specs: tuple[DimSpec, ...],
-    bucket_rows: int = DEFAULT_BUCKET_ROWS,
-    broadcast_max_rows: int | None = None,
-    parallel_jobs: int = 4,
-    small_rows: int | None = None,
-) -> tuple[dict[str, DataFrame], frozenset[str]]:
-    """Key indexes of a counted size, and the names that may be broadcast.
+def raw_indexes(
+    trips: DataFrame, specs: tuple[DimSpec, ...], parallel_jobs: int = 4
+) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """Per dimension the distinct keys with first position and row count, checkpointed, and how many they are.
 
     All dimensions that are not ``large`` come from one scan of the trips; each
-    large one takes its own. Each index is computed once (checkpointed in the
-    reliable checkpoint folder) and counted by the same job; only those with at most
-    ``broadcast_max_rows`` rows are broadcast. The scans run as concurrent jobs.
-    """
+    large one takes its own. The scans run as concurrent jobs."""
     ensure_checkpoint_dir(trips.sparkSession)
-    bound = BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
     few = {s.table: s.keys for s in specs if not s.large}
 
     def scan(spec: DimSpec | None):
@@ -133,17 +124,35 @@ def checked_indexes(
         index, n = counted_checkpoint(first_seen_index(trips.select(ROW_POS, *spec.keys), list(spec.keys), counts=True))
         return {spec.table: index}, {spec.table: n}
 
-    scans = [None] * bool(few) + [s for s in specs if s.large]
-    raw, sizes = {}, {}
+    indexes, sizes = {}, {}
     with ThreadPoolExecutor(max_workers=max(parallel_jobs, 1)) as pool:
-        for found, n in pool.map(scan, scans):
-            raw |= found
+        for found, n in pool.map(scan, [None] * bool(few) + [s for s in specs if s.large]):
+            indexes |= found
             sizes |= n
+    return indexes, sizes
+
+
+def checked_indexes(
+    trips: DataFrame,
+    specs: tuple[DimSpec, ...],
+    bucket_rows: int = DEFAULT_BUCKET_ROWS,
+    broadcast_max_rows: int | None = None,
+    parallel_jobs: int = 4,
+    small_rows: int | None = None,
+) -> tuple[dict[str, DataFrame], frozenset[str]]:
+    """Key indexes of a counted size, with ids, and the names that may be broadcast.
+
+    Each index is computed once (checkpointed in the reliable checkpoint folder)
+    and counted by the same job; only those with at most ``broadcast_max_rows``
+    rows are broadcast.
+    """
+    bound = BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
+    raw, sizes = raw_indexes(trips, specs, parallel_jobs)
 
-        def number(spec: DimSpec) -> DataFrame:
-            out = number_checkpointed(raw[spec.table], sizes[spec.table], list(spec.keys), spec.id_col, bucket_rows, small_rows)
-            return out.drop(FIRST)
+    def number(spec: DimSpec) -> DataFrame:
+        return number_checkpointed(raw[spec.table], sizes[spec.table], list(spec.keys), spec.id_col, bucket_rows, small_rows).drop(FIRST)
 
+    with ThreadPoolExecutor(max_workers=max(parallel_jobs, 1)) as pool:
         indexes = dict(zip((s.table for s in specs), pool.map(number, specs), strict=True))
     return indexes, frozenset(t for t, n in sizes.items() if n <= bound)
 

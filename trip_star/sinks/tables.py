@@ -13,6 +13,7 @@ from trip_star.sinks.versions import Staged
 from trip_star.sources.tables import Pin, pin, qualified, read_table
 
 METRICS = "load_metrics"
+FILES = "loaded_files"  # the input files of a version, not one of its tables
 METRICS_SCHEMA = "table_name string, metric string, value long"
 
 
@@ -78,4 +79,4 @@ def load_report(spark: SparkSession, database: str | None = None, at: Pin | None
     metrics = load_metrics(spark, database, at)
     pick = lambda name: F.max(F.when(F.col("metric") == name, F.col("value")))
     rows = metrics.groupBy("table_name").agg(pick("n_rows").alias("n_rows"), pick("n_cols").cast("int").alias("n_cols"))
-    return rows.filter(F.col("n_cols").isNotNull())
+    return rows.filter(F.col("n_cols").isNotNull() & (F.col("table_name") != FILES))

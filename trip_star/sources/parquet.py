@@ -154,11 +154,12 @@ def files_by_schema(spark: SparkSession, files: list[str]) -> tuple[list[list[st
 
 
 def read_trips(
-    spark: SparkSession, path: str | list[str], position: bool = True, head_rows: int | None = None
+    spark: SparkSession, path: str | list[str], position: bool = True, head_rows: int | None = None, first_pos: int = 0
 ) -> DataFrame:
     """Scan trip parquet files (also in subfolders): declared columns, typed, with
     ``row_pos``. Files whose physical types differ are read as groups of one
-    schema each, found by one job (``files_by_schema``). With ``head_rows`` only the leading files that hold the first
+    schema each, found by one job (``files_by_schema``). Positions start at
+    ``first_pos``. With ``head_rows`` only the leading files that hold the first
     rows in input order are scanned."""
     paths = [path] if isinstance(path, str) else list(path)
     raw = spark.read.options(**LISTING).parquet(*paths)
@@ -178,6 +179,8 @@ def read_trips(
         out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if head_rows is not None:
         out = head_slice(out, head_rows)
+    if first_pos and ROW_POS in out.columns:
+        out = out.withColumn(ROW_POS, F.col(ROW_POS) + F.lit(first_pos))
     return out if position else out.drop(ROW_POS)
 
 

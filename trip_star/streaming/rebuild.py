@@ -1,12 +1,13 @@
-"""Re-run the full-refresh build when new trip files land.
+"""Keep the star up with its folder when new trip files land.
 
 The reference is a batch job triggered by hand. Here a file-source stream over
 the trips folder stands in for the manual trigger: each micro-batch that
-brings new files runs the same build over the whole folder. Ids are numbered
-by first appearance over all trips, so the build always reads every file; the
-stream only decides *when*. Its checkpoint records which files were seen, so a
-restart after a failure neither skips nor repeats a trigger, and a full
-refresh is idempotent if one is repeated anyway.
+brings new files refreshes the star (``plans/refresh.py``). Where the new files
+sort behind all others, only they are read and appended; else, as ids are numbered
+by first appearance over all trips, the star is built anew. The stream only
+decides *when*: its checkpoint records which files were seen, and the star records
+which files it holds, so a trigger that is repeated after a failure finds nothing
+left to do.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from trip_star.plans.build import build_star
-from trip_star.sources.parquet import LISTING, read_trips
+from trip_star.plans.refresh import refresh_star
+from trip_star.sources.parquet import LISTING
 
 # The binary-file source's fixed columns (a streaming source needs them declared).
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -54,7 +55,7 @@ def rebuild_on_new_files(
             return
         # Build on the caller's session, not the stream's clone, so the
         # caller's catalog sees the overwritten tables (no stale file lists).
-        build_star(spark, read_trips(spark, trips_dir), zones_raw, database, **build_options)
+        refresh_star(spark, trips_dir, zones_raw, database, **build_options)
 
     writer = arrivals.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_location)
     if available_now:
