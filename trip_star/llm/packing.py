@@ -8,10 +8,13 @@ variable per configuration (a multiset of lengths that fits a sequence) and
 asks for the fewest sequences that hold every length as often as it occurs.
 Multiplicative weights solve it: each round prices the lengths by how far they
 are from being covered, a knapsack dynamic program finds the dearest
-configurations, and those are used a little more. The fractional solution is
-rounded down to whole, nearly full sequences; the program is solved again for
+configurations, and those are used a little more. The prices start from the best of
+a family of dual feasible ones, whose value is a bound that no packing
+undercuts (``lower_bound``). The fractional solution is rounded down to whole
+sequences that are full or tight under those prices; the program is solved again for
 what is left, a few times; the rest is placed by best-fit decreasing, also on
-the histogram. Of the passes the one that needs the fewest sequences counts.
+the histogram. Of the passes, and of best-fit alone, the one that needs the fewest
+sequences counts; a pass that meets the bound is the last.
 
 The plan is a table of rank intervals per length; a piece finds its sequence
 from its rank among the pieces of its length.
@@ -29,6 +32,7 @@ buckets. Only the histogram and the plan pass through the driver.
 from __future__ import annotations
 
 import json
+import math
 import zlib
 from array import array
 from bisect import bisect_left, insort
@@ -50,7 +54,8 @@ ROUNDS = 200
 PASSES = 6
 COLUMNS = 32
 RATE, STEP = 3.0, 0.05
-FULL = 0.996  # how full a rounded configuration must be
+FULL = 0.99  # how full a rounded configuration must be
+TIGHT = 0.995  # or how near its dual price to the most that fits a sequence
 BUCKET_ROWS, SMALL_BUCKET = 1_000_000, 1_000
 # fixed value: how a byte-level BPE vocabulary of this kind cuts a text into words
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -182,17 +187,41 @@ def _configuration(lengths: np.ndarray, last: np.ndarray, room: int, first: int)
     return chosen
 
 
-def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> dict[tuple, float]:
+def dual_prices(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
+    """The best dual solution of a family, and its value, which bounds the
+    sequences from below. For a threshold t up to half the capacity a length of
+    over capacity - t costs 1, one under t nothing and the others their share of the
+    capacity: whatever fits a sequence costs 1 at most. t = 0 is the volume."""
+    best, prices = 0.0, lengths / capacity
+    for t in range(capacity // 2 + 1):
+        trial = np.where(lengths > capacity - t, 1.0, np.where(lengths >= t, lengths / capacity, 0.0))
+        value = float((counts * trial).sum())
+        if value > best:
+            best, prices = value, trial
+    return best, prices
+
+
+def lower_bound(histogram: dict[int, int], capacity: int = CAPACITY) -> int:
+    """No packing of ``{length: count}`` has fewer sequences."""
+    lengths = np.array(sorted(histogram), dtype=np.int64)
+    counts = np.array([histogram[n] for n in lengths.tolist()], dtype=np.int64)
+    return math.ceil(dual_prices(lengths, counts, capacity)[0] - 1e-6)
+
+
+def fractional(
+    lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS, base: np.ndarray | None = None
+) -> dict[tuple, float]:
     """The linear program by multiplicative weights: configuration (pairs of
     bin and multiplicity) -> how often, fractionally, it is used. A round prices
     by one knapsack table and takes the dearest configurations around each of
-    ``COLUMNS`` bins."""
+    ``COLUMNS`` bins. ``base``: the prices to start from (by default the share of the capacity)."""
+    base = lengths / capacity if base is None else base
     covered = np.zeros(len(lengths))
     used: dict[tuple, float] = {}
     for _ in range(rounds):
         if covered.min() >= 1:
             break
-        prices = lengths / capacity * np.exp(-RATE * (covered - covered.min()))
+        prices = base * np.exp(-RATE * (covered - covered.min()))
         value, last = knapsack(lengths, prices, capacity)
         worth = value[capacity - lengths] + prices
         for i in np.argsort(-worth, kind="stable")[:COLUMNS].tolist():
@@ -259,17 +288,21 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROU
     """``{length: count}`` -> [([(length, multiplicity)], number of sequences)]."""
     lengths = np.array(sorted(histogram), dtype=np.int64)
     left = np.array([histogram[n] for n in lengths.tolist()], dtype=np.int64)
+    alone = best_fit(lengths, left, capacity)
+    bound = lower_bound(histogram, capacity)
     plan: dict[tuple, int] = {}
     best: tuple[int, dict[tuple, int]] | None = None
     for _ in range(PASSES):
         live = np.flatnonzero(left)
-        if not len(live):
+        if not len(live) or (best and best[0] <= bound):
             break
-        used = fractional(lengths[live], left[live].astype(float), capacity, rounds)
+        _, dual = dual_prices(lengths[live], left[live], capacity)
+        used = fractional(lengths[live], left[live].astype(float), capacity, rounds, (dual + lengths[live] / capacity) / 2)
         for config, x in sorted(used.items(), key=lambda c: -c[1]):
+            worth = sum(dual[i] * m for i, m in config)
             config = tuple((int(live[i]), m) for i, m in config)
             n = min([int(x), *(int(left[i]) // m for i, m in config)])
-            if n > 0 and sum(int(lengths[i]) * m for i, m in config) >= FULL * capacity:
+            if n > 0 and (worth >= TIGHT or sum(int(lengths[i]) * m for i, m in config) >= FULL * capacity):
                 for i, m in config:
                     left[i] -= n * m
                 plan[config] = plan.get(config, 0) + n
@@ -278,7 +311,9 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROU
             whole[config] = whole.get(config, 0) + n
         if best is None or sum(whole.values()) < best[0]:
             best = (sum(whole.values()), whole)
-    return [([(int(lengths[i]), m) for i, m in config], n) for config, n in (best[1] if best else {}).items()]
+    if best is None or sum(alone.values()) < best[0]:
+        best = (sum(alone.values()), alone)
+    return [([(int(lengths[i]), m) for i, m in config], n) for config, n in best[1].items()]
 
 
 RANK_BITS = 44
