@@ -45,4 +45,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_substring_dedup": substring_dedup.SQL,
         "op6_line_dedup": line_dedup.SQL,
         "op7_benchmark_decontamination": decontaminate.SQL,
+        "op9_url_filter": url_filter.SQL,
     }
