@@ -26,13 +26,15 @@ mit-cmu | 60 | cmu | cmu license
 mit-modern-variant | 50 | modern | mit license modern variant
 bsd-2-clause | 62 | bsd | (?:simplified|2 clause|two clause|freebsd) bsd(?: license)?
 bsd-2-clause | 63 | bsd | bsd 2 clause(?: simplified)?(?: license)?
-bsd-2-clause | 90 | redistribution | redistribution and use in source and binary forms with or without modification are permitted
+bsd-2-clause | 90 | redistribution | redistribution and use in source and binary forms with or without modification are permitted(?: (?:\S+ ){0,60}?this software is provided by (?:\S+ ){1,40}?as is)?
 bsd-3-clause | 62 | bsd | (?:modified|new|revised|3 clause|three clause) bsd(?: license)?
 bsd-3-clause | 63 | bsd | bsd 3 clause(?: new or revised)?(?: license)?
-bsd-3-clause | 93 | neither | neither the name of (?:\S+ ){1,12}nor the names of (?:its|his|their) contributors may be used
+bsd-3-clause | 93 | neither | neither the name of (?:\S+ ){1,12}nor the names of (?:its|his|their) contributors may be used(?: (?:\S+ ){0,60}?this software is provided by (?:\S+ ){1,40}?as is)?
+bsd-3-clause | 95 | neither | redistribution and use in source and binary forms with or without modification are permitted (?:\S+ ){1,150}?neither the name of (?:\S+ ){1,12}nor the names of (?:its|his|their) contributors may be used(?: (?:\S+ ){0,60}?this software is provided by (?:\S+ ){1,40}?as is)?
 bsd-4-clause | 62 | bsd | (?:original|4 clause|four clause) bsd(?: license)?
 bsd-4-clause | 63 | bsd | bsd 4 clause(?: original or old)?(?: license)?
 bsd-4-clause | 94 | advertising | all advertising materials mentioning features or use of this software must display the following acknowledge?ment
+bsd-4-clause | 96 | advertising | redistribution and use in source and binary forms with or without modification are permitted (?:\S+ ){1,150}?all advertising materials mentioning features or use of this software must display the following acknowledge?ment(?: (?:\S+ ){1,80}?neither the name of (?:\S+ ){1,12}nor the names of (?:its|his|their) contributors may be used)?(?: (?:\S+ ){0,60}?this software is provided by (?:\S+ ){1,40}?as is)?
 bsd-4-clause-uc | 92 | regents | this product includes software developed by the university of california berkeley
 0bsd | 62 | bsd | (?:zero clause bsd|bsd zero clause|0bsd)(?: license)?
 bsd-3-clause-clear | 60 | bsd | (?:bsd 3 clause clear|clear bsd) license
@@ -278,10 +280,10 @@ ecos-2.0 | 50 | ecos | ecos license(?: (?:version |v )?2 0)?
 erlpl-1.1 | 55 | erlang | erlang public license(?: (?:version |v )?1 1)?
 condor-1.1 | 50 | condor | condor public license(?: (?:version |v )?1 1)?
 catosl-1.1 | 50 | associates | computer associates trusted open source license(?: 1 1)?
-public-domain | 35 | domain | (?:in|into|to) the public domain
-public-domain | 38 | domain | dedicated to the public domain
+public-domain | 35 | domain | (?<!not )(?<!never )(?<!nor )(?<!isn t )(?:in|into|to) the public domain
+public-domain | 38 | domain | (?<!not )(?<!never )(?<!nor )dedicated to the public domain
 proprietary | 40 | proprietary | proprietary and confidential
-proprietary | 30 | rights | all rights reserved
+proprietary | 30 | rights | all rights reserved(?! (?:\S+ ){0,15}?(?:redistribution and use|permission is hereby|permission to use|licensed under|this program is|this file is))
 proprietary | 36 | permission | (?:may not be )?reproduced without (?:prior )?(?:written )?permission
 warranty-disclaimer | 15 | warranty | without warranty of any kind
 """.strip()

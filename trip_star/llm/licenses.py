@@ -24,6 +24,7 @@ At scale: one pass over the texts without a shuffle; the rules are a constant.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
 
 import numpy as np
@@ -85,9 +86,17 @@ class Scanner:
             for m in rule.pattern.finditer(joined)
         ]
         taken: list[tuple[int, int, Rule]] = []
+        # of the intervals taken, those that no other one holds: starts and ends both rise
+        starts: list[int] = []
+        ends: list[int] = []
         for _, _, start, _, end, rule in sorted(found, key=lambda d: d[:4]):
-            if not any(a <= start and end <= b for a, b, _ in taken):
-                taken.append((start, end, rule))
+            at = bisect_right(starts, start)
+            if at and ends[at - 1] >= end:
+                continue  # inside the last one that starts no later
+            taken.append((start, end, rule))
+            low = at - (at > 0 and starts[at - 1] == start)
+            high = bisect_right(ends, end, low)
+            starts[low:high], ends[low:high] = [start], [end]
         return taken
 
     def scan(self, text: bytes | None) -> tuple:
