@@ -30,6 +30,7 @@ computed in blocks, so a very long text costs no more than many short ones.
 from __future__ import annotations
 
 import re
+import unicodedata
 import uuid
 import zlib
 from collections import Counter
@@ -38,6 +39,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField
@@ -56,11 +58,18 @@ LEXICON_SHARE = 0.9  # of them in one language
 CACHE_WORDS = 200_000
 SLAB = 100_000  # words whose messages are computed at once
 UNDETERMINED = "und"
-_LETTERS = re.compile(r"[^\W\d_]{1,40}")
+# A word: a letter (Unicode category L, as in the training's filter) with the letters
+# and marks that follow; longer runs are cut.
+_WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]{0,39}")
+# Below U+0250 there are no marks, and the letters make a short class that the faster engine takes.
+_LATIN_LETTERS = "".join(chr(c) for c in range(0x250) if unicodedata.category(chr(c)).startswith("L"))
+_LATIN_WORDS = re.compile(f"[{_LATIN_LETTERS}]{{1,40}}")
+_BEYOND = re.compile("[^\u0000-\u024f]")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _LETTERS.findall((text or "").lower())
+    text = (text or "").lower()
+    return (_WORDS if _BEYOND.search(text) else _LATIN_WORDS).findall(text)
 
 
 def features(word: str, lexicon: dict[str, int]) -> list[int]:
