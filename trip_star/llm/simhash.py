@@ -25,7 +25,8 @@ Edge cases: null and empty texts have fingerprint zero and link like any
 other; equal texts and repeated rows share a fingerprint; a row without id is
 grouped like any other but never names a component (``component_id`` is null
 if no row of the component has an id); an empty table gives an empty result;
-further columns pass through, ones named like a result column are replaced.
+``keep_one`` returns all columns of the rows it keeps, ``near_duplicates`` the id
+and its own columns only.
 
 At scale: copies collapse to one fingerprint by a partial aggregate before
 anything is compared; anchors that hold more than ``HOT_HOMES`` homes and at
