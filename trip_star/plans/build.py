@@ -4,15 +4,16 @@ One driver program instead of a chain of tasks that pass JSON text:
 
 1. check that the lookup cannot fan out (a bounded ``take``);
 2. compute the key indexes (typed keys, id, row count) once - one scan for all
-   small dimensions, one per large one - and checkpoint them to the reliable
-   checkpoint folder, which cuts the lineage so a lost executor re-reads the
-   checkpoint instead of re-scanning trips;
+   small dimensions, one exchange of the fact per large one - and checkpoint them
+   to the reliable checkpoint folder, which cuts the lineage so a lost executor
+   re-reads the checkpoint instead of re-scanning trips;
 3. write the public dimensions from those checkpoints. They do not depend on each
    other, so their jobs are submitted concurrently (``parallel_jobs`` driver
    threads) and share the cluster;
 4. join the fact to the same checkpoints, so fact ids and dimension ids cannot
    diverge; a dimension is broadcast only when its counted size is under
-   ``broadcast_max_rows``, otherwise it takes the skew-safe shuffled join;
+   ``broadcast_max_rows``; large ones join on the exchange that their keys were
+   aggregated on;
 5. write the fact. The writes observe rows, columns and missing ids themselves;
 6. commit all eleven tables, with those numbers, as one version by one catalog
    call (``sinks/versions.py``): readers are on the old star or on the new one;
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from trip_star.operators.keys import DEFAULT_BUCKET_ROWS, ROWS
 from trip_star.plans.dims import DIMENSIONS, VENDORS, public_columns
-from trip_star.plans.fact import FACT_COLUMNS, checked_indexes, fact_trips
+from trip_star.plans.fact import FACT_COLUMNS, fact_rows, joined_star
 from trip_star.plans.quality import assert_unique_lookup
 from trip_star.session import ensure_checkpoint_dir
 from trip_star.sources.parquet import head_slice
@@ -76,9 +77,7 @@ def build_star(
     if head_rows is not None:
         trips = head_slice(trips, head_rows)
 
-    indexes, small = checked_indexes(
-        trips, DIMENSIONS, bucket_rows, broadcast_max_rows, parallel_jobs=parallel_jobs
-    )
+    indexes, _, joined = joined_star(trips, DIMENSIONS, bucket_rows, broadcast_max_rows, parallel_jobs)
 
     version = new_version()
 
@@ -88,7 +87,7 @@ def build_star(
 
     with ThreadPoolExecutor(max_workers=max(parallel_jobs, 1)) as pool:
         staged = list(pool.map(stage_dimension, DIMENSIONS))
-    staged.append(stage_fact(fact_trips(trips, indexes, broadcast=small), database, version))
+    staged.append(stage_fact(fact_rows(joined), database, version))
     if files is not None:
         staged.append(stage(files, FILES, database, version))
     publish(spark, staged, database, version, extra={**_input_rows(indexes), **(extra or {})}, grace=grace)
@@ -104,10 +103,10 @@ def build_fact(
     spark: SparkSession, trips: DataFrame, database: str | None = "trip_star", grace: timedelta = GRACE, **options
 ) -> DataFrame:
     """Write the fact alone, as a version of its own database, with the numbers the
-    checks read; returns its load report. ``options`` as for ``checked_indexes``."""
+    checks read; returns its load report. ``options`` as for ``joined_star``."""
     ensure_database(spark, database)
-    indexes, small = checked_indexes(trips, DIMENSIONS, **options)
+    indexes, _, joined = joined_star(trips, DIMENSIONS, **options)
     version = new_version()
-    fact = stage_fact(fact_trips(trips, indexes, broadcast=small), database, version)
+    fact = stage_fact(fact_rows(joined), database, version)
     publish(spark, [fact], database, version, extra=_input_rows(indexes), grace=grace)
     return load_report(spark, database)

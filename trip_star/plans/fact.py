@@ -4,38 +4,45 @@ Physical plan, per dimension:
 
 * a dimension whose counted size is under the bound (``broadcast``) is
   broadcast: no shuffle of the fact;
-* every other dimension goes through the skew-safe shuffled join: the bounded
-  set of hot keys is broadcast and their rows are salted over all shuffle
-  partitions. Normally these are the two ``large`` ones (datetimes, fares:
-  about one row per trip).
+* a ``large`` one (datetimes, fares: about one row per trip) over the bound is
+  staged (``operators/staged.py``): the fact is exchanged once on its key, and
+  the key aggregate and the join both read that one exchange;
+* any other dimension over the bound goes through the skew-safe shuffled join: the
+  bounded set of hot keys is broadcast and their rows are salted over all
+  shuffle partitions.
 
-Every key index is computed once and checkpointed before the joins: the trips
-are scanned once for all small dimensions together, once per large one and once
-for the joins. The large indexes are read three times (hot set, its threshold, the
-join), and recomputing their numbering would sort a fact-size frame again each time.
+Which large dimensions are staged is settled before any shuffle: no input of at most
+``broadcast_max_rows`` trips has a larger dimension (counted from file footers); on
+others one narrow scan estimates the keys. The estimate only chooses the route:
+sizes are counted before anything is broadcast, and every route gives the same ids.
 
-Each shuffled join moves the fact once, on its own keys; two is the minimum for
-two unrelated near-fact-size dimensions. Broadcast joins run first, so the
-columns they consume are gone before the shuffles.
+Every key index is computed once and checkpointed before the joins: the trips
+are scanned once for all small dimensions together, once for the estimates, once for
+heavy keys and once for the joins. Broadcast joins run first, so the columns they
+consume are gone before the two exchanges of the fact, the minimum for two
+unrelated near-fact-size dimensions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from trip_star.operators.joins import HOT_MAX_KEYS, HOT_MIN_ROWS, attach_id, hot_keys
 from trip_star.operators.keys import (
     DEFAULT_BUCKET_ROWS,
     FIRST,
+    ROWS,
     counted_checkpoint,
     first_seen_by_sets,
     first_seen_index,
     number_checkpointed,
     row_id,
 )
+from trip_star.operators.staged import attach_staged, heavy_hashes, key_hash, stage_by_key, staged_index
 from trip_star.plans.dims import (
     DATETIMES,
     DIMENSIONS,
@@ -188,6 +195,55 @@ def attach_dimensions(
     return fact
 
 
+def staged_specs(trips: DataFrame, specs: Sequence[DimSpec], bound: int) -> tuple[list[DimSpec], int]:
+    """The large dimensions that have more than ``bound`` keys by estimate, and the rows of the trips."""
+    large = [s for s in specs if s.large]
+    n_rows = trips.select(ROW_POS).count() if large else 0
+    if n_rows <= bound:
+        return [], n_rows
+    keys = trips.agg(*[F.approx_count_distinct(key_hash(s.keys)).alias(s.table) for s in large]).first()
+    return [s for s in large if keys[s.table] > bound], n_rows
+
+
+def joined_star(
+    trips: DataFrame,
+    specs: Sequence[DimSpec] = DIMENSIONS,
+    bucket_rows: int = DEFAULT_BUCKET_ROWS,
+    broadcast_max_rows: int | None = None,
+    parallel_jobs: int = 4,
+    small_rows: int | None = None,
+    keep: Sequence[str] = (),
+    hot_min_rows: int = HOT_MIN_ROWS,
+    hot_max_keys: int = HOT_MAX_KEYS,
+) -> tuple[dict[str, DataFrame], frozenset[str], DataFrame]:
+    """Key indexes with ids, the names that may be broadcast, and the trips joined to
+    all of them: ``row_pos``, the columns to ``keep`` and every id."""
+    bound = BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
+    ensure_checkpoint_dir(trips.sparkSession)
+    staged, n_rows = staged_specs(trips, specs, bound)
+    plain = tuple(s for s in specs if s not in staged)
+    indexes, small = checked_indexes(trips, plain, bucket_rows, bound, parallel_jobs, small_rows) if plain else ({}, frozenset())
+    fact = attach_dimensions(trips, plain, indexes, small, bucket_rows, hot_min_rows, hot_max_keys)
+    heavy = heavy_hashes(trips, {s.table: s.keys for s in staged}, n_rows, hot_min_rows, hot_max_keys) if staged else {}
+    ids = [s.id_col for s in plain]
+    for at, spec in enumerate(staged):
+        keys, skewed = list(spec.keys), heavy[spec.table] is not None
+        wanted = dict.fromkeys([ROW_POS, *ids, *keep, *[k for s in staged[at:] for k in s.keys]])
+        rows = stage_by_key(fact.select(*wanted), keys, heavy[spec.table])
+        raw, n = counted_checkpoint(staged_index(rows, keys, skewed))
+        numbered = number_checkpointed(raw, n, keys, spec.id_col, bucket_rows, small_rows).drop(FIRST)
+        fact = attach_staged(rows, numbered, keys, spec.id_col, skewed)
+        indexes[spec.table] = numbered.select(*keys, ROWS, spec.id_col)
+        small |= {spec.table} if n <= bound else frozenset()
+        ids.append(spec.id_col)
+    return indexes, small, fact.select(*dict.fromkeys([ROW_POS, *keep, *ids]))
+
+
+def fact_rows(joined: DataFrame, columns: Sequence[str] = FACT_COLUMNS) -> DataFrame:
+    """A fact table from the trips joined to their dimensions."""
+    return row_id(joined, "event_id", ROW_POS).select(*columns)
+
+
 def fact_trips(
     trips: DataFrame,
     indexes: Mapping[str, DataFrame] | None = None,
@@ -197,13 +253,12 @@ def fact_trips(
     """Fact table version 2: ``event_id`` and the ten dimension ids.
 
     Without ``indexes``/``broadcast`` every key index is checkpointed and
-    counted first (``checked_indexes``), so the join strategy does not hang on
+    counted first (``joined_star``), so the join strategy does not hang on
     the planner's estimate of an aggregate over a large scan.
     """
     if indexes is None and broadcast is None:
-        indexes, broadcast = checked_indexes(trips, DIMENSIONS, kw.get("bucket_rows", DEFAULT_BUCKET_ROWS))
-    joined = attach_dimensions(trips, DIMENSIONS, indexes, broadcast or frozenset(), **kw)
-    return row_id(joined, "event_id", ROW_POS).select(*FACT_COLUMNS)
+        return fact_rows(joined_star(trips, DIMENSIONS, **kw)[2])
+    return fact_rows(attach_dimensions(trips, DIMENSIONS, indexes, broadcast or frozenset(), **kw))
 
 
 def fact_trips_wide(
@@ -214,9 +269,9 @@ def fact_trips_wide(
 ) -> DataFrame:
     """Fact table version 1: eight ids, the flag and the nine amounts."""
     if indexes is None and broadcast is None:
-        indexes, broadcast = checked_indexes(trips, WIDE_DIMENSIONS, kw.get("bucket_rows", DEFAULT_BUCKET_ROWS))
-    joined = attach_dimensions(trips, WIDE_DIMENSIONS, indexes, broadcast or frozenset(), **kw)
-    return row_id(joined, "event_id", ROW_POS).select(*WIDE_FACT_COLUMNS)
+        measures = [c for c in WIDE_FACT_COLUMNS if c in trips.columns]
+        return fact_rows(joined_star(trips, WIDE_DIMENSIONS, keep=measures, **kw)[2], WIDE_FACT_COLUMNS)
+    return fact_rows(attach_dimensions(trips, WIDE_DIMENSIONS, indexes, broadcast or frozenset(), **kw), WIDE_FACT_COLUMNS)
 
 
 __all__ = [
@@ -226,6 +281,9 @@ __all__ = [
     "WIDE_FACT_COLUMNS",
     "attach_dimensions",
     "checked_indexes",
+    "fact_rows",
     "fact_trips",
     "fact_trips_wide",
+    "joined_star",
+    "staged_specs",
 ]

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from trip_star.operators.keys import DEFAULT_BUCKET_ROWS, ROWS
 from trip_star.plans.dims import BY_TABLE, DIMENSIONS, public_columns
-from trip_star.plans.fact import attach_dimensions, checked_indexes
+from trip_star.plans.fact import joined_star
 from trip_star.plans.quality import assert_unique_lookup
 from trip_star.plans.reports import small_dimensions
 from trip_star.schemas import ROW_POS
@@ -46,8 +46,7 @@ def star_from_trips(
     specs = tuple(BY_TABLE[t] for t in tables) if tables else DIMENSIONS
     if zones_raw is not None and any(s.needs_zones for s in specs):
         assert_unique_lookup(zones_raw)  # a zone with two names would repeat report rows
-    indexes, small = checked_indexes(trips, specs, bucket_rows, broadcast_max_rows)
-    joined = attach_dimensions(trips, specs, indexes, small)
+    indexes, small, joined = joined_star(trips, specs, bucket_rows, broadcast_max_rows)
     fact = joined.withColumn("event_id", F.col(ROW_POS).cast("long")).select(
         "event_id", *[s.id_col for s in specs]
     )
