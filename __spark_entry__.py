@@ -51,6 +51,7 @@ from trip_star.schemas import ROW_POS, TIMESTAMP_COLUMNS, TRIP_COLUMNS  # noqa:
 from trip_star.session import ensure_checkpoint_dir  # noqa: E402
 from trip_star.functions import cast_timestamps_if_present, text_timestamps_if_present  # noqa: E402
 from trip_star.sources import (  # noqa: E402
+    file_profile,
     fixture_trips,
     fixture_zones_raw,
     head_slice,
@@ -59,6 +60,7 @@ from trip_star.sources import (  # noqa: E402
     read_trips,
     read_zones_csv,
     table,
+    trip_files_profile,
     with_row_pos,
 )
 
@@ -111,6 +113,10 @@ def _staging(spark, name: str) -> str:
 def q_read_trip_files(spark, sf_dir):
     """Month files that differ in physical types and column case, some in a
     subfolder, read back in path order with positions."""
+    return read_trips(spark, _month_files(spark, sf_dir)).select(ROW_POS, *TRIP_COLUMNS)
+
+
+def _month_files(spark, sf_dir) -> str:
     trips, _ = _inputs(spark, sf_dir)
     folder = _staging(spark, "trip_files")
     for rest, name in ((0, "a"), (1, "b/c")):
@@ -118,7 +124,17 @@ def q_read_trip_files(spark, sf_dir):
         if rest:
             part = part.withColumn("passenger_count", F.col("passenger_count").cast("double")).withColumnRenamed("airport_fee", "Airport_fee")
         part.repartitionByRange(3, ROW_POS).sortWithinPartitions(ROW_POS).drop(ROW_POS).write.parquet(f"{folder}/{name}")
-    return read_trips(spark, folder).select(ROW_POS, *TRIP_COLUMNS)
+    return folder
+
+
+def q_trip_files_profile(spark, sf_dir):
+    """The same files, profiled from their footers but for the float columns."""
+    return trip_files_profile(spark, _month_files(spark, sf_dir))
+
+
+def q_file_profile(spark, sf_dir):
+    """The events file as stored, profiled from its footers."""
+    return file_profile(spark, f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def q_zone_lookup_distinct(spark, sf_dir):
@@ -330,6 +346,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "avg_fare_by_hour": q_avg_fare_by_hour,
             "flag_value_counts": q_flag_value_counts,
             "column_profile": q_column_profile,
+            "trip_files_profile": q_trip_files_profile,
+            "file_profile": q_file_profile,
             "row_reconciliation": q_row_reconciliation,
             "lookup_key_report": q_lookup_key_report,
             "lookup_key_violations": q_lookup_key_violations,

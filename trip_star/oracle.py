@@ -23,6 +23,9 @@ PAYMENT_TYPE_NAMES = {
 }
 VENDOR_NAMES = {1: "Creative Mobile Technologies", 2: "VeriFone Inc"}
 STORE_AND_FWD_FLAG_VALUES = {"N": 0, "Y": 1}
+EVENT_COLUMNS = {
+    "event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string", "value": "double", "props": "string",
+}
 
 
 class Dim(NamedTuple):
@@ -236,6 +239,12 @@ def queries() -> dict[str, str]:
         for i, f in enumerate(TRIPS.fields)
     )
     q["column_profile"] = _with() + " " + profile
+    q["trip_files_profile"] = q["column_profile"]
+    q["file_profile"] = " union all ".join(
+        f"select cast({i} as int) as position, '{name}' as column_name, '{kind}' as data_type, "
+        f"cast(count({name}) as bigint) as non_null_count from events"
+        for i, (name, kind) in enumerate(EVENT_COLUMNS.items())
+    )
     q["row_reconciliation"] = _with(f"fact as ({fact_sql()})") + (
         " select cast((select count(*) from trips) as bigint) as raw_rows, "
         "cast((select count(*) from fact) as bigint) as fact_rows, "

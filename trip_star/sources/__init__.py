@@ -3,6 +3,7 @@ and the trip-shaped fixture views over the driver tables."""
 
 from trip_star.sources.csv import read_zones_csv
 from trip_star.sources.fixtures import fixture_trips, fixture_zones_raw, table
+from trip_star.sources.footers import file_profile, file_row_count, footer_counts, trip_files_profile
 from trip_star.sources.parquet import (
     conform,
     head_slice,
@@ -16,8 +17,11 @@ from trip_star.sources.tables import Pin, pin, qualified, read_table
 __all__ = [
     "Pin",
     "conform",
+    "file_profile",
+    "file_row_count",
     "fixture_trips",
     "fixture_zones_raw",
+    "footer_counts",
     "head_slice",
     "pin",
     "prepare_trips",
@@ -27,5 +31,6 @@ __all__ = [
     "read_trips",
     "read_zones_csv",
     "table",
+    "trip_files_profile",
     "with_row_pos",
 ]

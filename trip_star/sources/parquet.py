@@ -116,7 +116,7 @@ def _footer_reader():
     return run
 
 
-def _plain(files: list[str]) -> list[str]:
+def plain_paths(files: list[str]) -> list[str]:
     """Paths as readers take them; the listing gives them as URIs."""
     return [unquote(f) for f in files]
 
@@ -126,7 +126,7 @@ def _groups_by_merging(spark: SparkSession, files: list[str]) -> list[list[str]]
     footers of a run of files; a run that can't be merged is halved, so files in
     path order that change types now and then take a few tries each time."""
     try:
-        spark.read.option("mergeSchema", True).parquet(*_plain(files))
+        spark.read.option("mergeSchema", True).parquet(*plain_paths(files))
         return [files]
     except (PySparkException, Py4JJavaError) as e:
         if len(files) == 1 or "CANNOT_MERGE" not in str(e):
@@ -174,7 +174,7 @@ def read_trips(
         parts = []
         groups, merge = files_by_schema(spark, files)
         for group in groups:
-            part = spark.read.option("mergeSchema", merge).parquet(*_plain(group))
+            part = spark.read.option("mergeSchema", merge).parquet(*plain_paths(group))
             parts.append(prepare_trips(conform(with_row_pos(part, offsets=offsets) if offsets else part)))
         out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if head_rows is not None:
