@@ -165,7 +165,7 @@ def test_a_failed_build_leaves_the_old_star_whole(spark, inputs, monkeypatch):
     def fail(*args, **kwargs):
         raise RuntimeError("fact write")
 
-    monkeypatch.setattr(build, "fact_trips", fail)
+    monkeypatch.setattr(build, "fact_rows", fail)
     with pytest.raises(RuntimeError, match="fact write"):
         build_star(spark, trips.filter("row_pos < 10"), zones, "trip_star_swap")
     assert {t: sorted(map(str, spark.table(f"trip_star_swap.{t}").collect())) for t in before} == before
