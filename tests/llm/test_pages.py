@@ -234,3 +234,13 @@ def test_url_query_against_sql(spark, sf_dir):
     found = url_filter.query(spark, sf_dir)
     expected = con.sql(url_filter.SQL).project(", ".join(found.columns)).fetchall()
     assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_folders_are_named_as_hadoop_names_them():
+    assert warc.arrow_uri("s3a://bucket/a s3a://b") == "s3://bucket/a s3a://b"
+    assert warc.arrow_uri("s3n://bucket/a") == "s3://bucket/a"
+    assert warc.arrow_uri("abfss://box@account.dfs.core.windows.net/a") == "abfs://box@account.dfs.core.windows.net/a"
+    assert warc.arrow_uri("file:/tmp/a") == warc.arrow_uri("file:///tmp/a") == "file:///tmp/a"
+    assert warc.arrow_uri("hdfs://name:8020/a") == "hdfs://name:8020/a"
+    with pytest.raises(ValueError, match="wasbs"):
+        warc.open_folder("wasbs://box@account.blob.core.windows.net/a")

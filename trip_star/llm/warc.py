@@ -20,8 +20,9 @@ At scale: payloads go from Parquet to the archives and from archive to archive
 in tasks; Spark shuffles only (archive, record number, digest) rows. Memory is
 bounded by one record. Files have names of their own per attempt and count only
 once the task's rows are written, so a lost executor leaves no half archive in
-a result. Folders may be any that pyarrow can open (local, HDFS, S3, GCS); they
-lie under the session's checkpoint folder.
+a result. Folders may be any that pyarrow can open (local, HDFS, S3 also as s3a,
+GCS, ABFS), with the credentials that it finds itself; others, such as wasbs, are
+an error. They lie under the session's checkpoint folder.
 """
 
 from __future__ import annotations
@@ -45,11 +46,22 @@ END = b"\r\n\r\n"
 _DATE = "2026-01-01T00:00:00Z"  # records carry no crawl time; a fixed one keeps archives reproducible
 
 
+def arrow_uri(uri: str) -> str:
+    """The uri as pyarrow spells it: Hadoop's names of a store's connector (s3a, s3n;
+    abfss) and its short form of local paths are others."""
+    for hadoop, arrow in ((r"^file:/+", "file:///"), (r"^s3[an]://", "s3://"), (r"^abfss://", "abfs://")):
+        uri = re.sub(hadoop, arrow, uri)
+    return uri
+
+
 def open_folder(uri: str):
     """A file system and the folder's path in it."""
     from pyarrow import fs
 
-    files, path = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+    try:
+        files, path = fs.FileSystem.from_uri(arrow_uri(uri))
+    except pa.ArrowInvalid as e:
+        raise ValueError(f"archives can't lie under {uri}: name a local, HDFS, S3, GCS or ABFS folder in spark.checkpoint.dir") from e
     files.create_dir(path, recursive=True)
     return files, path
 
