@@ -379,14 +379,23 @@ def test_letters_are_letters_with_their_marks():
 # fingerprints ---------------------------------------------------------------
 
 
-def brute_winnow(text):
+def gram_hash(points):
+    """The upper half of a mixed polynomial of code points, in plain numbers."""
+    h = 0
+    for p in points:
+        h = (h * 0x9E3779B97F4A7C15 + p) % 2**64
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        h = (h ^ (h >> 33)) * factor % 2**64
+    return (h ^ (h >> 33)) >> 32
+
+
+def brute_winnow(text, gram, window):
     if not text:
         return ""
-    import numpy as np
-
-    points = np.array([ord(c) for c in text], dtype=np.uint64)
-    h = [int(x) >> 32 for x in rolling(points, min(16, len(points)))]
-    w, chosen = min(48, len(h)), []
+    points = [ord(c) for c in text]
+    k = min(gram, len(points))
+    h = [gram_hash(points[i : i + k]) for i in range(len(points) - k + 1)]
+    w, chosen = min(window, len(h)), []
     for i in range(len(h) - w + 1):
         p = max(range(i, i + w), key=lambda x: (-h[x], x))
         if not chosen or chosen[-1] != p:
@@ -394,9 +403,8 @@ def brute_winnow(text):
     return "".join(f"{h[p]:08x}" for p in chosen)
 
 
-def test_fingerprints_against_brute_force(messy):
-    docs = messy.filter("doc_id IS NOT NULL AND doc_id <> 30").dropDuplicates(["doc_id"])
-    source = sorted((r["doc_id"], r["text"] or "") for r in docs.collect())
+def brute_edited(source, gram, window):
+    """Rows of the query for (id, text) in ascending order of the ids."""
     share = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
     split = lambda f: {f[i : i + 8] for i in range(0, len(f), 8)}
     expected = []
@@ -404,11 +412,25 @@ def test_fingerprints_against_brute_force(messy):
         following = source[(i + 1) % len(source)][1]
         tail = len(text) // 4
         edited = text[: len(text) - tail] + following[:tail]
-        f, g, h = brute_winnow(text), brute_winnow(edited), brute_winnow(following)
+        f, g, h = (brute_winnow(t, gram, window) for t in (text, edited, following))
         digest = hashlib.sha256(edited.encode()).hexdigest()
         expected.append((doc, len(text), digest, f, g, share(split(f), split(g)), share(split(f), split(h))))
-    out = fingerprints.with_edited(docs)
-    assert by_key(out, *out.columns) == sorted(expected, key=str)
+    return sorted(expected, key=str)
+
+
+@pytest.mark.parametrize("options", [{}, fingerprints.FINE])
+def test_fingerprints_against_brute_force(messy, options):
+    docs = messy.filter("doc_id IS NOT NULL AND doc_id <> 30").dropDuplicates(["doc_id"])
+    source = sorted((r["doc_id"], r["text"] or "") for r in docs.collect())
+    out = fingerprints.with_edited(docs, **options)
+    assert by_key(out, *out.columns) == brute_edited(source, options.get("gram", 16), options.get("window", 48))
+
+
+def test_fingerprint_query_against_brute_force(spark, sf_dir):
+    """The query itself, whole table, with its own parameters: grams of 8, windows of 16."""
+    out = fingerprints.query(spark, sf_dir)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    assert by_key(out, *out.columns) == brute_edited(sorted((r["doc_id"], r["text"] or "") for r in docs.collect()), 8, 16)
 
 
 def test_fingerprints_of_messy_rows(messy, empty, spark):
