@@ -15,9 +15,9 @@ pass through, ones named like a result column are replaced.
 At scale: keys travel as 128-bit hashes, the count per key is partially
 aggregated before every shuffle (a line that a third of all documents hold
 collapses on the map side), the frequent keys are broadcast only when their
-count is under ``BROADCAST_KEYS`` (24 bytes each) and else joined through a
-shuffle that the adaptive planner may split, and a document's text is shuffled
-once, to meet the positions of its dropped lines.
+count is under ``BROADCAST_KEYS`` (24 bytes each); else those of very many lines
+(at most 10,000) are broadcast and the others joined in a shuffle. A
+document's text is shuffled once, to meet the positions of its dropped lines.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from trip_star.llm.common import SPACE, annotate, materialise, process_cache, sliced, text_key
+from trip_star.llm.common import SPACE, annotate, lookup, materialise, process_cache, sliced, text_key
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -84,16 +84,18 @@ def dedup_lines(
     lines = line_keys(docs, id_col, text_col, min_chars)
     frequent = materialise(
         lines.groupBy("key")
-        .agg(F.count_distinct("id").alias("n_docs"), F.max("id").alias("last_id"))
+        .agg(F.count_distinct("id").alias("n_docs"), F.max("id").alias("last_id"), F.count(F.lit(1)).alias("n_lines"))
         .filter(F.col("n_docs") >= min_docs)
-        .select("key", "last_id"),
+        .select("key", "last_id", "n_lines"),
         "frequent-lines",
     )
-    if frequent.count() <= BROADCAST_KEYS:
-        frequent = F.broadcast(frequent)
+    n_keys, n_rows = frequent.agg(F.count(F.lit(1)), F.sum("n_lines")).first()
+    if n_keys <= BROADCAST_KEYS:
+        repeated = lines.join(F.broadcast(frequent.drop("n_lines")), "key")
+    else:
+        repeated = lookup(materialise(lines, "line-keys"), frequent, "key", "n_lines", n_rows or 0)
     dropped = (
-        lines.join(frequent, "key")
-        .filter(F.col("id") != F.col("last_id"))
+        repeated.filter(F.col("id") != F.col("last_id"))
         .groupBy(F.col("id").alias("__ld_id"), F.col("tk").alias("__ld_tk"))
         .agg(F.collect_set("pos").alias("__ld_pos"))
     )
