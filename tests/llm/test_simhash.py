@@ -66,7 +66,8 @@ def test_keep_one_leaves_a_row_of_each_component_where_rows_share_an_id(spark):
 
 @pytest.mark.parametrize("bits", [0, 1, 2, 3, 4, 6])
 @pytest.mark.parametrize("hot_homes", [50_000, 2])
-def test_cover_loses_no_link(spark, bits, hot_homes):
+def test_cover_loses_no_link(spark, bits, hot_homes, monkeypatch):
+    monkeypatch.setattr(simhash, "VISITORS", 1)
     rng = random.Random(bits)
     prints = []
     for _ in range(25):
@@ -89,6 +90,22 @@ def test_cover_loses_no_link(spark, bits, hot_homes):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+def test_busy_anchors_are_split_on_both_sides(spark):
+    """Six homes and 300 visitors in cells of two homes and 40 members."""
+    rows = [(7, x, x < 6) for x in range(306)] + [(8, x, x == 0) for x in range(30)] + [(9, x, False) for x in range(300)]
+    cells = {}
+    for r in simhash._split(spark.createDataFrame(rows, "key long, fp long, home boolean"), 2).collect():
+        cells.setdefault((r["key"], r["salt"]), []).append((r["fp"], r["home"]))
+    assert len([k for k in cells if k[0] == 7]) > 10 and len([k for k in cells if k[0] != 7]) == 2
+    meetings = set()
+    for (key, _), members in cells.items():
+        assert len({fp for fp, _ in members}) == len(members)
+        assert key != 7 or len(members) <= 80
+        meetings |= {(key, a, b) for a, home in members if home for b, _ in members}
+    assert {m for m in meetings if m[0] == 7} == {(7, a, b) for a in range(6) for b in range(306)}
+    assert {m for m in meetings if m[0] != 7} == {(8, 0, b) for b in range(30)}
+
+
 def test_every_cover_is_exact_in_its_block():
     rng = random.Random(1)
     for n, t in ((21, 1), (22, 1), (32, 2), (16, 1)):

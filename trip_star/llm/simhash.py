@@ -29,9 +29,10 @@ if no row of the component has an id); an empty table gives an empty result;
 and its own columns only.
 
 At scale: copies collapse to one fingerprint by a partial aggregate before
-anything is compared; anchors that hold more than ``HOT_HOMES`` homes and at
-least 1/10,000 of all (so at most 10,000 anchors, which bounds the broadcast)
-are split by salt: each salt compares a share of the homes with all visitors;
+anything is compared; where anchors hold more than ``HOT_HOMES`` homes and at
+least 1/10,000 of all, they and those of ``VISITORS`` times as many visitors are
+split into a grid of cells, a share of the homes against a share of the
+visitors (both counts bound the broadcast list of such anchors);
 joins back to the documents carry (id, fingerprint) only.
 """
 
@@ -55,6 +56,7 @@ MAX_BITS = 4
 BITS = 64
 CHUNK = 1 << 16  # shingles hashed at once
 HOT_HOMES = 50_000
+VISITORS = 20  # a cell of a busy anchor holds this many times as many visitors as homes
 HOT_COPIES = 1_000  # a fingerprint of more documents, and of over 1 / HOT_COPIES_MOST of all, is hot
 HOT_COPIES_MOST = 10_000
 COMPARES_PER_COPY = 200  # comparisons that cost as much as moving one copy
@@ -242,6 +244,36 @@ def _keyed(blocks: int, block: int, anchor: Column, at: Column) -> Column:
     return F.struct((anchor * blocks + block).alias("key"), (at == 0).alias("home"))
 
 
+def _split(copies: DataFrame, limit: int) -> DataFrame:
+    """Busy anchors become a grid: a cell compares a share of the homes with a
+    share of all that came there. A home goes to the cells of its row as a home
+    and to the other cells of its column as a visitor, so each home meets each
+    fingerprint in one cell and none is twice in a cell."""
+    grid = copies.groupBy("key").agg(F.count_if("home").alias("homes"), F.count(F.lit(1)).alias("all"))
+    grid = grid.filter((F.col("homes") > limit) | ((F.col("homes") > 0) & (F.col("all") > VISITORS * limit))).select(
+        F.col("key").alias("hot_key"),
+        F.ceil(F.col("homes") / limit).cast("int").alias("n_rows"),
+        F.ceil(F.col("all") / (VISITORS * limit)).cast("int").alias("n_columns"),
+    )
+    grid = F.broadcast(materialise(grid, "hot-anchors"))
+    n_rows, n_columns = F.coalesce("n_rows", F.lit(1)), F.coalesce("n_columns", F.lit(1))
+    row = F.pmod(F.xxhash64("fp"), F.col("n_rows")).cast("int")
+    column = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("n_columns")).cast("int")
+    as_home = F.transform(
+        F.sequence(F.lit(0), F.col("n_columns") - 1), lambda j: F.struct((row * F.col("n_columns") + j).alias("salt"), F.lit(True).alias("home"))
+    )
+    as_visitor = F.transform(
+        F.filter(F.sequence(F.lit(0), F.col("n_rows") - 1), lambda i: ~F.col("home") | (i != row)),
+        lambda i: F.struct((i * F.col("n_columns") + column).alias("salt"), F.lit(False).alias("home")),
+    )
+    return (
+        copies.join(grid, F.col("key") == F.col("hot_key"), "left")
+        .withColumns({"n_rows": n_rows, "n_columns": n_columns})
+        .select("key", "fp", F.explode(F.when(F.col("home"), F.concat(as_home, as_visitor)).otherwise(as_visitor)).alias("c"))
+        .select("key", "c.salt", "fp", "c.home")
+    )
+
+
 def linked_fingerprints(fps: DataFrame, n_distinct: int, max_bits: int = MAX_BITS, hot_homes: int = HOT_HOMES) -> DataFrame:
     """Distinct fingerprints ``fp`` -> edges (u, v) that connect what links connect."""
     spark = fps.sparkSession
@@ -258,19 +290,12 @@ def linked_fingerprints(fps: DataFrame, n_distinct: int, max_bits: int = MAX_BIT
     limit = max(hot_homes, m * n_distinct // 10_000)
     hot = (
         copies.filter("home").groupBy("key").count().filter(F.col("count") > limit)
-        .select(F.col("key").alias("hot_key"), F.ceil(F.col("count") / limit).cast("int").alias("salts"))
     )
-    hot = materialise(hot, "hot-anchors")  # at most m * n_distinct / limit rows
-    if hot.isEmpty():
+    hot = materialise(hot.select("key"), "busy-anchors")  # at most m * n_distinct / limit rows
+    if hot.isEmpty():  # then no anchor has very many visitors either: they live at the few anchors near it
         copies = copies.select("key", F.lit(0).alias("salt"), "fp", "home")
     else:
-        salts = F.coalesce("salts", F.lit(1))
-        copies = (
-            copies.join(F.broadcast(hot), F.col("key") == F.col("hot_key"), "left")
-            .withColumn("salts", salts)
-            .select("key", "fp", "home", "salts", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-            .select("key", "salt", "fp", (F.col("home") & (F.pmod(F.xxhash64("fp"), F.col("salts")) == F.col("salt"))).alias("home"))
-        )
+        copies = _split(copies, limit)
     return (
         copies.repartition(partitions(spark), "key", "salt")
         .sortWithinPartitions("key", "salt")
