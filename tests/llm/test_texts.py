@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 import zlib
 from collections import defaultdict
 
 import duckdb
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from trip_star.llm import decontaminate, fingerprints, langid, licenses, line_dedup, packing, substring_dedup
+from trip_star.llm import common, decontaminate, fingerprints, langid, licenses, line_dedup, packing, substring_dedup
 from trip_star.llm.common import rolling, winnow
 
 from .conftest import prose
@@ -54,6 +57,10 @@ def test_lines_without_broadcast(messy, monkeypatch):
     before = by_key(line_dedup.dedup_lines(messy), "doc_id", "kept_sha256")
     monkeypatch.setattr(line_dedup, "BROADCAST_KEYS", -1)
     assert by_key(line_dedup.dedup_lines(messy), "doc_id", "kept_sha256") == before
+    monkeypatch.setattr(common, "HOT_ROWS", 10)  # the line of 17 places meets its rows by broadcast
+    assert by_key(line_dedup.dedup_lines(messy), "doc_id", "kept_sha256") == before
+    none = messy.filter("doc_id < 3")
+    assert by_key(line_dedup.dedup_lines(none), "doc_id", "n_dropped") == [(-5, 0), (0, 0), (1, 0), (2, 0)]
 
 
 # decontamination ------------------------------------------------------------
@@ -87,10 +94,13 @@ def brute_contamination(docs, items):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("block_chars", [10**6, 300])
-def test_contamination_against_brute_force(messy, items, block_chars):
+@pytest.mark.parametrize("index_chars, hot", [(10**6, False), (300, False), (300, True)])
+def test_contamination_against_brute_force(messy, items, index_chars, hot, monkeypatch):
+    if hot:  # fingerprints, windows and texts of three rows are salted or broadcast
+        monkeypatch.setattr(decontaminate, "SALT_ROWS", 2)
+        monkeypatch.setattr(decontaminate, "HOT_ROWS", 2)
     docs = messy.filter("length(text) < 100000 OR text IS NULL")
-    out = decontaminate.find_contamination(docs, items, block_chars=block_chars)
+    out = decontaminate.find_contamination(docs, items, index_chars=index_chars)
     found = by_key(out, "doc_id", "n_words", "n_hit", "item_ids", "contaminated")
     expected = brute_contamination([(r["doc_id"], r["text"]) for r in docs.collect()], [tuple(r) for r in items.collect()])
     assert found == expected and sum(x[4] for x in expected) > 5
@@ -101,10 +111,28 @@ def test_a_very_long_document_is_searched_to_its_end(messy, items):
     assert row["item_ids"] == ["2", "7"] and row["hit_spans"] == [[30_000, 30_033]]
 
 
-def test_no_items_and_no_documents(messy, empty, items):
+def test_a_word_over_and_over_takes_linear_time():
+    index = decontaminate.Index([("a", b"again " * 20_000)], 10, 5)
+    words = decontaminate.word_hashes(b"again " * 200_000)
+    covered = np.zeros(len(words), dtype=bool)
+    start = time.process_time()
+    assert index.hits(words, covered) == {0} and covered.all()
+    assert time.process_time() - start < 5
+
+
+@pytest.mark.parametrize("index_chars", [10**6, -1])
+def test_no_items_and_no_documents(messy, empty, items, index_chars):
     none = items.limit(0)
-    assert decontaminate.find_contamination(messy, none).filter("contaminated").count() == 0
-    assert decontaminate.find_contamination(empty, items).count() == 0
+    found = decontaminate.find_contamination(messy, none, index_chars=index_chars)
+    assert found.count() == messy.count() and found.filter("contaminated").count() == 0
+    assert decontaminate.find_contamination(empty, items, index_chars=index_chars).count() == 0
+
+
+def test_a_large_benchmark_keeps_further_columns(spark, items, messy):
+    odd = messy.withColumn("tags", F.create_map(F.lit("a"), F.lit(1))).withColumn("item_ids", F.lit("clash"))
+    out = decontaminate.find_contamination(odd, items, index_chars=300, drop_text=True)
+    assert set(out.columns) == (set(odd.columns) | {f.name for f in decontaminate.FIELDS}) - {"text"}
+    assert out.filter("tags['a'] = 1 AND contaminated").count() > 5
 
 
 # substring dedup ------------------------------------------------------------
